@@ -140,7 +140,7 @@ def retrieval(results: DataFrame) -> DataFrame:
         *[F.coalesce(weighted((rank <= k).cast("double")), zero).alias(f"recall_at_{k}") for k in RECALL_AT],
         F.coalesce(weighted(F.lit(1.0) / rank), zero).alias("mean_reciprocal_rank"),
         weighted(rank).alias("mean_rank"),
-        F.percentile("retrieval_rank", 0.5, "n").alias("median_rank"),
+        F.percentile("retrieval_rank", 0.5, F.col("n")).alias("median_rank"),
     )
 
 

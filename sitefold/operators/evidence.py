@@ -188,8 +188,8 @@ def plan_fields(assessed: DataFrame, supported: list[str], allowed: list[str] |
             continue
         contact_field = field.startswith("contact.")
         rank = rules.index(answers) * 2 + (field == "contact.email") if answers else 0
-        blocked = F.exists("blockers", lambda b, a=answers: b["field"] == a) if answers else F.lit(False)
-        open_ = F.exists("unresolved_rules", lambda b, a=answers: b["field"] == a) if answers else F.lit(False)
+        blocked = F.array_contains("blockers.field", answers) if answers else F.lit(False)
+        open_ = F.array_contains("unresolved_rules.field", answers) if answers else F.lit(False)
         reason = F.when(blocked, "blocked_field").when(open_, "unresolved_field").otherwise("optional_gap")
         order = F.when(blocked, rank).when(open_, 100 + rank).otherwise(200 + position)
         wanted = ~populated[field]

@@ -22,7 +22,8 @@ TOP_N = {"county": 12, "organization_type": 12, "naics2": 12, "naics3": 15}
 
 def names_differ() -> Column:
     taxpayer, outlet = tx.string_field(F.col("taxpayer_name")), tx.string_field(F.col("outlet_name"))
-    return F.coalesce(tx.company_name(taxpayer) != tx.company_name(outlet), F.lit(False))
+    both = taxpayer.isNotNull() & outlet.isNotNull()
+    return both & (tx.company_name(taxpayer) != tx.company_name(outlet))
 
 
 def permit_profile(observations: DataFrame) -> DataFrame:

@@ -89,14 +89,19 @@ def as_candidates(df: DataFrame) -> DataFrame:
         elif isinstance(want, T.StructType) and isinstance(have[name], T.StructType):
             col = _fit_struct(F.col(name), have[name], want)
         elif isinstance(want, T.ArrayType) and isinstance(want.elementType, T.StructType):
-            inner, target = have[name].elementType, want.elementType
-            col = F.transform(F.col(name), lambda x, i=inner, t=target: _fit_struct(x, i, t))
+            col = _fit_array(F.col(name), have[name].elementType, want.elementType)
         else:
             col = F.col(name)
         cols.append(col.cast(want).alias(name))
     return df.select(cols)
 
 
+def _fit_array(col, have: T.StructType, want: T.StructType):
+    if not isinstance(have, T.StructType):  # an empty literal array
+        return col
+    return F.transform(col, lambda x: _fit_struct(x, have, want))
+
+
 def _fit_struct(col, have: T.StructType, want: T.StructType):
     fields = []
     for f in want.fields:
