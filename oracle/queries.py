@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
-import tempfile
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
@@ -170,9 +170,6 @@ def _(spark):
     )
 
 
-_coded = lambda c, e: f"{P.trim(c)} AS trimmed, {e(c)} AS known"
-
-
 @query(
     "site_type_codes",
     f"SELECT k, coalesce({P.site_name('site_type_code')}, 'unknown') AS normalized, site_type_code AS raw_code, {P.site_name('site_type_code')} IS NOT NULL AS recognized FROM fx_company",
@@ -189,9 +186,6 @@ def _(spark):
     return directory(spark).select("k", codes.lifecycle(F.col("status")).alias("s")).select("k", "s.*")
 
 
-_X = "l_extendedprice / 10000 * l_discount"
-
-
 @query("fixed4_rounding", f"SELECT l_orderkey, l_linenumber, l_partkey, l_discount * {d(0.45)} + l_tax AS x, {P.fixed4(f'l_discount * {d(0.45)} + l_tax')} AS rounded FROM lineitem")
 def _(spark):
     x = F.col("l_discount") * 0.45 + F.col("l_tax")
@@ -1375,18 +1369,20 @@ def _(spark):
 
 def _scratch(spark: SparkSession, what: str) -> str:
     """A new folder below the one all executors share."""
-    import uuid
-
     return f"{shared_folder(spark)}/{what}-{uuid.uuid4().hex}"
 
 
-@query("artifact_manifest")
+@query(
+    "artifact_manifest",
+    f"WITH {_UNIQUE}, {_DIST.replace('fx_permit', 'uniq')} SELECT 'distributions' AS artifact, count(*) AS row_count FROM dist UNION ALL SELECT 'strata', count(*) FROM uniq",
+)
 def _(spark):
     rows = permits.unique_observations(spark.table("fx_permit"), TIES)
-    return tables.write_artifacts(
+    manifest = tables.write_artifacts(
         {"distributions": profiling.distributions(rows), "strata": profiling.with_stratum(rows).select("source_record_id", "stratum")},
         _scratch(spark, "artifacts"), "2024-02-01", {"seed": "1"},
     )
+    return manifest.select("artifact", "row_count")
 
 
 def _source_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -1428,11 +1424,18 @@ _register_stream(
 
 def _stream_arrivals(spark: SparkSession, sf_dir: str) -> DataFrame:
     root = _scratch(spark, "stream-arrivals")
-    rows = _stream_sql(spark, "fx_source_row")
-    counted = jobs.arrival_counts(feeds.map_licence_rows(rows).withColumn("ts", F.col("captured_at").cast("timestamp")), delay="60 days", width="1 day")
-    q = counted.writeStream.format("parquet").option("path", f"{root}/out").option("checkpointLocation", f"{root}/checkpoint").trigger(availableNow=True).start()
-    q.awaitTermination()
-    return spark.read.schema(counted.schema).parquet(f"{root}/out")
+    rows = feeds.map_licence_rows(_stream_sql(spark, "fx_source_row"), keep=("ts",))
+    # One wide window: which of several equal arrivals is kept then makes no difference to the counts.
+    counted = jobs.arrival_counts(rows, delay="60 days", width="365 days")
+    jobs.write_counts(counted, f"{root}/out", f"{root}/checkpoint").awaitTermination()
+    return jobs.current_counts(spark, f"{root}/out").select("source_id", "status", "n")
+
+
+_register_stream(
+    "streaming_arrivals",
+    f"""WITH {_DRAFT_SQL} SELECT source_id, CASE WHEN reject_reason IS NULL THEN 'valid' ELSE 'skipped' END AS status, count(DISTINCT fingerprint) AS n FROM dr GROUP BY ALL""",
+    _stream_arrivals,
+)
 
 
 def _stream_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:

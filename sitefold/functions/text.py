@@ -27,7 +27,7 @@ RESIDENTIAL_RISK = r"\b(apt|apartment|unit|trlr|trailer|mobile\s*home)\b|#\s*\d+
 PLACEHOLDER_PHONE = "0000000000"
 
 # What counts as white space when a cell is trimmed (wider than Spark's trim()).
-_WS = r"[\s ﻿  -     　]"
+_WS = "\t\n\u000b\f\r \u00a0\u1680" + "".join(chr(c) for c in range(0x2000, 0x200B)) + "\u2028\u2029\u202f\u205f\u3000\ufeff"
 
 # Characters of normalised text, most frequent first, and the stand-ins for them: bytes
 # 30-39, 40-49, 50-59, 60-69 (hex), whose hex form has decimal digits only.
@@ -36,7 +36,7 @@ _STAND_INS = "".join(chr(b) for tens in (0x30, 0x40, 0x50, 0x60) for b in range(
 
 
 def trim_ws(c: Column) -> Column:
-    return F.regexp_replace(c, f"^{_WS}+|{_WS}+$", "")
+    return F.btrim(c, F.lit(_WS))
 
 
 def blank_to_null(c: Column) -> Column:
@@ -67,17 +67,14 @@ def string_field(c: Column) -> Column:
     return blank_to_null(c.cast("string"))
 
 
-def _squeeze(c: Column) -> Column:
-    return F.trim(F.regexp_replace(c, r"\s+", " "))
-
-
 def company_name(c: Column) -> Column:
     """Comparison form of a company name; empty input gives an empty string."""
-    words = F.regexp_replace(F.regexp_replace(F.lower(c), "&", " and "), r"[^a-z0-9]", " ")
+    words = F.regexp_replace(F.replace(F.lower(c), F.lit("&"), F.lit(" and ")), "[^a-z0-9]+", " ")
     # "l.l.c" is in the list but can never be seen here: its dots are already gone.
     suffix = "|".join(s for s in COMPANY_SUFFIXES if "." not in s)
-    bare = F.regexp_replace(words, rf"(?<![a-z0-9])(?:{suffix})(?![a-z0-9])", "")
-    return F.coalesce(_squeeze(bare), F.lit(""))
+    padded = F.concat(F.lit(" "), words, F.lit(" "))
+    bare = F.regexp_replace(F.replace(padded, F.lit("  "), F.lit(" ")), f" (?:{suffix})(?= )", "")
+    return F.coalesce(F.trim(bare), F.lit(""))
 
 
 def phone_digits(c: Column) -> Column:
@@ -87,11 +84,14 @@ def phone_digits(c: Column) -> Column:
 
 
 def street_address(c: Column) -> Column:
-    out = F.lower(c)
+    """Comparison form of a street; whole words are abbreviated before punctuation goes."""
+    # Every word gets a space of its own on both sides, so that plain text replacement
+    # finds whole words only. "_" still joins words here, as in a regular expression.
+    spaced = F.regexp_replace(F.lower(c), "[^a-z0-9_]+", "  ")
+    out = F.concat(F.lit(" "), spaced, F.lit(" "))
     for word, short in ADDRESS_ABBREVIATIONS.items():
-        # ASCII word boundary; Java's \b would also look at accented letters
-        out = F.regexp_replace(out, rf"(?<![A-Za-z0-9_]){word}(?![A-Za-z0-9_])", short)
-    return F.coalesce(_squeeze(F.regexp_replace(out, r"[^a-z0-9]", " ")), F.lit(""))
+        out = F.replace(out, F.lit(f" {word} "), F.lit(f" {short} "))
+    return F.coalesce(F.trim(F.regexp_replace(out, "[ _]+", " ")), F.lit(""))
 
 
 def web_domain(c: Column) -> Column:
@@ -181,8 +181,8 @@ def number_or_null(c: Column) -> Column:
 
 def json_text(c: Column) -> Column:
     """Compact JSON text of a string, null for null."""
-    quoted = F.to_json(F.array(c))
-    return F.when(c.isNotNull(), F.substring(quoted, F.lit(2), F.length(quoted) - 2))
+    # the quotes around the text keep its own brackets safe from the trimming
+    return F.when(c.isNotNull(), F.btrim(F.to_json(F.array(c)), F.lit("[]")))
 
 
 def json_number(c: Column) -> Column:

@@ -8,6 +8,8 @@ SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
+    # Rows here are small and costly to compare: let small stages keep all cores busy.
+    "spark.sql.adaptive.coalescePartitions.minPartitionSize": "32k",
     # Splits a join partition that a hot key has made large; see README on skew.
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",

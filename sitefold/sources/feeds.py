@@ -30,23 +30,32 @@ JSON_STRINGS = [
 ]
 
 
-def _observed(path: Column, when: Column, value: Column, raw: Column, source: Column, captured_at: Column) -> Column:
-    """One evidence element, null unless ``when`` holds."""
-    none = F.lit(None).cast("string")
+def _item(path: Column | str, when: Column, value: Column, raw: Column) -> Column:
+    """One observed field, null unless ``when`` holds."""
+    path = F.lit(path) if isinstance(path, str) else path
     return F.when(
-        when,
-        F.struct(
-            path.alias("path_key"),
-            value.alias("value_json"),
+        when, F.struct(path.alias("path_key"), value.alias("value_json"), F.coalesce(raw, value).alias("raw_json"))
+    )
+
+
+def _observed(items: list[Column], source: Column, captured_at: Column) -> Column:
+    """Evidence array of the populated fields, all directly observed in one source row."""
+    none = F.lit(None).cast("string")
+
+    def element(i: Column) -> Column:
+        return F.struct(
+            i["path_key"].alias("path_key"),
+            i["value_json"].alias("value_json"),
             none.alias("normalized_json"),
-            F.coalesce(raw, value).alias("raw_json"),
+            i["raw_json"].alias("raw_json"),
             F.lit(codes.SINGLE_SOURCE_CONFIDENCE).alias("confidence"),
             source.alias("source"),
             captured_at.alias("captured_at"),
             none.alias("evidence_text"),
             F.lit("directly_observed").alias("derivation"),
-        ),
-    )
+        )
+
+    return F.transform(F.array_compact(F.array(*items)), element)
 
 
 def _evidence_source(source_type: str, source_id: Column, name: Column, url: Column, record_id: Column) -> Column:
@@ -81,8 +90,11 @@ def read_licence_csv(spark: SparkSession, path: str, source_id: str = "dfw-csv")
 
 
 def map_licence_rows(rows: DataFrame, source_name: str = "DFW County Business License Export (CSV)",
-                     now: str = "1970-01-01T00:00:00.000Z") -> DataFrame:
-    """Flat licence rows to candidate drafts. ``now`` stands in for a missing issue date."""
+                     now: str = "1970-01-01T00:00:00.000Z", keep: tuple[str, ...] = ()) -> DataFrame:
+    """Flat licence rows to candidate drafts.
+
+    ``now`` stands in for a missing issue date; ``keep`` names input columns to carry along.
+    """
     c = {n: F.col(n) if n in rows.columns else F.lit(None).cast("string") for n in LICENCE_COLUMNS}
     name = F.coalesce(tx.trim_ws(c["business_name"]), F.lit(""))
     date = F.coalesce(
@@ -119,29 +131,25 @@ def map_licence_rows(rows: DataFrame, source_name: str = "DFW County Business Li
                               F.lit(None).cast("string"), F.col("record_id"))
     estimate = F.col("_employees")
 
-    def seen(path: Column | str, when: Column, value: Column, raw: Column) -> Column:
-        path = F.lit(path) if isinstance(path, str) else path
-        return _observed(path, when, value, raw, source, F.col("_captured"))
-
     def plain(path: Column | str, cell: Column) -> Column:
-        return seen(path, tx.truthy(cell), tx.json_text(cell), tx.json_text(cell))
+        return _item(path, tx.truthy(cell), tx.json_text(cell), tx.json_text(cell))
 
     contact = F.col("_contact")
-    evidence = F.array_compact(F.array(
-        seen("company.legalName", F.lit(True), tx.json_text(F.col("_name")), tx.json_text(c["business_name"])),
+    items = [
+        _item("company.legalName", F.lit(True), tx.json_text(F.col("_name")), tx.json_text(c["business_name"])),
         plain("company.website", c["website"]),
         plain(F.concat_ws(".", F.lit("contact"), contact, F.lit("name")), c["contact_name"]),
         plain(F.concat_ws(".", F.lit("contact"), contact, F.lit("email")), c["contact_email"]),
-        seen("location.physicalAddress", F.col("physical_address").isNotNull(), F.col("_address_json"),
-             F.col("_address_json")),
+        _item("location.physicalAddress", F.col("physical_address").isNotNull(), F.col("_address_json"), F.col("_address_json")),
         plain("location.phone", c["phone"]),
-        seen("location.siteType", has_site, tx.json_text(F.col("_site.normalized")), tx.json_text(c["site_type_code"])),
-        seen("location.employeeSizeSite", estimate.isNotNull(),
-             F.concat(F.lit('{"estimate":'), tx.json_number(estimate), F.lit("}")), tx.json_text(c["employees"])),
-    ))
+        _item("location.siteType", has_site, tx.json_text(F.col("_site.normalized")), tx.json_text(c["site_type_code"])),
+        _item("location.employeeSizeSite", estimate.isNotNull(),
+              F.concat(F.lit('{"estimate":'), tx.json_number(estimate), F.lit("}")), tx.json_text(c["employees"])),
+    ]
+    evidence = _observed(items, source, F.col("_captured"))
     raw_cells = [n for n in LICENCE_COLUMNS if n in rows.columns]
     return staged.select(
-        "seq", "source_id", "record_id", "fingerprint", "reject_reason",
+        *keep, "seq", "source_id", "record_id", "fingerprint", "reject_reason",
         F.lit(source_name).alias("source_name"),
         F.lit(None).cast("string").alias("source_url"),
         F.struct(F.col("_name").alias("legal_name"), tx.non_empty(c["website"]).alias("website")).alias("company"),
@@ -233,25 +241,22 @@ def map_json_items(items: DataFrame, source_id: str = "dfw-json", source_name: s
     contact, estimate = F.col("_contact"), F.col("employeeCount")
     has_contact, has_site = tx.truthy(c["contactName"]), c["siteTypeCode"].isNotNull()
 
-    def seen(path: Column | str, when: Column, value: Column, raw: Column) -> Column:
-        path = F.lit(path) if isinstance(path, str) else path
-        return _observed(path, when, value, raw, source, c["publishedAt"])
-
     def plain(path: Column | str, cell: Column, when: Column | None = None) -> Column:
-        return seen(path, tx.truthy(cell) if when is None else when, tx.json_text(cell), tx.json_text(cell))
+        return _item(path, tx.truthy(cell) if when is None else when, tx.json_text(cell), tx.json_text(cell))
 
-    evidence = F.array_compact(F.array(
-        seen("company.legalName", F.lit(True), tx.json_text(F.col("_name")), tx.json_text(c["companyName"])),
+    items = [
+        _item("company.legalName", F.lit(True), tx.json_text(F.col("_name")), tx.json_text(c["companyName"])),
         plain("company.website", c["website"]),
         plain(F.concat_ws(".", F.lit("contact"), contact, F.lit("name")), c["contactName"]),
         plain(F.concat_ws(".", F.lit("contact"), contact, F.lit("email")), c["contactEmail"],
               has_contact & tx.truthy(c["contactEmail"])),
-        seen("location.physicalAddress", F.col("_placed"), F.col("_address_json"), F.col("_address_json")),
+        _item("location.physicalAddress", F.col("_placed"), F.col("_address_json"), F.col("_address_json")),
         plain("location.phone", c["phone"]),
-        seen("location.siteType", has_site, tx.json_text(F.col("_site.normalized")), tx.json_text(c["siteTypeCode"])),
-        seen("location.employeeSizeSite", estimate.isNotNull(),
-             F.concat(F.lit('{"estimate":'), tx.json_number(estimate), F.lit("}")), tx.json_number(estimate)),
-    ))
+        _item("location.siteType", has_site, tx.json_text(F.col("_site.normalized")), tx.json_text(c["siteTypeCode"])),
+        _item("location.employeeSizeSite", estimate.isNotNull(),
+              F.concat(F.lit('{"estimate":'), tx.json_number(estimate), F.lit("}")), tx.json_number(estimate)),
+    ]
+    evidence = _observed(items, source, c["publishedAt"])
     first, web, url = JSON_EVIDENCE
     return staged.select(
         "seq", "source_id", c["reportId"].alias("record_id"), "fingerprint", "reject_reason",

@@ -51,19 +51,42 @@ def ingest_stream(rows: DataFrame, mapper: Callable[[DataFrame], DataFrame], roo
 def arrival_counts(drafts: DataFrame, event_time: str = "ts", delay: str = "1 hour", width: str = "1 hour") -> DataFrame:
     """Tumbling counts of distinct arrivals by source and status.
 
-    A fingerprint seen again within the watermark delay counts once; rows later than
-    the watermark are dropped by the engine and show in the query's progress.
+    A fingerprint seen again with the same status within the watermark delay counts
+    once; rows later than the watermark are dropped by the engine and show in the
+    query's progress.
     """
     status = F.when(F.col("reject_reason").isNull(), "valid").otherwise("skipped")
     return (
-        drafts.withWatermark(event_time, delay)
-        .dropDuplicatesWithinWatermark(["source_id", "fingerprint"])
-        .groupBy(F.window(event_time, width).alias("w"), "source_id", status.alias("status"))
+        drafts.withColumn("status", status)
+        .select(F.col(event_time).cast("timestamp").alias(event_time), "source_id", "fingerprint", "status")
+        .withWatermark(event_time, delay)
+        .dropDuplicatesWithinWatermark(["source_id", "fingerprint", "status"])
+        .groupBy(F.window(event_time, width).alias("w"), "source_id", "status")
         .agg(F.count("*").alias("n"))
         .select(F.col("w.start").alias("window_start"), "source_id", "status", "n")
     )
 
 
+def write_counts(counts: DataFrame, root: str, checkpoint: str) -> StreamingQuery:
+    """Write changed counts of every micro-batch below ``root``; a repeated batch replaces itself."""
+    root = root.rstrip("/")
+
+    def one_batch(df: DataFrame, number: int) -> None:
+        df.write.mode("overwrite").parquet(f"{root}/batch={number}")
+
+    return (
+        counts.writeStream.outputMode("update").foreachBatch(one_batch).option("checkpointLocation", checkpoint)
+        .trigger(availableNow=True).start()
+    )
+
+
+def current_counts(spark: SparkSession, root: str) -> DataFrame:
+    """The last written count per window, source and status."""
+    rows = spark.read.option("basePath", root).parquet(root)
+    key = ["window_start", "source_id", "status"]
+    return rows.groupBy(*key).agg(F.max_by("n", "batch").alias("n"))
+
+
 LEDGER_STREAM_SCHEMA = (
     "candidate_id string, event_id bigint, sequence bigint, action string, previous_status string, new_status string"
 )
