@@ -33,7 +33,8 @@ def evaluate_cases(cases: DataFrame, existing: DataFrame) -> DataFrame:
     # The case takes the place of the file position: it rides along as the join key.
     own = existing.withColumn("_case", case_key)
     mk = matching.master_keys(own, "_case").withColumnRenamed("pos", "candidate_id")
-    scored = matching.score_pairs(mk.join(ck, "candidate_id"))
+    pairs = matching.with_bigrams(mk, "m").join(matching.with_bigrams(ck, "c"), "candidate_id")
+    scored = matching.score_pairs(pairs)
     w = Window.partitionBy("candidate_id").orderBy(*matching.rank_order())
     ranked = scored.withColumn("rank", F.row_number().over(w))
     found = policy.collect_matches(ranked, with_related=True)

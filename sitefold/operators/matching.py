@@ -95,14 +95,11 @@ def with_bigrams(keys: DataFrame, side: str) -> DataFrame:
 def score_pairs(pairs: DataFrame) -> DataFrame:
     """Add similarity evidence, score and classification to joined key rows.
 
-    Bigram arrays are taken from the row where it carries them (many pairs per
-    row); otherwise they are built here, which keeps them out of the shuffles.
+    Both sides come from ``with_bigrams``.
     """
 
     def similarity(x: str) -> Column:
-        if f"c_{x}_bigrams" in pairs.columns:
-            return tx.dice(F.col(f"c_{x}_bigrams"), F.col(f"m_{x}_bigrams"))
-        return tx.dice_text(F.col(f"c_{x}"), F.col(f"m_{x}"))
+        return tx.dice(F.col(f"c_{x}_bigrams"), F.col(f"m_{x}_bigrams"))
 
     name, phone, domain = F.col("name_score"), F.col("phone_match"), F.col("domain_match")
     weighted = (
@@ -444,8 +441,10 @@ def retrieve(ck: DataFrame, mk: DataFrame, edges: DataFrame | None = None, cap:
 
 def rank_retrieved(candidates: DataFrame, master: DataFrame, edges: DataFrame | None, order: str) -> DataFrame:
     """Scored and ranked rows of the bounded candidate set (all of them, rank 1..cap)."""
-    # Normalised once and written: every signal reads just its own columns back.
-    ck, mk = cut_lineage(candidate_keys(candidates)), cut_lineage(master_keys(master, order))
+    # Normalised once and written: every signal reads just its own columns back, and the
+    # up to 25 pairs a row takes part in share its bigrams.
+    ck = cut_lineage(with_bigrams(candidate_keys(candidates), "c"))
+    mk = cut_lineage(with_bigrams(master_keys(master, order), "m"))
     pairs = retrieve(ck, mk, edges)
     joined = pairs.join(mk.drop("pos"), "master_id").join(ck, "candidate_id")
     w = Window.partitionBy("candidate_id").orderBy(*rank_order())

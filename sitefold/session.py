@@ -10,6 +10,9 @@ SETTINGS = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     # Rows here are small and costly to compare: let small stages keep all cores busy.
     "spark.sql.adaptive.coalescePartitions.minPartitionSize": "32k",
+    # The JVM never compiles a method above 8000 bytes; a stage that would need one runs
+    # faster as separate, compiled projections.
+    "spark.sql.codegen.hugeMethodLimit": "8000",
     # Splits a join partition that a hot key has made large; see README on skew.
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
