@@ -1179,12 +1179,13 @@ def _(spark):
     return plans.select("candidate_id", "field", "mandatory", "reason")
 
 
-# A provider per nation, supporting two or three fields; some may not run.
-VIEWS["fx_provider"] = """
-SELECT n_name AS provider_id, n_nationkey + 1 AS position, n_nationkey % 7 <> 3 AS can_run, f.field
-FROM nation JOIN (SELECT 'company.website' AS field, 2 AS every UNION ALL SELECT 'company.sicCode', 3 UNION ALL SELECT 'location.phone', 4
-  UNION ALL SELECT 'contact.email', 5 UNION ALL SELECT 'company.alphasort', 2) f ON n_nationkey % f.every = 0
-"""
+# A provider per nation, each supporting two fields; some may not run.
+_PROVIDED = "'company.website,company.sicCode,location.phone,contact.email,company.alphasort'"
+VIEWS["fx_provider"] = "\nUNION ALL\n".join(
+    f"""SELECT n_name AS provider_id, n_nationkey + 1 AS position, n_nationkey % 7 <> 3 AS can_run,
+  split_part({_PROVIDED}, ',', CAST((n_regionkey + {step}) % 5 AS INT) + 1) AS field FROM nation"""
+    for step in (0, 2)
+)
 
 
 @query(
@@ -1220,11 +1221,11 @@ SELECT 'set-' || CAST(variant % 3 AS STRING) AS dataset_id, id AS case_id, varia
   CASE WHEN variant IN (0, 1, 2, 3, 4, 7) THEN base_id ELSE NULL END AS expected_id
 FROM fx_candidate
 """
-VIEWS["fx_case_existing"] = """
-SELECT s.dataset_id, s.case_id, m.* FROM fx_case s JOIN fx_candidate c ON c.id = s.case_id
-JOIN (SELECT 0 AS step UNION ALL SELECT 1 UNION ALL SELECT 10 UNION ALL SELECT 11 UNION ALL SELECT 110) o ON c.postal_code IS NOT NULL
-JOIN fx_company m ON m.k = CAST(substr(s.case_id, 5) AS BIGINT) + o.step
-"""
+VIEWS["fx_case_existing"] = "\nUNION ALL\n".join(
+    f"""SELECT s.dataset_id, s.case_id, m.* FROM fx_case s JOIN fx_candidate c ON c.id = s.case_id AND c.postal_code IS NOT NULL
+JOIN fx_company m ON m.k = CAST(substr(s.case_id, 5) AS BIGINT) + {step}"""
+    for step in (0, 1, 10, 11, 110)
+)
 
 
 def _results(spark: SparkSession) -> DataFrame:

@@ -7,6 +7,8 @@ from __future__ import annotations
 
 import re
 
+from sitefold import session
+
 VIEWS: dict[str, str] = {}
 
 # One company location per part row.
@@ -150,13 +152,13 @@ FROM lineitem
 """
 
 # Current field values the proposals meet: one row per order and path, some populated.
-VIEWS["fx_field_value"] = """
-SELECT o_orderkey AS candidate_id, p.path_key,
-  CASE WHEN (o_orderkey + length(p.path_key)) % 4 = 0 THEN 'v' || CAST(o_custkey % 2 AS STRING)
-       WHEN (o_orderkey + length(p.path_key)) % 4 = 1 THEN '  ' ELSE NULL END AS current_value
-FROM orders JOIN (SELECT 'company.sicCode' AS path_key UNION ALL SELECT 'company.website'
-  UNION ALL SELECT 'location.phone' UNION ALL SELECT 'location.buildingType') p ON o_orderkey >= 0
-"""
+VIEWS["fx_field_value"] = "\nUNION ALL\n".join(
+    f"""SELECT o_orderkey AS candidate_id, '{path}' AS path_key,
+  CASE WHEN (o_orderkey + {len(path)}) % 4 = 0 THEN 'v' || CAST(o_custkey % 2 AS STRING)
+       WHEN (o_orderkey + {len(path)}) % 4 = 1 THEN '  ' ELSE NULL END AS current_value
+FROM orders"""
+    for path in ["company.sicCode", "company.website", "location.phone", "location.buildingType"]
+)
 
 
 def needed(sql: str) -> list[str]:
@@ -193,6 +195,7 @@ TABLES = [
 
 def register(spark, sf_dir: str) -> None:
     """Base tables and derived views as temporary views of the session."""
+    session.apply(spark)
     for name in TABLES:
         spark.read.parquet(f"{sf_dir}/{name}.parquet").createOrReplaceTempView(name)
     for name, sql in VIEWS.items():

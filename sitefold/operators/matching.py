@@ -269,13 +269,11 @@ def _unrelated_heads(cp: DataFrame, mh: DataFrame, k: int) -> DataFrame:
     for keys in (["phone", "domain"], ["phone"], ["domain"]):
         cond = reduce(lambda a, b: a & b, [F.col(f"c_{x}") == F.col(f"m_{x}") for x in keys])
         parts.append(cp.join(heads(keys), cond))
-    # k rows whatever the size of the master: attached to each candidate as a constant-size array
-    first = mh.orderBy(*id_order()).limit(k).select(
-        F.struct(*[c for c in mh.columns]).alias("m"), F.lit(1).alias("_one")
-    )
-    packed = first.groupBy("_one").agg(F.collect_list("m").alias("ms"))
-    lone = cp.withColumn("_one", F.lit(1)).join(F.broadcast(packed), "_one").drop("_one")
-    parts.append(lone.withColumn("m", F.explode("ms")).select(*cp.columns, "m.*"))
+    # k ids whatever the size of the master
+    first = [r.master_id for r in mh.orderBy(*id_order()).select("master_id").limit(k).collect()]
+    if first:
+        lone = cp.withColumn("master_id", F.explode(F.array(*[F.lit(i) for i in first])))
+        parts.append(lone.join(F.broadcast(mh.where(F.col("master_id").isin(first))), "master_id"))
     pairs = reduce(DataFrame.unionByName, parts).dropDuplicates(["profile", "master_id"])
     return score_pairs(pairs).where((F.col("name_score") == 0) & (F.col("address_score") == 0))
 

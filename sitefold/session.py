@@ -23,3 +23,10 @@ def configure(builder: SparkSession.Builder) -> SparkSession.Builder:
     for key, value in SETTINGS.items():
         builder = builder.config(key, value)
     return builder
+
+
+def apply(spark: SparkSession) -> SparkSession:
+    """Set the same on a session that is already running."""
+    for key, value in SETTINGS.items():
+        spark.conf.set(key, value)
+    return spark
