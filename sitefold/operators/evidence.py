@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from sitefold.functions import text as tx
+from sitefold.operators.lineage import cut_lineage
 from sitefold.operators.readiness import with_readiness
 
 # Fields a research provider may propose, in order, with the readiness
@@ -245,13 +246,15 @@ def classify_proposals(proposals: DataFrame, current: DataFrame) -> DataFrame:
     rows = proposals.withColumn("value", F.coalesce("value", F.lit("")))
     special = F.col("is_prior") | F.col("force_conflict")
     human = F.col("derivation") == "human_confirmed"
-    groups = rows.groupBy(*group).agg(
+    # Written once: five later steps start from this summary, and the proposals behind it
+    # are read only twice.
+    groups = cut_lineage(rows.groupBy(*group).agg(
         F.min("seq").alias("_first"),
         F.min_by(special, "seq").alias("_first_special"),
         F.min_by(human, "seq").alias("_first_is_human"),
         # repeats are dropped and confirm nothing; prior rows and provider conflicts never are repeats
         F.min(F.when(special & human, F.col("seq"))).alias("_special_human"),
-    )
+    ))
     by_value = groups.groupBy(*field, "value").agg(F.min("_first").alias("_first_any"))
     lead = by_value.groupBy(*field).agg(F.min(F.struct("_first_any", "value")).alias("_lead"))
     other = (

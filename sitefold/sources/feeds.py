@@ -38,8 +38,12 @@ def _item(path: Column | str, when: Column, value: Column, raw: Column) -> Colum
     )
 
 
-def _observed(items: list[Column], source: Column, captured_at: Column) -> Column:
-    """Evidence array of the populated fields, all directly observed in one source row."""
+def _observed(items: Column, source: Column, captured_at: Column) -> Column:
+    """Evidence array of the populated fields, all directly observed in one source row.
+
+    ``items`` is a staged column. It is read twice, which keeps the optimizer from
+    pulling its expressions into the lambda, where they would run interpreted.
+    """
     none = F.lit(None).cast("string")
 
     def element(i: Column) -> Column:
@@ -55,7 +59,7 @@ def _observed(items: list[Column], source: Column, captured_at: Column) -> Colum
             F.lit("directly_observed").alias("derivation"),
         )
 
-    return F.transform(F.array_compact(F.array(*items)), element)
+    return F.when(F.size(items) > 0, F.transform(F.filter(items, lambda i: i.isNotNull()), element))
 
 
 def _evidence_source(source_type: str, source_id: Column, name: Column, url: Column, record_id: Column) -> Column:
@@ -146,7 +150,8 @@ def map_licence_rows(rows: DataFrame, source_name: str = "DFW County Business Li
         _item("location.employeeSizeSite", estimate.isNotNull(),
               F.concat(F.lit('{"estimate":'), tx.json_number(estimate), F.lit("}")), tx.json_text(c["employees"])),
     ]
-    evidence = _observed(items, source, F.col("_captured"))
+    staged = staged.withColumn("_items", F.array(*items))
+    evidence = _observed(F.col("_items"), source, F.col("_captured"))
     raw_cells = [n for n in LICENCE_COLUMNS if n in rows.columns]
     return staged.select(
         *keep, "seq", "source_id", "record_id", "fingerprint", "reject_reason",
@@ -256,7 +261,8 @@ def map_json_items(items: DataFrame, source_id: str = "dfw-json", source_name: s
         _item("location.employeeSizeSite", estimate.isNotNull(),
               F.concat(F.lit('{"estimate":'), tx.json_number(estimate), F.lit("}")), tx.json_number(estimate)),
     ]
-    evidence = _observed(items, source, c["publishedAt"])
+    staged = staged.withColumn("_items", F.array(*items))
+    evidence = _observed(F.col("_items"), source, c["publishedAt"])
     first, web, url = JSON_EVIDENCE
     return staged.select(
         "seq", "source_id", c["reportId"].alias("record_id"), "fingerprint", "reject_reason",
