@@ -417,12 +417,13 @@ _EVIDENCE_ITEMS = f"""
 )
 def _(spark):
     e = drafts(spark).select("seq", F.posexplode("field_evidence").alias("position", "e"))
-    path = F.regexp_replace("e.path_key", r"^contact\..*\.", "contact.")
+    key = F.col("e.path_key")
+    path = F.when(F.startswith(key, F.lit("contact.")), F.concat(F.lit("contact."), F.substring_index(key, ".", -1))).otherwise(key)
     j = F.col("e.value_json")
     value = (
         F.when(path == "location.physicalAddress", F.get_json_object(j, "$.city"))
         .when(path == "location.employeeSizeSite", F.get_json_object(j, "$.estimate"))
-        .otherwise(F.get_json_object(F.concat(F.lit("["), j, F.lit("]")), "$[0]"))
+        .otherwise(F.btrim(j, F.lit('"')))
     )
     return e.select("seq", long("position").alias("position"), path.alias("path_key"), value.alias("value"), "e.confidence", "e.derivation")
 

@@ -10,6 +10,8 @@ SETTINGS = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     # Rows here are small and costly to compare: let small stages keep all cores busy.
     "spark.sql.adaptive.coalescePartitions.minPartitionSize": "32k",
+    # The filter Spark infers below explode() would build the exploded array a second time.
+    "spark.sql.optimizer.excludedRules": "org.apache.spark.sql.catalyst.optimizer.InferFiltersFromGenerate",
     # The JVM never compiles a method above 8000 bytes; a stage that would need one runs
     # faster as separate, compiled projections.
     "spark.sql.codegen.hugeMethodLimit": "8000",
