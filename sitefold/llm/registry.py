@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from sitefold.llm import common as C, packing, quality, secrets, token_files
+from sitefold.llm import common as C, licenses, mixing, packing, quality, secrets, token_files, topk, urls
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -17,6 +17,11 @@ def query(fn: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSessio
     return fn
 
 
+@query
+def op1_source_mix(spark: SparkSession, folder: str) -> DataFrame:
+    return mixing.mix(C.table(spark, folder, "documents")).select("doc_id", "size", "source_size", "target", "taken", "source", "copies")
+
+
 @query
 def op2_token_files(spark: SparkSession, folder: str) -> DataFrame:
     place = C.new_path(spark, "tokens")
@@ -33,6 +38,35 @@ def op3_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
                          F.col("__rule").alias("rule"), (~F.col("__failed") & (F.col("__rule") == 0)).alias("kept"))
 
 
+@query
+def op4_license_scan(spark: SparkSession, folder: str) -> DataFrame:
+    return licenses.scan(C.table(spark, folder, "documents")).drop("spans")
+
+
+@query
+def op5_url_filter(spark: SparkSession, folder: str) -> DataFrame:
+    pages = C.table(spark, folder, "pages")
+    return urls.judge(pages, urls.learn(pages, C.table(spark, folder, "labels")))
+
+
+@query
+def op6_exact_topk(spark: SparkSession, folder: str) -> DataFrame:
+    return topk.search(C.table(spark, folder, "embeddings"), F.col("vec_id") % 50 == 0)
+
+
+ORACLE["op6_exact_topk"] = """
+WITH v AS (
+  SELECT vec_id, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS v FROM embeddings
+  WHERE vec_id IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), s AS (
+  SELECT q.vec_id AS query_id, c.vec_id, CAST(list_inner_product(q.v, c.v) AS BIGINT) AS score
+  FROM v q JOIN v c ON c.vec_id <> q.vec_id WHERE q.vec_id % 50 = 0
+)
+SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score
+FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM s) WHERE rank <= 5
+"""
+
+
 @query
 def op8_secret_scan(spark: SparkSession, folder: str) -> DataFrame:
     ledger = secrets.Ledger(spark, C.new_path(spark, "secret-ledger"))

@@ -115,7 +115,7 @@ class Ledger:
             versions.select(F.col(id_column).alias("doc_id"), F.unhex(F.sha2(C.text_of(text_column), 256)).alias("blob")), "paths")
         # A null id cannot be joined on, so a stand-in takes its place.
         seen = self.rows().where(F.col("version") == version).select("blob")
-        unseen = (paths.join(seen, "blob", "left_anti").groupBy("blob").agg(F.min("doc_id").alias("pick"))
+        unseen = (paths.groupBy("blob").agg(F.min("doc_id").alias("pick")).join(seen, "blob", "left_anti")
                   .select("blob", F.coalesce(F.col("pick").cast("string"), F.lit("")).alias("pick")))
         texts = versions.select(F.coalesce(F.col(id_column).cast("string"), F.lit("")).alias("pick"), C.text_of(text_column).alias("text"))
         texts = texts.withColumn("blob", F.unhex(F.sha2("text", 256)))
