@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from sitefold.llm import common as C, licenses, mixing, packing, quality, secrets, token_files, topk, urls
+from sitefold.llm import common as C, licenses, lm, mixing, packing, quality, secrets, token_files, topk, urls
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -76,6 +76,11 @@ def op8_secret_scan(spark: SparkSession, folder: str) -> DataFrame:
                         secrets.written_spans(F.col("spans")).alias("spans"))
 
 
+@query
+def op9_lm_score(spark: SparkSession, folder: str) -> DataFrame:
+    return lm.score(C.table(spark, folder, "documents"), C.tokenizer_path("piece_bpe_32k.model"))
+
+
 @query
 def op10_packing(spark: SparkSession, folder: str) -> DataFrame:
     return packing.pack(C.table(spark, folder, "documents"), C.tokenizer_path("word_bpe_49k.json"), 2, with_ids=False)
