@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
 from sitefold.llm import common as C
 
@@ -70,7 +70,7 @@ def _settle(items: Column, salt: Column) -> Column:
 
 def mix(docs: DataFrame, *, weights: tuple[float, ...] = (3, 1, 2), ratio: float = 1.5, most: float = 2.0, seed: int = 17,
         id_column: str = "doc_id", text_column: str = "text", source_column: str = "source") -> DataFrame:
-    """How often the mix takes each document: doc_id, source, size, source_size, target, copies, taken.
+    """How often the mix takes each document: doc_id, source, print, size, source_size, target, copies, taken.
 
     ``weights`` repeat over the sources in code point order, null last. A source's documents should be copied
     ``target / source_size`` times. The whole part is certain; the fraction is rounded by weighted pivotal rounding, so that
@@ -90,7 +90,7 @@ def mix(docs: DataFrame, *, weights: tuple[float, ...] = (3, 1, 2), ratio: float
                                                 F.sum(F.when(F.col("size") > 0, 1).otherwise(0)).alias("items")), "sources")
     largest = sums.agg(F.max("items").alias("items"), F.sum("size").alias("size")).first()
     if largest["size"] is None:
-        return docs.sparkSession.createDataFrame([], "doc_id bigint, source string, size bigint, source_size bigint, target double, copies bigint, taken bigint")
+        return docs.sparkSession.createDataFrame([], "doc_id bigint, source string, print bigint, size bigint, source_size bigint, target double, copies bigint, taken bigint")
     ordered = C.running_total(sums.withColumn("last", F.col("source").isNull()).withColumn("one", F.lit(1)), ["last", "source"], "one", "place")
     weighted = ordered.withColumn("weight", F.element_at(F.array(*[F.lit(float(w)) for w in weights]), (F.col("place") % len(weights) + 1).cast("int")))
     targets = C.written(shares(C.written(weighted, "weights"), largest["size"], weights=weights, ratio=ratio, most=most).select(
@@ -132,4 +132,16 @@ def mix(docs: DataFrame, *, weights: tuple[float, ...] = (3, 1, 2), ratio: float
     copies = F.col("item.sure") + F.col("copies")
     out = out.select("item.*", "source", copies.alias("all"), F.explode(F.sequence(F.lit(0).cast("long"), F.col("item.n") - 1)).alias("k"))
     own = F.floor(F.col("all") / F.col("n")) + (F.col("k") < F.col("all") % F.col("n")).cast("long")
-    return out.select("doc_id", "source", "size", "source_size", F.col("target").cast("double").alias("target"), own.alias("copies"), (own * F.col("size")).alias("taken"))
+    return out.select("doc_id", "source", "print", "size", "source_size", F.col("target").cast("double").alias("target"), own.alias("copies"), (own * F.col("size")).alias("taken"))
+
+
+def apply(docs: DataFrame, mixed: DataFrame, *, id_column: str = "doc_id", text_column: str = "text", source_column: str = "source") -> DataFrame:
+    """The rows of ``docs``, each as often as ``mixed`` takes it; rows that it does not take go."""
+    key = F.struct(F.col("doc_id"), F.col("source"), F.col("print"))
+    taken = mixed.groupBy(key.alias("__key")).agg(F.sum("copies").alias("__all"), F.count("*").alias("__n"))
+    own = F.struct(F.col(id_column).alias("doc_id"), F.col(source_column).alias("source"), F.xxhash64(C.text_of(text_column)).alias("print"))
+    joined = docs.withColumn("__key", own).join(taken, "__key")
+    # Rows of one key only differ in other columns; they share the copies evenly.
+    place = F.row_number().over(W.partitionBy("__key").orderBy(F.xxhash64(*[F.col(c) for c in docs.columns if c != text_column]))) - 1
+    copies = F.floor(F.col("__all") / F.col("__n")) + (F.col("__k") < F.col("__all") % F.col("__n")).cast("long")
+    return joined.withColumn("__k", place).withColumn("__one", F.explode(F.array_repeat(F.lit(0), copies.cast("int")))).select(*[F.col(c) for c in docs.columns])

@@ -146,3 +146,14 @@ def redacted(text: Column, spans: Column) -> Column:
             F.when(x["start"] >= s["at"], F.concat(s["out"], F.substring(text, s["at"] + 1, x["start"] - s["at"]), F.lit("["), x["kind"], F.lit("]")))
             .otherwise(s["out"]).alias("out")))
     return F.when(F.size(spans) > 0, F.concat(state["out"], F.substring(text, state["at"] + 1, F.length(text)))).otherwise(text)
+
+
+def redact(docs: DataFrame, found: DataFrame, *, text_column: str = "text", size_column: str = "n_chars") -> DataFrame:
+    """``docs`` with the spans of ``found`` (from ``Ledger.scan``) replaced; ``size_column``, if there, follows the new text."""
+    hits = found.where(F.size("spans") > 0).groupBy("blob").agg(F.first("spans").alias("__spans")).withColumnRenamed("blob", "__blob")
+    joined = docs.withColumn("__blob", F.unhex(F.sha2(C.text_of(text_column), 256))).join(hits, "__blob", "left")
+    joined = joined.withColumn(text_column, F.when(F.col("__spans").isNotNull(), redacted(F.col(text_column), F.col("__spans"))).otherwise(F.col(text_column)))
+    if size_column in docs.columns:
+        size = F.when(F.col("__spans").isNotNull(), F.length(text_column).cast(docs.schema[size_column].dataType)).otherwise(F.col(size_column))
+        joined = joined.withColumn(size_column, size)
+    return joined.select(*docs.columns)
