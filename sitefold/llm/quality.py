@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import math
+from collections.abc import Callable
 from dataclasses import dataclass
 from functools import reduce
 
@@ -13,9 +14,8 @@ from sitefold.llm import common as C
 WINDOW = 8
 SYMBOLS = "#*$%&|<>"
 COUNTS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
-#: What rules may test: ratios of the counts, so that a threshold means the same for short and long texts.
+#: What rules may test: ratios of the counts, so that a threshold means the same for short and long texts; length is for the base rule.
 FEATURES = {
-    "n_words": lambda c: c["n_words"].cast("double"),
     "mean_word": lambda c: c["word_chars"] / F.greatest(c["n_words"], F.lit(1)),
     "symbols_per_word": lambda c: c["n_symbols"] / F.greatest(c["n_words"], F.lit(1)),
     "dup_lines_per_word": lambda c: c["n_dup_lines"] / F.greatest(c["n_words"], F.lit(1)),
@@ -30,6 +30,14 @@ def _without(text: Column, chars: str) -> Column:
     return F.length(text) - F.length(F.translate(text, chars, ""))
 
 
+def let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body`` of a value that is computed once, however often ``body`` names it.
+
+    A column of its own would not do: a filter above is pushed below the projection, and each name in it becomes the expression again.
+    """
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
 def repeat_words(windows: Column) -> Column:
     """Words lying in a window of 8 words that the text holds twice or more, from the windows' hashes.
 
@@ -45,38 +53,33 @@ def repeat_words(windows: Column) -> Column:
     def covered(p: Column) -> Column:
         return F.aggregate(F.transform(p, lambda x, k: F.least(F.lit(WINDOW), F.coalesce(F.get(p, k + 1) - x, F.lit(WINDOW)))), F.lit(0), lambda a, x: a + x)
 
-    # transform over a one-element array binds a value that is used several times.
-    bound = F.transform(F.transform(F.array(ordered), places), covered)
-    return F.when(F.size(F.array_distinct(windows)) < F.size(windows), F.element_at(bound, 1)).otherwise(F.lit(0))
+    return F.when(F.size(F.array_distinct(windows)) < F.size(windows), let(let(ordered, places), covered)).otherwise(F.lit(0))
 
 
-def measured(docs: DataFrame, text: Column) -> DataFrame:
-    """Add ``__c``, a struct of the counts of the whole text; the other columns stay.
+def counts_of(text: Column) -> Column:
+    """A struct of the counts of the whole text. Hashes of 8-word windows come from doubling (1, 2, 4, 8 words)."""
+    def doubled(h: Column, k: int) -> Column:
+        """Hashes of twice as many words; the last ones, of windows that the text's end cuts, are of no use."""
+        return F.transform(h, lambda x, i: F.xxhash64(x, F.get(h, i + k)))
 
-    Hashes of 8-word windows come from doubling (1, 2, 4, 8 words); each step is a column of its own, so that it is
-    computed once.
-    """
-    lines = F.split(F.col("__t"), "\n", -1)
-    full = F.filter(lines, lambda x: F.translate(x, C.BLANKS, "") != "")
-    n = F.col("__n")
-
-    def step(column: str, k: int, least: int) -> Column:
-        h = F.col(column)
-        pairs = F.zip_with(F.slice(h, 1, F.size(h) - k), F.slice(h, 1 + k, F.size(h) - k), lambda x, y: F.xxhash64(x, y))
-        return F.when(F.size(h) > k, pairs).otherwise(F.array().cast("array<bigint>"))
-
-    out = docs.withColumn("__t", text).withColumn("__w1", F.transform(C.words_of(F.col("__t")), lambda w: F.xxhash64(w)))
-    for a, b, k in (("__w1", "__w2", 1), ("__w2", "__w4", 2), ("__w4", "__w8", 4)):
-        out = out.withColumn(b, step(a, k, k))
-    out = out.withColumn("__n", F.size("__w1")).withColumn("__full", full)
-    chars = F.length(F.translate(F.col("__t"), C.BLANKS, ""))
-    counts = {
-        "n_words": n, "word_chars": chars, "n_symbols": _without(F.col("__t"), SYMBOLS),
-        "n_dup_lines": F.size("__full") - F.size(F.array_distinct("__full")), "n_repeat_words": repeat_words(F.col("__w8")),
-        "n_upper": _without(F.col("__t"), C.UPPER), "n_marks": _without(F.col("__t"), "!?"), "n_digits": _without(F.col("__t"), "0123456789"),
-    }
-    keep = [c for c in out.columns if not c.startswith("__") or c in docs.columns]
-    return out.select(*keep, F.struct(*[v.cast("long").alias(k) for k, v in counts.items()]).alias("__c"))
+    def repeated(four: Column) -> Column:
+        """A text that repeats no 4 words repeats no 8."""
+        eight = lambda w: let(F.slice(doubled(w, 4), 1, F.greatest(F.size(w) - 7, F.lit(0))), repeat_words)
+        return F.when(F.size(F.array_distinct(four)) < F.size(four), eight(four)).otherwise(F.lit(0))
+
+    def counted(t: Column) -> Column:
+        full = F.filter(F.split(t, "\n", -1), lambda x: F.rlike(x, F.lit(C.WORD)))
+        of_lines = let(full, lambda x: F.size(x) - F.size(F.array_distinct(x)))
+        of_words = let(C.words_of(t), lambda w: F.struct(
+            F.size(w).alias("n"), F.aggregate(w, F.lit(0), lambda a, x: a + F.length(x)).alias("chars"),
+            let(let(doubled(w, 1), lambda h: doubled(h, 2)), repeated).alias("r")))
+        # One pass leaves the characters that are counted; each kind is then told apart on what little is left.
+        rare = F.regexp_replace(t, f"[^{SYMBOLS}A-Z0-9!?]+", "")
+        return let(F.struct(of_words.alias("w"), rare.alias("x")), lambda b: F.struct(*[v.cast("long").alias(k) for k, v in {
+            "n_words": b["w"]["n"], "word_chars": b["w"]["chars"], "n_symbols": _without(b["x"], SYMBOLS), "n_dup_lines": of_lines, "n_repeat_words": b["w"]["r"],
+            "n_upper": _without(b["x"], C.UPPER), "n_marks": _without(b["x"], "!?"), "n_digits": _without(b["x"], "0123456789")}.items()]))
+
+    return let(text, counted)
 
 
 def base_failed(c: Column) -> Column:
@@ -129,17 +132,17 @@ class _Statistics:
                 for k, xs in cuts.items() if xs]
         self.rows = rows.withColumn("bins", F.array(*bins))
 
-    def of(self, tests: tuple[Test, ...], earlier: tuple[tuple[Test, ...], ...], grow: bool) -> dict[str, list[tuple[int, int]]]:
-        """For rows that no earlier rule covers: (good, bad) by bin of each feature. As many rows as there are bins."""
+    def of(self, tests: tuple[Test, ...], earlier: tuple[tuple[Test, ...], ...]) -> list[dict[str, list[tuple[int, int]]]]:
+        """For rows that no earlier rule covers, of the pruning and of the growing part: (good, bad) by bin of each feature."""
         values = {k: F.col(k) for k in self.cuts}
-        some = self.rows.where((F.col("grow") == grow) & (DecisionList(earlier).rejected_by(values) == 0))
+        some = self.rows.where(DecisionList(earlier).rejected_by(values) == 0)
         for t in tests:
             some = some.where(t.column(values))
-        counted = some.select(F.explode("bins").alias("b"), "bad").groupBy("b.feature", "b.bin").agg(
+        counted = some.select("grow", F.explode("bins").alias("b"), "bad").groupBy("grow", "b.feature", "b.bin").agg(
             F.sum(1 - F.col("bad")).alias("good"), F.sum("bad").alias("bad")).collect()
-        out = {k: [(0, 0)] * (len(xs) + 1) for k, xs in self.cuts.items()}
+        out = [{k: [(0, 0)] * (len(xs) + 1) for k, xs in self.cuts.items()} for _ in range(2)]
         for r in counted:
-            out[r["feature"]][r["bin"]] = (r["good"], r["bad"])
+            out[r["grow"]][r["feature"]][r["bin"]] = (r["good"], r["bad"])
         return out
 
 
@@ -148,18 +151,24 @@ def _totals(counts: dict[str, list[tuple[int, int]]]) -> tuple[int, int]:
     return sum(g for g, _ in bins), sum(b for _, b in bins)
 
 
-def _best(counts: dict[str, list[tuple[int, int]]], cuts: dict[str, list[float]], good: int, bad: int) -> tuple[float, Test | None]:
-    """The test of largest information gain for the bad rows (FOIL): bad kept x (purity after - before), in bits."""
-    best: tuple[float, Test | None] = (0.0, None)
+def _best(counts: dict[str, list[tuple[int, int]]], cuts: dict[str, list[float]], good: int, bad: int, slack: float = 0.02) -> Test | None:
+    """The test of largest information gain for the bad rows (FOIL): bad kept x (purity after - before), in bits.
+
+    Its threshold then moves away from the good rows, as far as that costs at most ``slack`` of the bad ones it covers: what lies
+    between the two kinds is given the benefit of the doubt.
+    """
+    found: list[tuple[float, str, bool, int, int]] = []
     for feature, bins in counts.items():
-        for k, cut in enumerate(cuts[feature]):
+        for k in range(len(cuts[feature])):
             low = (sum(g for g, _ in bins[: k + 1]), sum(b for _, b in bins[: k + 1]))
             for above, (g, b) in ((False, low), (True, (good - low[0], bad - low[1]))):
                 if b:
-                    gain = b * (math.log2(b / (g + b)) - math.log2(bad / (good + bad)))
-                    if gain > best[0] + 1e-9:
-                        best = gain, Test(feature, above, cut)
-    return best
+                    found.append((b * (math.log2(b / (g + b)) - math.log2(bad / (good + bad))), feature, above, k, b))
+    gain, feature, above, k, covered = max(found, key=lambda x: (x[0], x[1], x[2], -x[3]), default=(0.0, "", True, 0, 0))
+    if gain <= 1e-9:
+        return None
+    near = [j for _, f, a, j, b in found if f == feature and a == above and b >= (1 - slack) * covered and (j >= k if above else j <= k)]
+    return Test(feature, above, cuts[feature][max(near) if above else min(near)])
 
 
 def learn(docs: DataFrame, labels: DataFrame, *, max_labelled: int = 20_000, bins: int = 24, max_rules: int = 8, max_tests: int = 3,
@@ -182,46 +191,54 @@ def learn(docs: DataFrame, labels: DataFrame, *, max_labelled: int = 20_000, bin
         known = known.where(F.pmod(F.xxhash64(F.lit("labelled"), "__id"), F.lit(1 << 30)) < int((1 << 30) * max_labelled / total))
     # As many rows as the parameter allows: ids and one number each.
     texts = docs.select(F.col(id_column).alias("__id"), F.col(text_column).alias("__x")).join(F.broadcast(known), "__id")
-    counted = measured(texts, C.text_of("__x")).where(~base_failed(F.col("__c")))
     grow = F.pmod(F.xxhash64(F.lit("grow"), "__id"), F.lit(3)) > 0
-    rows = C.written(counted.select("bad", grow.alias("grow"), *[v.alias(k) for k, v in features(F.col("__c")).items()]), "labelled")
+    counted = C.written(texts.select("bad", grow.alias("grow"), counts_of(C.text_of("__x")).alias("c")), "labelled")
+    # At most as many rows as the parameter allows: a few tasks read them, each of the few times.
+    rows = counted.coalesce(8).where(~base_failed(F.col("c"))).select("bad", "grow", *[v.alias(k) for k, v in features(F.col("c")).items()])
     at = [k / bins for k in range(1, bins)] + [0.98, 0.99, 0.995]
     found = rows.select(*[F.percentile_approx(k, F.lit(at), 10_000).alias(k) for k in FEATURES]).first()
     cuts = {k: sorted(set(found[k] or [])) for k in FEATURES}
+    if not any(cuts.values()):
+        return DecisionList(())
     statistics = _Statistics(rows, cuts)
-    start = _totals(statistics.of((), (), True))
+    _, fresh = statistics.of((), ())
+    every = _totals(fresh)[1]
     rules: list[tuple[Test, ...]] = []
     while len(rules) < max_rules:
         tests: tuple[Test, ...] = ()
-        counts = statistics.of((), tuple(rules), True)
-        good, bad = _totals(counts)
-        if not good or not bad:
-            break
-        while len(tests) < max_tests and good:
-            _, test = _best(counts, cuts, good, bad)
+        good, bad = _totals(fresh)
+        grown, counts = [], fresh
+        while len(tests) < max_tests and good and bad:
+            test = _best(counts, cuts, good, bad)
             if test is None:
                 break
             tests += (test,)
-            counts = statistics.of(tests, tuple(rules), True)
+            held, counts = statistics.of(tests, tuple(rules))
             good, bad = _totals(counts)
-        if not tests:
+            grown.append((tests, _totals(held), (good, bad)))
+        if not grown:
             break
-        held = [_totals(statistics.of(tests[:k], tuple(rules), False)) for k in range(1, len(tests) + 1)]
-        worth = [(b - g) / (b + g) if b + g else -1.0 for g, b in held]
-        best = max(range(len(tests)), key=lambda k: (worth[k], -k))
-        tests, (g, b) = tests[: best + 1], held[best]
-        good, bad = _totals(statistics.of(tests, tuple(rules), True))
-        if bad < max(1, least * start[1]) or bad < purity * (good + bad) or b < purity * (g + b):
+        worth = [(b - g) / (b + g) if b + g else -1.0 for _, (g, b), _ in grown]
+        tests, (g, b), (good, bad) = grown[max(range(len(grown)), key=lambda k: (worth[k], -k))]
+        if bad < max(1, least * every) or bad < purity * (good + bad) or b < purity * (g + b):
             break
         rules.append(tests)
+        _, fresh = statistics.of((), tuple(rules))
     return DecisionList(tuple(rules))
 
 
-def judge(docs: DataFrame, rules: DecisionList, *, text_column: str = "text") -> DataFrame:
-    """``docs`` with ``__c`` (the counts), ``__failed`` (the base rule) and ``__rule`` (number of the rule that rejects, else 0).
+def judge(text: Column, rules: DecisionList) -> Column:
+    """Struct of ``counts``, ``failed`` (the base rule) and ``rule`` (number of the rule that rejects, else 0) of a text.
+
+    One conditional expression over the counts, without a shuffle. A null text counts as one without words, which the base rule fails.
+    """
+    return let(counts_of(F.coalesce(text, F.lit(""))), lambda c: F.struct(
+        c.alias("counts"), base_failed(c).alias("failed"), rules.rejected_by(features(c)).alias("rule")))
+
+
+def kept(docs: DataFrame, rules: DecisionList, *, text_column: str = "text") -> DataFrame:
+    """The rows of ``docs`` that neither the base rule nor the list rejects.
 
-    One pass without a shuffle: the list is a conditional expression over the counts. A null text counts as one without
-    words, which the base rule fails. Repeated rows and rows without an id are judged like others; no row is added or lost.
+    Repeated rows and rows without an id are judged like others; the columns, whatever their names, stay as they are.
     """
-    out = measured(docs, C.text_of(text_column))
-    return out.withColumn("__failed", base_failed(F.col("__c"))).withColumn("__rule", rules.rejected_by(features(F.col("__c"))))
+    return docs.where(let(judge(F.col(text_column), rules), lambda v: ~v["failed"] & (v["rule"] == 0)))

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from sitefold.llm import common as C, licenses, lm, mixing, packing, quality, secrets, token_files, topk, urls
+from sitefold.llm import common as C, licenses, lm, mixing, neardup, packing, quality, secrets, token_files, topk, urls
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -33,9 +33,9 @@ def op2_token_files(spark: SparkSession, folder: str) -> DataFrame:
 def op3_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     docs = C.table(spark, folder, "documents")
     rules = quality.learn(docs, C.table(spark, folder, "labels"))
-    judged = quality.judge(docs.select("doc_id", "text"), rules)
-    return judged.select("doc_id", *[F.col("__c")[c].alias(c) for c in quality.COUNTS], F.col("__failed").alias("base_failed"),
-                         F.col("__rule").alias("rule"), (~F.col("__failed") & (F.col("__rule") == 0)).alias("kept"))
+    judged = docs.select("doc_id", quality.judge(F.col("text"), rules).alias("v"))
+    return judged.select("doc_id", *[F.col(f"v.counts.{c}") for c in quality.COUNTS], F.col("v.failed").alias("base_failed"),
+                         F.col("v.rule").alias("rule"), (~F.col("v.failed") & (F.col("v.rule") == 0)).alias("kept"))
 
 
 @query
@@ -67,6 +67,29 @@ FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, ve
 """
 
 
+@query
+def op7_near_duplicates(spark: SparkSession, folder: str) -> DataFrame:
+    return neardup.cluster(C.table(spark, folder, "documents"))
+
+
+ORACLE["op7_near_duplicates"] = """
+WITH RECURSIVE w AS (
+  SELECT doc_id, list_filter(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\\x20\\x09-\\x0D]+'),
+                             lambda x: x <> '') AS w FROM documents
+), s AS (
+  SELECT doc_id, list_distinct(CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 5 THEN [array_to_string(w, ' ')]
+         ELSE list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i+4], ' ')) END) AS s FROM w
+), e AS (SELECT doc_id, len(s) AS n, unnest(s) AS g FROM s),
+pairs AS (
+  SELECT a.doc_id AS a, b.doc_id AS b FROM e a JOIN e b ON a.g = b.g AND a.doc_id <> b.doc_id
+  GROUP BY a.doc_id, b.doc_id, a.n, b.n HAVING 100 * count(*) >= 75 * (a.n + b.n - count(*))
+), reach(id, c) AS (
+  SELECT doc_id, doc_id FROM s UNION SELECT reach.id, pairs.b FROM reach JOIN pairs ON reach.c = pairs.a
+), least AS (SELECT id, min(c) AS c FROM reach GROUP BY id)
+SELECT doc_id, CAST(len(s) AS BIGINT) AS n_shingles, c AS component_id, doc_id = c AS kept FROM s JOIN least ON id = doc_id
+"""
+
+
 @query
 def op8_secret_scan(spark: SparkSession, folder: str) -> DataFrame:
     ledger = secrets.Ledger(spark, C.new_path(spark, "secret-ledger"))
