@@ -6,7 +6,7 @@ import datetime as dt
 import uuid
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from oracle import parts as P
@@ -534,11 +534,11 @@ def _(spark):
 
 @query(
     "unseen_codes",
-    "SELECT v AS value FROM (VALUES ('DIRE'), ('KEEP'), ('RSCH'), ('RDEL'), ('DELE')) t(v) WHERE v NOT IN (SELECT status FROM fx_company WHERE status IS NOT NULL) UNION ALL SELECT v FROM (VALUES ('AFFL'), ('HQTR')) t(v) WHERE v NOT IN (SELECT c_mktsegment FROM customer)",
+    "SELECT v AS value FROM (VALUES ('DIRE'), ('KEEP'), ('RSCH'), ('RDEL'), ('DELE')) t(v) WHERE v NOT IN (SELECT status FROM fx_company WHERE status IS NOT NULL) UNION ALL SELECT v FROM (VALUES ('AFFL'), ('HQTR')) t(v) WHERE v NOT IN (SELECT relationship_type FROM fx_edge)",
 )
 def _(spark):
     a = profiling.unseen_values(directory(spark), "status", profiling.EXPECTED_STATUSES)
-    return a.unionByName(profiling.unseen_values(spark.table("customer"), "c_mktsegment", profiling.EXPECTED_RELATIONSHIPS))
+    return a.unionByName(profiling.unseen_values(edges(spark), "relationship_type", profiling.EXPECTED_RELATIONSHIPS))
 
 
 @query(
@@ -610,7 +610,7 @@ def _(spark):
     FROM u ORDER BY {_PERMIT_ORDER} LIMIT 500""",
 )
 def _(spark):
-    rows = permits.pull(spark.table("fx_permit"), WINDOW, COUNTIES, ties=TIES)
+    rows = permits.pull(spark.table("fx_permit"), WINDOW, COUNTIES, 500, TIES)
     return rows.select("source_record_id", *TIES, "query_window_start", "query_window_end", joined("requested_counties").alias("requested_counties"))
 
 
@@ -853,12 +853,9 @@ def _(spark):
     return _scored(spark).select("candidate_id", "review_priority")
 
 
-@query("queue_order", f"WITH {P.QUEUE} SELECT candidate_id, row_number() OVER (ORDER BY review_priority DESC, match_score DESC, candidate_id) AS position FROM queue ORDER BY position LIMIT 200")
+@query("queue_order", f"WITH {P.QUEUE} SELECT candidate_id, row_number() OVER (ORDER BY review_priority DESC, match_score DESC, candidate_id) AS position FROM queue")
 def _(spark):
-    # The work list as a reviewer opens it: the first 200 rows with their place.
-    top = tables.queue_in_order(_scored(spark).select("candidate_id", "review_priority", "match_score")).limit(200)
-    w = Window.orderBy(F.desc("review_priority"), F.desc("match_score"), "candidate_id")
-    return top.select("candidate_id", long(F.row_number().over(w)).alias("position"))
+    return tables.queue_positions(_scored(spark).select("candidate_id", "review_priority", "match_score"))
 
 
 @query(
@@ -1200,6 +1197,17 @@ def _(spark):
     return r.select("candidate_id", "provider_id", "position", joined(F.array_sort("fields")).alias("fields"))
 
 
+@query(
+    "provider_requests_all",
+    f"""WITH {_PLAN} SELECT candidate_id, provider_id, position, string_agg(p.field, '|' ORDER BY p.field) AS fields FROM planned p JOIN fx_provider v ON v.field = p.field
+      WHERE can_run GROUP BY 1, 2, 3""",
+)
+def _(spark):
+    plans = evidence.plan_fields(readiness.with_readiness(candidates(spark)), _SUPPORTED)
+    r = evidence.provider_requests(plans, spark.table("fx_provider"), None)
+    return r.select("candidate_id", "provider_id", "position", joined(F.array_sort("fields")).alias("fields"))
+
+
 @query(
     "research_field_sets",
     f"""WITH {_PLAN} SELECT candidate_id, count(*) FILTER (blocked) AS blocked, count(*) FILTER (open_rule AND NOT blocked) AS unresolved, count(*) FILTER (NOT blocked AND NOT open_rule) AS optional FROM planned GROUP BY 1""",

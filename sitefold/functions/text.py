@@ -171,8 +171,10 @@ def fixed4(x: Column) -> Column:
 
 
 def number_or_null(c: Column) -> Column:
-    """Text to double; null when it is not a number, or is zero."""
-    n = trim_ws(c).try_cast("double")
+    """Text to double; null when it is not a plain decimal number, or is zero."""
+    # A cast alone would also take Java's forms, such as 5d or 12F.
+    plain = trim_ws(c).rlike(r"^[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?$")
+    n = F.when(plain, trim_ws(c).try_cast("double"))
     return F.when((n != 0) & ~F.isnan(n), n)
 
 

@@ -2,28 +2,17 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
-_LOCAL: dict[str, str] = {}
-
 
 def shared_folder(spark: SparkSession) -> str:
-    """Folder all executors share: the session's ``spark.checkpoint.dir``.
-
-    Only a local session that names none (as in tests) gets a temporary one.
-    """
+    """Folder all executors share: the session's ``spark.checkpoint.dir``, or the one set on its context."""
     folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
-    if folder:
-        return folder.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
+    if not folder:
         raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
-    app = spark.sparkContext.applicationId
-    if app not in _LOCAL:
-        _LOCAL[app] = tempfile.mkdtemp(prefix="sitefold-")
-    return _LOCAL[app]
+    return folder.rstrip("/")
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:

@@ -29,8 +29,9 @@ def names_differ() -> Column:
 def permit_profile(observations: DataFrame) -> DataFrame:
     """The scalar metrics of a pull as one row.
 
-    Rows are first combined per (taxpayer, record id), so that distinct counts are
-    plain counts over groups and no set of ids is ever held in one place.
+    The counters are one global aggregate: a row per task leaves the scan. Only the two keys
+    are shuffled for the distinct counts, which are plain counts over groups, so that no set of
+    ids is ever held in one place.
     """
 
     def missing(name: str) -> Column:
@@ -53,21 +54,23 @@ def permit_profile(observations: DataFrame) -> DataFrame:
         "outside_city_limits": F.count_if(limits == "outside"),
         "unknown_city_limits": F.count_if(limits == "unknown"),
     }
-    per_record = observations.groupBy(
-        tx.string_field(F.col("taxpayer_number")).alias("_taxpayer"), "source_record_id"
-    ).agg(F.count("*").alias("_n"), *[c.alias(n) for n, c in sums.items()])
-    per_taxpayer = per_record.groupBy("_taxpayer").agg(
-        F.sum("_n").alias("_n"), F.count("source_record_id").alias("_ids"), *[F.sum(n).alias(n) for n in sums]
-    )
+    counters = observations.agg(F.count("*").alias("total_observations"), *[c.alias(n) for n, c in sums.items()])
+    per_record = observations.select(tx.string_field(F.col("taxpayer_number")).alias("_taxpayer"), "source_record_id").groupBy(
+        "_taxpayer", "source_record_id").agg(F.count("*").alias("_n"))
+    per_taxpayer = per_record.groupBy("_taxpayer").agg(F.sum("_n").alias("_n"), F.count("source_record_id").alias("_ids"))
     named = F.col("_taxpayer").isNotNull()
-    return per_taxpayer.agg(
-        F.sum("_n").alias("total_observations"),
+    keys = per_taxpayer.agg(
         F.sum("_ids").alias("unique_record_ids"),
         F.sum(F.col("_n") - F.col("_ids")).alias("duplicate_record_ids"),
         F.count("_taxpayer").alias("unique_taxpayers"),
         F.count_if(named & (F.col("_n") > 1)).alias("taxpayers_with_multiple_outlets"),
-        *[F.sum(n).alias(n) for n in sums],
     )
+    some = F.col("total_observations") > 0
+    counters = counters.select(*[F.when(some, F.col(n)).alias(n) for n in counters.columns])
+    # One row from each side, put into one.
+    both = counters.unionByName(keys, allowMissingColumns=True)
+    names = ["total_observations", *keys.columns, *sums]
+    return both.agg(*[F.max(n).alias(n) for n in names])
 
 
 def distributions(observations: DataFrame) -> DataFrame:

@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from sitefold.functions import codes
+from sitefold.operators.lineage import cut_lineage
 from sitefold.sources.master import first_per_key
 
 
@@ -52,11 +53,9 @@ def missing_references(child: DataFrame, child_key: str, parent: DataFrame, pare
 
 
 def content_checksum(df: DataFrame) -> DataFrame:
-    """Row count and an order-independent checksum of a table."""
-    return df.agg(
-        F.count("*").alias("row_count"),
-        F.coalesce(F.bit_xor(F.xxhash64(*df.columns)), F.lit(0)).alias("checksum"),
-    )
+    """Row count and an order-independent checksum of a table: the sum of its rows' hashes, in which equal rows count each time."""
+    hashes = F.sum(F.xxhash64(*df.columns).cast("decimal(38,0)"))
+    return df.agg(F.count("*").alias("row_count"), F.coalesce(hashes, F.lit(0).cast("decimal(38,0)")).cast("string").alias("checksum"))
 
 
 def write_artifacts(artifacts: dict[str, DataFrame], root: str, pull_date: str, facts: dict[str, str]) -> DataFrame:
@@ -78,6 +77,21 @@ def queue_in_order(queue: DataFrame) -> DataFrame:
     return queue.orderBy(F.desc("review_priority"), F.desc("match_score"), "candidate_id")
 
 
+def queue_positions(queue: DataFrame) -> DataFrame:
+    """candidate_id and its ``position`` (from 1) in display order, for every row.
+
+    Rows are dealt into sorted ranges and written; a range's first position is the number of rows in the ranges before it (one row per
+    range), so that no task numbers more than its own range.
+    """
+    order = [F.desc("review_priority"), F.desc("match_score"), F.asc("candidate_id")]
+    rows = queue.select("candidate_id", "review_priority", "match_score")
+    ranges = cut_lineage(rows.repartitionByRange(*order).withColumn("_range", F.spark_partition_id()))
+    before = Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    bases = ranges.groupBy("_range").agg(F.count("*").alias("_n")).select("_range", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_base"))
+    inside = F.row_number().over(Window.partitionBy("_range").orderBy(*order))
+    return ranges.withColumn("_place", inside).join(bases, "_range").select("candidate_id", (F.col("_base") + F.col("_place")).cast("bigint").alias("position"))
+
+
 def queue_view(queue: DataFrame, candidates: DataFrame, master: DataFrame) -> DataFrame:
     """Queue rows with names from candidate and matched master, and the display defaults."""
     c = candidates.select(

@@ -23,7 +23,11 @@ datasetId STRING, schemaVersion STRING, cases ARRAY<STRUCT<
 
 
 class CaseErrors(ValueError):
-    """The labelled cases hold errors; nothing was evaluated."""
+    """The labelled cases hold errors; nothing was evaluated. ``errors`` is the DataFrame of all of them."""
+
+    def __init__(self, errors: DataFrame, count: int, first: list[str]):
+        super().__init__(f"{count} error(s), among them: {'; '.join(first)}")
+        self.errors, self.count = errors, count
 
 
 def read_cases(spark: SparkSession, paths: list[str]) -> tuple[DataFrame, DataFrame, DataFrame]:
@@ -93,7 +97,7 @@ def evaluate_files(spark: SparkSession, paths: list[str]) -> DataFrame:
     problems = errors.select("message").unionByName(
         evaluation.validate_cases(cases, existing).select("message")
     )
-    found = [r.message for r in problems.limit(20).collect()]
-    if found:
-        raise CaseErrors("; ".join(found))
+    count = problems.count()
+    if count:
+        raise CaseErrors(problems, count, [r.message for r in problems.groupBy("message").count().orderBy("message").limit(20).collect()])
     return evaluation.evaluate_cases(cases, existing.drop("position"))

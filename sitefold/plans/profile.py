@@ -11,8 +11,8 @@ from sitefold.sources import permits
 
 
 def profile_source(landing: DataFrame, window: tuple[str, str], counties: list[str], out: str, pull_date: str,
-                   limit: int = permits.DEFAULT_LIMIT, seed: int = 1) -> DataFrame:
-    """Run the whole profile and return its manifest."""
+                   limit: int, seed: int = 1) -> DataFrame:
+    """Run the whole profile of the first ``limit`` observations; the manifest says whether there were more."""
     pulled = cut_lineage(permits.pull(landing, window, counties, limit))
     counts = permits.pull_counts(landing, window, counties)
     distribution = profiling.distributions(pulled)
@@ -23,5 +23,6 @@ def profile_source(landing: DataFrame, window: tuple[str, str], counties: list[s
         "pilot-sample": profiling.pilot_sample(pulled, seed),
         "pull-counts": counts,
     }
-    facts = {"window": "/".join(window), "counties": ",".join(counties), "seed": str(seed), "limit": str(limit)}
+    facts = {"window": "/".join(window), "counties": ",".join(counties), "seed": str(seed), "limit": str(limit),
+             "truncated": str(counts.first()["unique_count"] > limit).lower()}
     return tables.write_artifacts(artifacts, out, pull_date, facts)

@@ -20,6 +20,16 @@ LICENCE_EVIDENCE = "county business license record"
 LICENCE_SOURCE_TYPE = "county_business_license"
 JSON_EVIDENCE = ["DFW chamber discovery feed", "company website", "chamber report URL"]
 JSON_SOURCE_TYPE = "chamber_of_commerce"
+# Dates that are read besides ISO form: the shape of the whole text (commas count as blanks) and its pattern.
+DATE_FORMATS = [
+    (r"^[0-9]{1,2}/[0-9]{1,2}/[0-9]{4}$", "M/d/yyyy"),
+    (r"^[0-9]{4}/[0-9]{1,2}/[0-9]{1,2}$", "yyyy/M/d"),
+    (r"^[0-9]{1,2}-[0-9]{1,2}-[0-9]{4}$", "M-d-yyyy"),
+    (r"^[A-Za-z]{3} [0-9]{1,2} [0-9]{4}$", "MMM d yyyy"),
+    (r"^[A-Za-z]{3,9} [0-9]{1,2} [0-9]{4}$", "MMMM d yyyy"),
+    (r"^[0-9]{1,2} [A-Za-z]{3} [0-9]{4}$", "d MMM yyyy"),
+    (r"^[0-9]{1,2} [A-Za-z]{3,9} [0-9]{4}$", "d MMMM yyyy"),
+]
 LICENCE_COLUMNS = [
     "license_id", "business_name", "address", "city", "state", "zip", "phone", "website", "employees",
     "issued_date", "contact_name", "contact_email", "contact_phone", "site_type_code", "county",
@@ -73,6 +83,13 @@ def _evidence_source(source_type: str, source_id: Column, name: Column, url: Col
     )
 
 
+def issue_date(c: Column) -> Column:
+    """Text to timestamp in one of ``DATE_FORMATS``, or in ISO form; null for any other text, a bare time among them."""
+    text = F.regexp_replace(tx.trim_ws(c), r"\s*,\s*|\s+", " ")
+    iso = F.when(text.rlike(r"^[0-9]{4}-"), F.try_to_timestamp(tx.trim_ws(c)))
+    return F.coalesce(iso, *[F.when(text.rlike(shape), F.try_to_timestamp(text, F.lit(pattern))) for shape, pattern in DATE_FORMATS])
+
+
 def _contact_id(fingerprint: Column) -> Column:
     return F.concat(F.lit("contact-"), F.left(F.sha2(fingerprint, 256), F.lit(16)))
 
@@ -101,9 +118,7 @@ def map_licence_rows(rows: DataFrame, source_name: str = "DFW County Business Li
     """
     c = {n: F.col(n) if n in rows.columns else F.lit(None).cast("string") for n in LICENCE_COLUMNS}
     name = F.coalesce(tx.trim_ws(c["business_name"]), F.lit(""))
-    date = F.coalesce(
-        F.try_to_timestamp(c["issued_date"]), F.try_to_timestamp(c["issued_date"], F.lit("M/d/yyyy"))
-    )
+    date = issue_date(c["issued_date"])
     has_date = tx.truthy(c["issued_date"])
     captured = F.when(has_date, F.date_format(date, "yyyy-MM-dd'T'HH:mm:ss.SSS'Z'"))
     reason = F.when(name == "", "missing business_name").when(
@@ -189,13 +204,13 @@ def read_json_feed(spark: SparkSession, path: str, lines: bool = False) -> DataF
     items instead, which splits across tasks.
     """
     if lines:
-        items = spark.read.text(path).where(F.trim("value") != "").select(F.parse_json("value").alias("data"))
-        return items.withColumn("seq", F.monotonically_increasing_id())
-    whole = spark.read.text(path, wholetext=True).select(F.parse_json("value").alias("feed"))
+        items = in_file_order(spark.read.text(path)).where(F.trim("value") != "")
+        return items.select(F.parse_json("value").alias("data"), F.col("_seq").alias("seq"))
+    # One row per file, numbered by file name; an item's place in its file comes second.
+    files = in_file_order(spark.read.text(path, wholetext=True))
+    whole = files.select(F.parse_json("value").alias("feed"), F.col("_seq").alias("first"))
     exploded = whole.lateralJoin(spark.tvf.variant_explode(F.col("feed").outer()))
-    return exploded.select(
-        F.col("value").alias("data"), (F.monotonically_increasing_id() + F.col("pos")).alias("seq")
-    )
+    return exploded.select(F.col("value").alias("data"), (F.col("first") + F.col("pos")).alias("seq"))
 
 
 def _typed(name: str) -> Column:

@@ -58,9 +58,18 @@ def _conform(raw: DataFrame, columns: list[str], required: list[str], renamed: d
     return raw.select(*extra, *cells)
 
 
-def in_file_order(df: DataFrame) -> DataFrame:
-    """Add ``seq`` from the scan position; an unsplittable (multi-line) file is read in order."""
-    return df.withColumn("_seq", F.monotonically_increasing_id())
+def in_file_order(scan: DataFrame) -> DataFrame:
+    """Add ``_seq``, which numbers the rows of a scan by file name, place of the block and place in the block.
+
+    Spark packs files into tasks by size, so the scan's own numbers follow no order between files. One row per
+    file block (not per row) is ranked; the scan numbers rows alike both times, since its splits are the same.
+    """
+    at = {"_file": F.col("_metadata.file_path"), "_start": F.col("_metadata.file_block_start"), "_row": F.monotonically_increasing_id()}
+    rows = scan.select("*", *[c.alias(n) for n, c in at.items()])
+    blocks = rows.groupBy("_file", "_start").agg(F.min("_row").alias("_first"))
+    blocks = blocks.withColumn("_rank", F.row_number().over(Window.orderBy("_file", "_start")) - 1)
+    placed = rows.join(blocks, ["_file", "_start"])
+    return placed.withColumn("_seq", F.shiftleft(F.col("_rank").cast("long"), 33) + F.col("_row") - F.col("_first")).drop(*at, "_first", "_rank")
 
 
 def read_records(spark: SparkSession, path: str, vendor: str = "") -> DataFrame:
@@ -89,15 +98,12 @@ def classify_records(records: DataFrame, order: str = "seq") -> DataFrame:
     bad = F.col("location_id").isNull() | F.col("company_name").isNull() | F.col("status_code").isNull()
     # The first row of an id comes from an aggregate that combines map-side, so an id
     # repeated very often costs one row per task.
-    first = records.where(~bad).groupBy("location_id").agg(F.min(order).alias("_first"))
-    return (
-        records.join(first, "location_id", "left")
-        .withColumn(
-            "row_status",
-            F.when(bad, "malformed").when(F.col(order) > F.col("_first"), "duplicate").otherwise("valid"),
-        )
-        .drop("_first")
-    )
+    good = records.where(~bad)
+    first = good.groupBy("location_id").agg(F.min(order).alias("_first"))
+    status = F.when(F.col(order) > F.col("_first"), "duplicate").otherwise("valid")
+    checked = good.join(first, "location_id").withColumn("row_status", status).drop("_first")
+    # Malformed rows, among them all without an id, need no partner and stay out of the join.
+    return checked.unionByName(records.where(bad).withColumn("row_status", F.lit("malformed")))
 
 
 def first_per_key(df: DataFrame, keys: list[str], order: list[str]) -> DataFrame:

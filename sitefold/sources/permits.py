@@ -13,7 +13,6 @@ from sitefold.functions import text as tx
 # Defaults of the permit pull.
 DEFAULT_COUNTIES = ["043", "057", "061", "220"]
 DEFAULT_DAYS = 7
-DEFAULT_LIMIT = 500
 
 
 def resolve_window(from_: str | None = None, to: str | None = None, days: int | None = None,
@@ -77,7 +76,7 @@ def unique_observations(permits: DataFrame, ties: list[str] | None = None) -> Da
     return valid.withColumn("_n", F.row_number().over(w)).where(F.col("_n") == 1).drop("_n")
 
 
-def pull(permits: DataFrame, window: tuple[str, str], counties: list[str], limit: int = DEFAULT_LIMIT,
+def pull(permits: DataFrame, window: tuple[str, str], counties: list[str], limit: int,
          ties: list[str] | None = None) -> DataFrame:
     """The first ``limit`` unique valid observations of a window, with pull metadata."""
     if limit <= 0:
