@@ -263,9 +263,10 @@ summed AS (SELECT *, greatest({d(0)}, least({d(1)}, completeness_score * {d(0.45
   - CASE WHEN classification = 'possible_duplicate' THEN {d(0.15)} ELSE {d(0)} END)) AS x FROM bonus),
 priority AS (SELECT *, {fixed4('x')} AS review_priority FROM summed)
 """
-QUEUE = ",".join([RETRIEVAL, DECIDED, READINESS, COMPLETENESS, PRIORITY]) + f""",
+_QUEUE = ",".join([DECIDED, READINESS, COMPLETENESS, PRIORITY]) + f""",
 queue AS (SELECT candidate_id, d.master_id AS best_id, coalesce(d.score, {d(0)}) AS match_score, coalesce(d.classification, 'likely_new') AS match_classification,
   match_reasons, outcome AS resolution_outcome, decision_confidence AS resolution_confidence, reasons AS resolution_reasons,
   conflicts AS resolution_conflicts, matched_id, requires_human_review, p.completeness_score, r.publication_state, r.blockers, p.review_priority
   FROM decided d JOIN readiness r USING (candidate_id) JOIN priority p USING (candidate_id))
 """
+QUEUE, QUEUE_ALL = f"{RETRIEVAL}, {_QUEUE}", f"{EXHAUSTIVE}, {_QUEUE}"

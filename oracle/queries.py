@@ -724,13 +724,22 @@ def _(spark):
 @query("retrieval_bounded_set", f"WITH {P.KEYS}, {P.HITS_EXACT}, {P.HITS_SIMILAR}, {P.FIRST_HITS} SELECT candidate_id, master_id, slot FROM hits")
 def _(spark):
     ck, mk = matching.candidate_keys(candidates(spark)), matching.master_keys(directory(spark), "k")
-    return matching.retrieve(ck, mk).withColumn("slot", long("slot"))
+    return matching.retrieve(ck, mk).select("candidate_id", "master_id", long("slot").alias("slot"))
+
+
+@query(
+    "retrieval_truncated",
+    f"""WITH {P.KEYS}, {P.HITS_EXACT}, {P.HITS_SIMILAR}, {P.FIRST_HITS}, {P.EXPANDED} SELECT candidate_id, count(*) > 25 AS truncated FROM first_steps WHERE n = 1 GROUP BY 1""",
+)
+def _(spark):
+    ck, mk = matching.candidate_keys(candidates(spark)), matching.master_keys(directory(spark), "k")
+    return matching.retrieve(ck, mk, edges(spark)).groupBy("candidate_id").agg(F.bool_or("truncated").alias("truncated"))
 
 
 @query("retrieval_with_relationships", f"WITH {P.KEYS}, {P.HITS_EXACT}, {P.HITS_SIMILAR}, {P.FIRST_HITS}, {P.EXPANDED} SELECT candidate_id, master_id, slot FROM retrieved")
 def _(spark):
     ck, mk = matching.candidate_keys(candidates(spark)), matching.master_keys(directory(spark), "k")
-    return matching.retrieve(ck, mk, edges(spark)).withColumn("slot", long("slot"))
+    return matching.retrieve(ck, mk, edges(spark)).select("candidate_id", "master_id", long("slot").alias("slot"))
 
 
 @query("retrieved_ranking", f"WITH {P.RETRIEVAL} SELECT {_RANKED_SQL}, {P.REASONS} AS reasons FROM ranked")
@@ -755,6 +764,20 @@ def _(spark):
     return rows.withColumns(policy.best_match_columns()).select("candidate_id", "best_id", "match_score", "match_classification", joined("match_reasons").alias("match_reasons"))
 
 
+@query(
+    "best_match_all",
+    f"""WITH {P.EXHAUSTIVE} SELECT c.id AS candidate_id, a.master_id AS best_id, coalesce(a.score, {d(0)}) AS match_score,
+      coalesce(a.classification, 'likely_new') AS match_classification, a.score - b.score AS margin, b.master_id AS second_id
+    FROM fx_candidate c LEFT JOIN ranked a ON a.candidate_id = c.id AND a.rnk = 1 LEFT JOIN ranked b ON b.candidate_id = c.id AND b.rnk = 2""",
+)
+def _(spark):
+    found = policy.collect_matches(matching.rank_all(candidates(spark), directory(spark), 3), with_related=False)
+    rows = spark.table("fx_candidate").select(F.col("id").alias("candidate_id")).join(found, "candidate_id", "left")
+    m = lambda i: F.get("matches", F.lit(i))
+    return rows.withColumns(policy.best_match_columns()).select(
+        "candidate_id", "best_id", "match_score", "match_classification", (m(0)["score"] - m(1)["score"]).alias("margin"), m(1)["master_id"].alias("second_id"))
+
+
 @query(
     "runner_up_margin",
     f"""WITH {P.RETRIEVAL} SELECT a.candidate_id, a.score - b.score AS margin, b.master_id AS second_id, c.master_id AS third_id
@@ -835,6 +858,10 @@ def _scored(spark: SparkSession) -> DataFrame:
     return score_candidates(candidates(spark), directory(spark), edges(spark), "k")
 
 
+def _scored_all(spark: SparkSession) -> DataFrame:
+    return score_candidates(candidates(spark), directory(spark), mode="all")
+
+
 _QUEUE_COLUMNS = ["candidate_id", "best_id", "match_score", "match_classification", "match_reasons", "resolution_outcome", "resolution_confidence",
                   "resolution_reasons", "resolution_conflicts", "matched_id", "requires_human_review", "completeness_score", "publication_state",
                   "blockers", "review_priority"]
@@ -848,6 +875,14 @@ def review_queue_query(spark):
     ).select(_QUEUE_COLUMNS)
 
 
+@query("review_queue_all", f"WITH {P.QUEUE_ALL} SELECT {', '.join(_QUEUE_COLUMNS)} FROM queue")
+def _(spark):
+    q = _scored_all(spark)
+    return q.withColumns(
+        {**{c: joined(c) for c in ("match_reasons", "resolution_reasons", "resolution_conflicts")}, "blockers": joined("blockers.rule_id")}
+    ).select(_QUEUE_COLUMNS)
+
+
 @query("review_priority", f"WITH {P.QUEUE} SELECT candidate_id, review_priority FROM queue")
 def _(spark):
     return _scored(spark).select("candidate_id", "review_priority")
@@ -1452,13 +1487,16 @@ _register_stream(
 
 def _stream_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
     root = _scratch(spark, "stream-ledger")
-    q = jobs.ledger_batches(_stream_sql(spark, "fx_decision"), f"{root}/out", f"{root}/checkpoint")
+    q = jobs.ledger_batches(_stream_sql(spark, "fx_decision"), _queued(spark), f"{root}/out", f"{root}/checkpoint")
     q.awaitTermination()
-    return spark.read.parquet(f"{root}/out").select("event_id", "candidate_id", "sequence", "previous_status", "new_status")
+    kept = spark.read.parquet(f"{root}/out/ledger").select("event_id", "candidate_id", "sequence", "previous_status", "new_status")
+    refused = spark.read.parquet(f"{root}/out/rejected").select("event_id", "candidate_id", "reject_reason")
+    return kept.unionByName(refused, allowMissingColumns=True)
 
 
 _register_stream(
     "streaming_ledger",
-    f"WITH {_CHECKED.replace('WHEN candidate_id NOT IN (SELECT id FROM fx_candidate) THEN', 'WHEN false THEN')} SELECT event_id, candidate_id, sequence, previous_status, new_status FROM chained",
+    f"""WITH {_CHECKED} SELECT event_id, candidate_id, sequence, previous_status, new_status, NULL AS reject_reason FROM chained
+      UNION ALL SELECT event_id, candidate_id, NULL, NULL, NULL, reject_reason FROM checked WHERE reject_reason IS NOT NULL""",
     _stream_ledger,
 )

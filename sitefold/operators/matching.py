@@ -392,13 +392,20 @@ def child_edges(edges: DataFrame) -> DataFrame:
     return edges.groupBy("parent_id", "child_id").agg(F.min("edge_seq").alias("edge_seq"))
 
 
+def _first_slots(rows: DataFrame, cap: int) -> DataFrame:
+    """The first ``cap`` slots, and whether there was another one."""
+    more = F.max("slot").over(Window.partitionBy("candidate_id")) > cap
+    return rows.withColumn("truncated", more).where(F.col("slot") <= cap)
+
+
 def retrieve(ck: DataFrame, mk: DataFrame, edges: DataFrame | None = None, cap: int = CAP) -> DataFrame:
-    """Bounded candidate set: (candidate_id, master_id, slot), slot 1..cap.
+    """Bounded candidate set: (candidate_id, master_id, slot, truncated), slot 1..cap.
 
     Signals in order, file order within a signal, first signal kept; then, while
     there is room, the children and the first parent of each hit, in hit order.
+    ``truncated`` says whether the candidate had more: every step looks one row further than it keeps.
     """
-    hits = exact_key_hits(ck, mk, cap).unionByName(similar_key_hits(ck, mk, cap))
+    hits = exact_key_hits(ck, mk, cap + 1).unionByName(similar_key_hits(ck, mk, cap + 1))
     # One shuffle by candidate serves the grouping and the window; at most 6 * cap rows each.
     hits = (
         hits.repartition("candidate_id")
@@ -406,20 +413,22 @@ def retrieve(ck: DataFrame, mk: DataFrame, edges: DataFrame | None = None, cap:
         .agg(F.min(F.struct("signal", "pos")).alias("o"))
     )
     w = Window.partitionBy("candidate_id").orderBy("o.signal", "o.pos", "master_id")
-    hits = hits.withColumn("slot", F.row_number().over(w)).where(F.col("slot") <= cap)
+    hits = hits.withColumn("slot", F.row_number().over(w)).where(F.col("slot") <= cap + 1)
     hits = hits.select("candidate_id", "master_id", "slot")
     if edges is None:
-        return hits
+        return _first_slots(hits, cap)
     known = mk.select("master_id")
     children = child_edges(edges).join(known.withColumnRenamed("master_id", "child_id"), "child_id", "left_semi")
     w = Window.partitionBy("parent_id").orderBy("edge_seq", "child_id")
     # As with the buckets above, a child beyond the first ``cap`` can never find room.
-    children = children.withColumn("_n", F.row_number().over(w)).where(F.col("_n") <= cap).drop("_n")
+    children = children.withColumn("_n", F.row_number().over(w)).where(F.col("_n") <= cap + 1).drop("_n")
     parents = first_parents(edges).join(known.withColumnRenamed("master_id", "parent_id"), "parent_id", "left_semi")
-    down = hits.join(children, hits.master_id == children.parent_id).select(
+    # Only rows that are kept lead to others; with one hit too many there is no room for any.
+    heads = hits.where(F.col("slot") <= cap)
+    down = heads.join(children, heads.master_id == children.parent_id).select(
         "candidate_id", F.col("child_id").alias("master_id"), "slot", F.lit(1).alias("kind"), "edge_seq"
     )
-    up = hits.join(parents, hits.master_id == parents.child_id).select(
+    up = heads.join(parents, heads.master_id == parents.child_id).select(
         "candidate_id", F.col("parent_id").alias("master_id"), "slot", F.lit(2).alias("kind"), F.lit(0).alias("edge_seq")
     )
     own = hits.select("candidate_id", "master_id", "slot", F.lit(0).alias("kind"), F.lit(0).alias("edge_seq"))
@@ -433,8 +442,8 @@ def retrieve(ck: DataFrame, mk: DataFrame, edges: DataFrame | None = None, cap:
         .agg(F.min("o").alias("o"))
     )
     w = Window.partitionBy("candidate_id").orderBy("o", "master_id")
-    merged = merged.withColumn("slot", F.row_number().over(w)).where(F.col("slot") <= cap)
-    return merged.select("candidate_id", "master_id", "slot")
+    merged = merged.withColumn("slot", F.row_number().over(w)).where(F.col("slot") <= cap + 1)
+    return _first_slots(merged.select("candidate_id", "master_id", "slot"), cap)
 
 
 def rank_retrieved(candidates: DataFrame, master: DataFrame, edges: DataFrame | None, order: str) -> DataFrame:

@@ -32,6 +32,8 @@ def collect_matches(ranked: DataFrame, with_related: bool) -> DataFrame:
     if with_related:
         related = F.array_sort(F.collect_list(F.when(m.strong_company(), F.struct("rank", "master_id"))))
         aggs.append(related["master_id"].alias("related_ids"))
+        if "truncated" in ranked.columns:
+            aggs.append(F.bool_or("truncated").alias("truncated"))
     return ranked.groupBy("candidate_id").agg(*aggs)
 
 
@@ -170,7 +172,7 @@ def resolve_retrieved(candidates: DataFrame, master: DataFrame, edges: DataFrame
     decided = decide(rows).withColumns(best_match_columns())
     others = F.array_remove(F.col("related_ids"), F.col("matched_id"))
     wanted = F.col("situation").isin("branch", "hq") & (F.size(others) > 0)
-    return decided.withColumn("related_ids", F.when(wanted, others))
+    return decided.withColumn("related_ids", F.when(wanted, others)).withColumn("truncated", F.coalesce("truncated", F.lit(False)))
 
 
 def resolve_all(candidates: DataFrame, master: DataFrame) -> DataFrame:
@@ -189,7 +191,8 @@ def resolve_all(candidates: DataFrame, master: DataFrame) -> DataFrame:
         .join(related, "candidate_id", "left")
         .withColumn("related_count", F.coalesce("related_count", F.lit(0)))
     )
-    return decide(rows).withColumns(best_match_columns())
+    none = {"related_ids": F.lit(None).cast("array<string>"), "truncated": F.lit(False)}
+    return decide(rows).withColumns(best_match_columns() | none)
 
 
 def related_records(decided: DataFrame, candidates: DataFrame, master: DataFrame) -> DataFrame:

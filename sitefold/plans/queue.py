@@ -12,8 +12,9 @@ def score_candidates(candidates: DataFrame, master: DataFrame, edges: DataFrame
                      order: str = "id", mode: str = "retrieved") -> DataFrame:
     """Machine columns of the review queue, one row per candidate.
 
-    ``mode`` "retrieved" compares with the bounded candidate set (``order`` is the
-    master's file-order column), "all" with the whole master.
+    ``mode`` "retrieved" compares with the bounded candidate set (``order`` is the master's file-order column) and marks in ``truncated``
+    the candidates that had more; "all" compares with the whole master, where nothing is cut and ``related_ids`` is null: a chain may
+    have any number of sites, which ``policy.related_records`` gives as rows.
     """
     if mode == "retrieved":
         decided = policy.resolve_retrieved(candidates, master, edges, order)
@@ -30,7 +31,7 @@ def score_candidates(candidates: DataFrame, master: DataFrame, edges: DataFrame
         F.col("reasons").alias("resolution_reasons"),
         F.col("conflicts").alias("resolution_conflicts"),
         "matched_id",
-        *(["related_ids"] if "related_ids" in decided.columns else []),
+        "related_ids", "truncated",
         F.slice("matches", 2, 2).alias("alternatives"),
         "requires_human_review",
     )

@@ -9,8 +9,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
 
-from sitefold.functions import codes
 from sitefold.operators import review
+from sitefold.operators.lineage import cut_lineage
 from sitefold.plans import ingest as batch
 
 
@@ -30,7 +30,8 @@ def ingest_stream(rows: DataFrame, mapper: Callable[[DataFrame], DataFrame], roo
     ledger_schema = "source_id string, fingerprint string, batch bigint"
 
     def one_batch(df: DataFrame, number: int) -> None:
-        drafts = mapper(df)
+        # Candidates, ledger, counters and skips all start from the mapped batch: it is mapped once.
+        drafts = cut_lineage(mapper(df))
         try:
             ledger = spark.read.schema(ledger_schema).option("basePath", f"{root}/ledger_rows").parquet(f"{root}/ledger_rows")
             # what this same batch wrote before a restart does not count as known
@@ -92,21 +93,23 @@ LEDGER_STREAM_SCHEMA = (
 )
 
 
-def ledger_batches(decisions: DataFrame, root: str, checkpoint: str) -> StreamingQuery:
-    """Review ledger as a stream: each micro-batch is chained onto the ledger so far.
+def ledger_batches(decisions: DataFrame, queue: DataFrame, root: str, checkpoint: str) -> StreamingQuery:
+    """Review ledger as a stream: each micro-batch is validated and chained onto the ledger so far.
 
-    The chain itself is the batch operator, so a candidate with very many decisions
-    is numbered in chunks and never as one state group.
+    Validation and chain are the batch operators: a decision needs a row of ``queue``, and a candidate with very many
+    decisions is numbered in chunks, never as one state group. Refused decisions go to ``rejected`` beside
+    ``ledger`` below ``root``, with their reason.
     """
     spark = decisions.sparkSession
     root = root.rstrip("/")
     schema = LEDGER_STREAM_SCHEMA + ", decided_at timestamp, notes string, batch bigint"
 
     def one_batch(df: DataFrame, number: int) -> None:
-        reason = codes.action_reject_reason(F.col("action"), F.col("selected_id"))
-        accepted = df.where(reason.isNull())
+        notes = F.col("notes") if "notes" in df.columns else F.lit(None).cast("string")
+        checked = cut_lineage(review.validate_decisions(df.withColumn("notes", notes), queue))
+        accepted = checked.where("reject_reason IS NULL").drop("reject_reason")
         try:
-            ledger = spark.read.schema(schema).option("basePath", root).parquet(root).where(F.col("batch") != number)
+            ledger = spark.read.schema(schema).option("basePath", f"{root}/ledger").parquet(f"{root}/ledger").where(F.col("batch") != number)
         except Exception as error:
             if "PATH_NOT_FOUND" not in str(error):
                 raise
@@ -114,8 +117,9 @@ def ledger_batches(decisions: DataFrame, root: str, checkpoint: str) -> Streamin
         rows = review.chain(accepted, ["decided_at", "event_id"], F.to_date("decided_at"), ledger)
         rows.select(
             "candidate_id", "event_id", F.col("sequence").cast("bigint").alias("sequence"), "action", "previous_status",
-            "new_status", "decided_at", F.lit(None).cast("string").alias("notes"),
-        ).write.mode("overwrite").parquet(f"{root}/batch={number}")
+            "new_status", "decided_at", "notes",
+        ).write.mode("overwrite").parquet(f"{root}/ledger/batch={number}")
+        checked.where("reject_reason IS NOT NULL").write.mode("overwrite").parquet(f"{root}/rejected/batch={number}")
 
     return (
         decisions.writeStream.foreachBatch(one_batch).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
