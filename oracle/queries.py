@@ -1183,6 +1183,53 @@ def _(spark):
     return evidence.readiness_delta(c, merged).select("candidate_id", "initial_state", "final_state", "filled_count", "conflict_count")
 
 
+# The same proposals about contacts (one that the candidate has, or lacks) and an employee band.
+VIEWS["fx_rich_proposal"] = """
+SELECT candidate_id, seq, CASE path_key WHEN 'company.sicCode' THEN 'contact.contact-' || candidate_id || '.name'
+    WHEN 'company.website' THEN 'contact.contact-' || candidate_id || '.email' WHEN 'location.phone' THEN 'location.employeeSizeSite' ELSE 'contact.none.name' END AS path_key,
+  CASE WHEN path_key = 'location.phone' THEN '{"estimate":' || substr(value, 2) || '}' ELSE value END AS value,
+  source_id, derivation, is_prior, force_conflict
+FROM fx_candidate_proposal
+"""
+_RICH = (
+    _MERGE.replace("fx_proposal", "fx_rich_proposal")
+    .replace("SELECT p.*, v.current_value,", "SELECT p.* REPLACE (CASE WHEN p.path_key LIKE 'location.%' THEN replace(p.value, '}', '.0}') ELSE p.value END AS value), v.current_value, v.path_key IS NOT NULL AS known,")
+    .replace("path_key = 'location.buildingType'", "(path_key LIKE 'contact.%' AND NOT known)")
+    .replace(
+        "fx_field_value v",
+        """(SELECT id AS candidate_id, 'contact.contact-' || id || '.name' AS path_key, contact_name AS current_value FROM fx_candidate WHERE contact_name IS NOT NULL
+      UNION ALL SELECT id, 'contact.contact-' || id || '.email', NULL FROM fx_candidate WHERE contact_name IS NOT NULL
+      UNION ALL SELECT id, 'location.employeeSizeSite', '{"estimate":' || CAST(employee_estimate AS VARCHAR) || '}' FROM fx_candidate) v""",
+    )
+)
+
+
+def _rich_merge(spark: SparkSession) -> tuple[DataFrame, DataFrame]:
+    c = candidates(spark)
+    p = spark.table("fx_rich_proposal").withColumnRenamed("source_id", "source_key")
+    return c, evidence.classify_proposals(p, evidence.field_values(c))
+
+
+@query("contact_merge", f"WITH {_RICH} SELECT candidate_id, path_key, seq, merge_class, value FROM merged")
+def _(spark):
+    return _rich_merge(spark)[1].select("candidate_id", "path_key", long("seq").alias("seq"), "merge_class", "value")
+
+
+@query(
+    "merged_contacts",
+    f"""WITH {_RICH}, written AS (SELECT candidate_id, path_key, arg_max(value, seq) AS value FROM merged WHERE merge_class = 'fill' AND known GROUP BY 1, 2)
+    SELECT c.id, CASE WHEN contact_name IS NOT NULL THEN coalesce(a.value, contact_name) END AS contact_name, b.value AS contact_email,
+      coalesce(CAST(regexp_extract(e.value, '([0-9.]+)', 1) AS DOUBLE), employee_estimate) AS estimate FROM fx_candidate c
+      LEFT JOIN written a ON a.candidate_id = c.id AND a.path_key LIKE 'contact.%.name' LEFT JOIN written b ON b.candidate_id = c.id AND b.path_key LIKE 'contact.%.email'
+      LEFT JOIN written e ON e.candidate_id = c.id AND e.path_key = 'location.employeeSizeSite'""",
+)
+def _(spark):
+    c, merged = _rich_merge(spark)
+    contact = F.get("contacts", F.lit(0))
+    return evidence.set_fields(c, evidence.filled_values(merged)).select(
+        "id", contact["name"].alias("contact_name"), contact["email"].alias("contact_email"), F.col("employee_size_site.estimate").alias("estimate"))
+
+
 _SUPPORTED = list(evidence.RESEARCH_FIELDS)
 _PLAN_FIELDS = [  # field, rule it answers, populated
     ("company.legalName", "company_name_present", P.filled("legal_name")), ("company.website", None, P.filled("website")),

@@ -7,6 +7,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from sitefold import schemas
 from sitefold.functions import text as tx
 from sitefold.operators.lineage import cut_lineage
 from sitefold.operators.readiness import with_readiness
@@ -35,8 +36,14 @@ DISPLAY_FIELDS = [
     "company.legalName", "company.website", "company.sicCode", "company.alphasort", "company.startYear",
     "location.physicalAddress", "location.phone", "location.siteType", "location.employeeSizeSite",
 ]
-# Paths a merge can read and write; any other path reads as empty and is not written.
+# Paths a merge can read and write, besides ``contact.<id>.name`` and ``.email`` of a contact that the candidate has;
+# any other path reads as empty and is not written.
 MERGE_PATHS = [f for f in RESEARCH_FIELDS if not f.startswith("contact.")]
+CONTACT_FIELDS = ("name", "email")
+STRUCTURED = {
+    "company.relationship": schemas.RELATIONSHIP, "location.physicalAddress": schemas.ADDRESS, "location.mailingAddress": schemas.ADDRESS,
+    "location.employeeSizeSite": schemas.BAND, "location.employeeSizeCompanyWide": schemas.BAND,
+}
 
 
 def valid_confidence(c: Column) -> Column:
@@ -228,6 +235,26 @@ def provider_requests(plans: DataFrame, providers: DataFrame, max_providers: int
 # ------------------------------------------------------------------------- merge
 
 
+def canonical(path: Column, value: Column) -> Column:
+    """One form for a field's value, whether it comes from evidence or from the candidate.
+
+    A JSON string is its text; an address, band or relationship is JSON with the candidate's member names and order, without
+    empty members. Any other text is left alone.
+    """
+    quoted = value.rlike(r'(?s)^\s*".*"\s*$')
+    out = F.when(quoted, F.coalesce(F.try_variant_get(F.try_parse_json(value), "$", "string"), value)).otherwise(value)
+    for name, ddl in STRUCTURED.items():
+        members = [m.split(":")[0] for m in ddl[len("struct<"):-1].split(",")]
+        renamed = value
+        for m in members:
+            first, *rest = m.split("_")
+            if rest:
+                renamed = F.replace(renamed, F.lit(f'"{first}{"".join(r.capitalize() for r in rest)}":'), F.lit(f'"{m}":'))
+        text = F.nullif(F.to_json(F.from_json(renamed, ddl)), F.lit("{}"))
+        out = F.when(path == name, F.coalesce(text, value)).otherwise(out)
+    return out
+
+
 def classify_proposals(proposals: DataFrame, current: DataFrame) -> DataFrame:
     """What each proposal does to its field: adds ``merge_class``.
 
@@ -243,7 +270,8 @@ def classify_proposals(proposals: DataFrame, current: DataFrame) -> DataFrame:
     """
     field = ["candidate_id", "path_key"]
     group = [*field, "source_key", "value"]
-    rows = proposals.withColumn("value", F.coalesce("value", F.lit("")))
+    rows = proposals.withColumn("value", canonical(F.col("path_key"), F.coalesce("value", F.lit(""))))
+    current = current.select(*field, canonical(F.col("path_key"), F.col("current_value")).alias("current_value"), F.lit(True).alias("_known"))
     special = F.col("is_prior") | F.col("force_conflict")
     human = F.col("derivation") == "human_confirmed"
     # Written once: five later steps start from this summary, and the proposals behind it
@@ -285,7 +313,7 @@ def classify_proposals(proposals: DataFrame, current: DataFrame) -> DataFrame:
     seq = F.col("seq")
     empty = ~tx.filled(F.col("current_value"))
     # A blank value, or a path that cannot be written, leaves the field empty: the next one fills again.
-    sticks = tx.filled(F.col("value")) & F.col("path_key").isin(MERGE_PATHS)
+    sticks = tx.filled(F.col("value")) & (F.col("path_key").isin(MERGE_PATHS) | (_is_contact(F.col("path_key")) & F.coalesce("_known", F.lit(False))))
     agrees = F.col("_first_any") < seq
     same_as_current = ~empty & (F.col("value") == F.col("current_value"))
     merge_class = (
@@ -302,8 +330,9 @@ def classify_proposals(proposals: DataFrame, current: DataFrame) -> DataFrame:
 
 
 def filled_values(classified: DataFrame) -> DataFrame:
-    """(candidate_id, path_key, value) a merge writes."""
-    return classified.where((F.col("merge_class") == "fill") & F.col("path_key").isin(MERGE_PATHS)).groupBy(
+    """(candidate_id, path_key, value) a merge writes; contacts that the candidate does not have are left out on writing."""
+    written = F.col("path_key").isin(MERGE_PATHS) | _is_contact(F.col("path_key"))
+    return classified.where((F.col("merge_class") == "fill") & written).groupBy(
         "candidate_id", "path_key"
     ).agg(F.max_by("value", "seq").alias("value"))
 
@@ -330,10 +359,26 @@ def get_field(path_key: str) -> Column:
     return plain.get(path_key, F.lit(None).cast("string"))
 
 
+def _is_contact(path: Column) -> Column:
+    return path.rlike(rf"(?s)^contact\..*\.({'|'.join(CONTACT_FIELDS)})$")
+
+
+def _contact_path(contact: Column, field: str) -> Column:
+    return F.concat(F.lit("contact."), contact["id"], F.lit(f".{field}"))
+
+
+def contact_values(candidates: DataFrame) -> DataFrame:
+    """(candidate_id, path_key, current_value) of name and email of each contact; the first of equal ids counts."""
+    rows = candidates.select(F.col("id").alias("candidate_id"), F.posexplode("contacts").alias("at", "c")).where("c.id IS NOT NULL")
+    first = rows.groupBy("candidate_id", "c.id").agg(F.min_by("c", "at").alias("c"))
+    items = F.array(*[F.struct(_contact_path(F.col("c"), f).alias("path_key"), F.col("c")[f].alias("current_value")) for f in CONTACT_FIELDS])
+    return first.select("candidate_id", F.inline(items))
+
+
 def field_values(candidates: DataFrame, paths: list[str] = MERGE_PATHS) -> DataFrame:
-    """Wide to long: (candidate_id, path_key, current_value)."""
+    """Wide to long: (candidate_id, path_key, current_value), contacts included."""
     items = F.array(*[F.struct(F.lit(p).alias("path_key"), get_field(p).alias("current_value")) for p in paths])
-    return candidates.select(F.col("id").alias("candidate_id"), F.inline(items))
+    return candidates.select(F.col("id").alias("candidate_id"), F.inline(items)).unionByName(contact_values(candidates))
 
 
 def set_fields(candidates: DataFrame, values: DataFrame) -> DataFrame:
@@ -343,6 +388,17 @@ def set_fields(candidates: DataFrame, values: DataFrame) -> DataFrame:
         *[F.max(F.when(F.col("path_key") == p, F.col("value"))).alias(c) for p, c in v.items()]
     )
     rows = candidates.join(wide.withColumnRenamed("candidate_id", "id"), "id", "left")
+    # Only paths of contacts that are there: at most two entries for each of them.
+    known = contact_values(candidates).select("candidate_id", "path_key")
+    of_contacts = values.join(known, ["candidate_id", "path_key"]).groupBy(F.col("candidate_id").alias("id")).agg(
+        F.map_from_entries(F.collect_list(F.struct("path_key", "value"))).alias("_contacts"))
+    rows = rows.join(of_contacts, "id", "left")
+
+    def with_values(c: Column) -> Column:
+        for f in CONTACT_FIELDS:
+            c = c.withField(f, F.coalesce(F.try_element_at("_contacts", _contact_path(c, f)), c[f]))
+        return c
+
     types = dict(candidates.dtypes)
     rel_type = candidates.schema["company"].dataType["relationship"].dataType.simpleString()
 
@@ -367,6 +423,7 @@ def set_fields(candidates: DataFrame, values: DataFrame) -> DataFrame:
     )
     out = rows.withColumns(
         {
+            "contacts": F.transform("contacts", with_values),
             "company": company,
             "physical_address": parsed("location.physicalAddress", types["physical_address"], F.col("physical_address")),
             "mailing_address": parsed("location.mailingAddress", types["mailing_address"], F.col("mailing_address")),

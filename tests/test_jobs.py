@@ -220,6 +220,21 @@ def test_unsupported_path_counts_as_filled_but_is_not_written(spark):
     assert evidence.readiness_delta(c, merged).first().filled_count == 2
 
 
+def test_merge_reaches_contacts_and_addresses(spark):
+    c = full_candidate(spark).withColumn("physical_address", F.lit(None).cast("struct<street:string,suite:string,city:string,state:string,postal_code:string,country:string>"))
+    yard = '{"street":"2 Press Ln","city":"Brindle","state":"OR","postalCode":"97009"}'
+    rows = [("contact.c1.name", "Ana Roe", "p"), ("contact.c1.name", "Ana Roe", "q"), ("contact.c1.email", "other@pell.example", "p"), ("contact.c1.email", '"a@b.example"', "q"),
+            ("contact.c2.name", "Nobody", "p"), ("contact.c2.name", "Nobody", "q"), ("location.physicalAddress", yard, "p"), ("location.physicalAddress", yard.replace("postalCode", "postal_code"), "q"),
+            ("company.sicCode", '"0175"', "p"), ("location.employeeSizeSite", '{"estimate":0.0}', "p")]
+    p = spark.createDataFrame([("loc-1", path, k, v, s, "derived", False, False) for k, (path, v, s) in enumerate(rows)],
+                              "candidate_id string, path_key string, seq bigint, value string, source_key string, derivation string, is_prior boolean, force_conflict boolean")
+    merged = evidence.classify_proposals(p, evidence.field_values(c))
+    assert [r.merge_class for r in merged.orderBy("seq").collect()] == ["fill", "agrees", "conflict", "conflict", "fill", "fill", "fill", "agrees", "agrees", "agrees"]
+    after = evidence.set_fields(c, evidence.filled_values(merged)).first()
+    assert [(x.id, x.name, x.email) for x in after.contacts] == [("c1", "Ana Roe", "a@b.example")]
+    assert (after.physical_address.street, after.physical_address.postal_code) == ("2 Press Ln", "97009")
+
+
 def test_research_plan_order(spark):
     c = full_candidate(spark).withColumn("company", F.col("company").withField("sic_code", F.lit(None))).withColumn("phone", F.lit(None).cast("string"))
     plan = evidence.plan_fields(readiness.with_readiness(c), list(evidence.RESEARCH_FIELDS)).orderBy("plan_order").collect()
