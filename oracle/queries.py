@@ -1363,7 +1363,8 @@ def _(spark):
     "outcome_breakdown",
     f"""WITH {_EVAL} SELECT o.expected_outcome, count(case_id) AS case_count, coalesce(avg(CAST(outcome_correct AS INT)), 0) AS outcome_accuracy, avg(CAST(matched_record_correct AS INT)) AS matched_record_accuracy,
       coalesce(avg(CAST(fully_correct AS INT)), 0) AS full_case_accuracy, coalesce(avg(CAST(requires_human_review AS INT)), 0) AS review_rate,
-      coalesce(avg(CASE WHEN case_id IS NOT NULL THEN CAST(actual_outcome = 'ambiguous_manual_review' AS INT) END), 0) AS abstention_rate
+      coalesce(avg(CASE WHEN case_id IS NOT NULL THEN CAST(actual_outcome = 'ambiguous_manual_review' AS INT) END), 0) AS abstention_rate,
+      {', '.join(f"count(*) FILTER (actual_outcome = '{o}') AS actual_{o}" for o in codes.OUTCOMES)}
     FROM {_OUTCOME_ENUM} LEFT JOIN results r ON r.expected_outcome = o.expected_outcome GROUP BY 1""",
 )
 def _(spark):

@@ -105,11 +105,12 @@ def confusion_matrix(results: DataFrame) -> DataFrame:
 
 
 def breakdown(results: DataFrame) -> DataFrame:
-    """Accuracy, review and abstention rates per expected outcome; all seven rows."""
+    """Accuracy, review and abstention rates and the counts of actual outcomes per expected outcome; all seven rows."""
     found = results.groupBy("expected_outcome").agg(
         *_accuracy(),
         _rate(F.col("requires_human_review")).alias("review_rate"),
         _rate(F.col("actual_outcome") == codes.ABSTENTION_OUTCOME).alias("abstention_rate"),
+        *[F.count_if(F.col("actual_outcome") == o).alias(f"actual_{o}") for o in codes.OUTCOMES],
     )
     zero = F.lit(0.0)
     return (
@@ -121,6 +122,7 @@ def breakdown(results: DataFrame) -> DataFrame:
             F.coalesce("full_case_accuracy", zero).alias("full_case_accuracy"),
             F.coalesce("review_rate", zero).alias("review_rate"),
             F.coalesce("abstention_rate", zero).alias("abstention_rate"),
+            *[F.coalesce(f"actual_{o}", F.lit(0)).alias(f"actual_{o}") for o in codes.OUTCOMES],
         )
     )
 
