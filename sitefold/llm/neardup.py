@@ -227,7 +227,8 @@ def confirmed(pairs: DataFrame, sets: DataFrame, percent: int = 75) -> DataFrame
                 keep.append(100 * shared >= percent * (len(p) + len(q) - shared))
             yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
-    own = lambda c, s: sets.select(F.col("id").alias(c), F.col("s").alias(s), F.col("n").alias(f"n{s}"))
+    # Always by a shuffle: pairs grow with the documents, and the plan should be the one that large tables get.
+    own = lambda c, s: sets.select(F.col("id").alias(c), F.col("s").alias(s), F.col("n").alias(f"n{s}")).hint("merge")
     # Sizes alone exclude a pair whose smaller set is too small for the larger.
     joined = pairs.join(own("a", "x"), "a").join(own("b", "y"), "b").where(100 * F.least("nx", "ny") >= percent * F.greatest("nx", "ny"))
     return joined.select("a", "b", "x", "y").mapInArrow(held, C.schema(a="long", b="long"))
@@ -262,7 +263,7 @@ def cluster(docs: DataFrame, *, percent: int = 75, id_column: str = "doc_id", te
                 own = [make.shingles(t) for t in part.column("text").to_pylist()]
                 yield pa.RecordBatch.from_arrays([part.column("id"), pa.array([len(s) for s in own], pa.int64()), pa.array([s.astype("<u8").tobytes() for s in own], pa.binary())], names=["id", "n", "s"])
 
-    texts = rows.where("doc_id is not null").select(F.col("doc_id").alias("id"), "text").join(ends, "id", "left_semi")
+    texts = rows.where("doc_id is not null").select(F.col("doc_id").alias("id"), "text").join(ends.hint("merge"), "id", "left_semi")
     sets = C.written(texts.mapInArrow(sets_of, C.schema(id="long", n="long", s="binary")), "sets")
 
     # First the best pair of each representative, then what lies between components.
@@ -274,12 +275,14 @@ def cluster(docs: DataFrame, *, percent: int = 75, id_column: str = "doc_id", te
     right = joined.select(F.col("id").alias("b"), F.col("component").alias("cb"))
     apart = (pairs.select("a", "b").join(left, "a", "left").join(right, "b", "left")
              .where("coalesce(ca, a) <> coalesce(cb, b)").select("a", "b").join(first, ["a", "b"], "left_anti"))
-    links = C.written(links.unionByName(confirmed(apart, sets, percent)), "links")
+    later = C.written(confirmed(apart, sets, percent), "links")
     # An id with several texts ties their classes together.
     several = known.join(classes.select("digest", "rep"), "digest").where("doc_id <> rep").select(F.col("doc_id").alias("a"), F.col("rep").alias("b")).distinct()
     shared = several.join(several.groupBy("a").agg(F.count("*").alias("m")).where("m > 1").select("a"), "a", "left_semi")
     shared = shared.unionByName(several.join(classes.select(F.col("rep").alias("a")), "a", "left_semi")).distinct()
-    joined = C.written(components(links.select("a", "b").unionByName(shared)), "components")
+    # The components so far are stars already: only what the new links change is left to do.
+    stars = joined.where("id <> component").select(F.col("id").alias("a"), F.col("component").alias("b"))
+    joined = C.written(components(stars.unionByName(later).unionByName(shared)), "components")
     of_class = C.written(classes.select("digest", "rep").join(joined.withColumnRenamed("id", "rep"), "rep", "left").select(
         "digest", F.coalesce("component", "rep").alias("component")), "classes")
     # Only classes of several documents, or linked ones, need a look; the join's hot class is one small row.
