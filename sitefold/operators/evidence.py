@@ -95,61 +95,55 @@ def _has_value() -> dict[str, Column]:
     }
 
 
-def _summary(fields: DataFrame) -> DataFrame:
-    """Summary of the evidence array each row carries for its ``field_key``.
+def _compact_evidence() -> Column:
+    """What a summary reads of the evidence array."""
+    return F.transform("field_evidence", lambda e: F.struct(
+        e["path_key"].alias("path_key"), e["value_json"].alias("value_json"), e["confidence"].alias("confidence"),
+        e["source"]["source_type"].alias("source_type"), source_ref_for_view(e["source"]).alias("source_ref"), e["evidence_text"].alias("evidence_text")))
 
-    The evidence already sits in the candidate's row, so nothing is shuffled.
-    """
-    items = F.filter("field_evidence", lambda e: e["path_key"] == F.col("field_key"))
+
+def _field(key: Column, has_value: Column) -> Column:
+    """A field with its own part of the row's ``_evidence``, so that exploding the fields copies each item once."""
+    own = F.filter("_evidence", lambda e: e["path_key"] == key)
+    return F.struct(key.alias("field_key"), has_value.alias("has_value"), own.alias("_items"))
+
+
+def _summary(fields: DataFrame) -> DataFrame:
+    """Summary of the evidence that each row carries for its field; nothing is shuffled."""
     return (
-        fields.withColumn("_items", items)
-        .withColumns(
+        fields.withColumns(
             {
                 "evidence_count": F.size("_items"),
                 "conflicting": F.size(F.array_distinct(F.transform("_items", lambda e: e["value_json"]))) > 1,
                 "confidences": F.transform("_items", lambda e: e["confidence"]),
-                "source_types": F.transform("_items", lambda e: e["source"]["source_type"]),
-                "source_refs": F.transform("_items", lambda e: source_ref_for_view(e["source"])),
+                "source_types": F.transform("_items", lambda e: e["source_type"]),
+                "source_refs": F.transform("_items", lambda e: e["source_ref"]),
                 "evidence_texts": F.filter(
                     F.transform("_items", lambda e: e["evidence_text"]), lambda t: tx.truthy(t)
                 ),
             }
         )
         .withColumn("missing_evidence", F.col("has_value") & (F.col("evidence_count") == 0))
-        .drop("_items", "field_evidence")
+        .drop("_items")
     )
 
 
 def field_summary(candidates: DataFrame) -> DataFrame:
     """One row per candidate and display field."""
     has = _has_value()
-    fields = F.array(*[F.struct(F.lit(f).alias("field_key"), has[f].alias("has_value")) for f in DISPLAY_FIELDS])
-    return _summary(
-        candidates.select(F.col("id").alias("candidate_id"), F.explode(fields).alias("f"), "field_evidence").select(
-            "candidate_id", "f.*", "field_evidence"
-        )
-    )
+    flags = F.struct(*[has[f].alias(f) for f in DISPLAY_FIELDS])
+    rows = candidates.select(F.col("id").alias("candidate_id"), flags.alias("has"), _compact_evidence().alias("_evidence"))
+    fields = F.array(*[_field(F.lit(f), F.col("has")[f]) for f in DISPLAY_FIELDS])
+    return _summary(rows.select("candidate_id", F.explode(fields).alias("f")).select("candidate_id", "f.*"))
 
 
 def contact_summary(candidates: DataFrame) -> DataFrame:
     """Name and email summaries per contact; a contact without an id has none."""
-    one = candidates.select(
-        F.col("id").alias("candidate_id"), F.posexplode("contacts").alias("contact_index", "c"), "field_evidence"
-    ).where("c.id IS NOT NULL")
-    fields = F.array(
-        *[
-            F.struct(
-                F.concat_ws(".", F.lit("contact"), F.col("c.id"), F.lit(x)).alias("field_key"),
-                tx.filled(F.col(f"c.{x}")).alias("has_value"),
-            )
-            for x in ("name", "email")
-        ]
-    )
-    return _summary(
-        one.select("candidate_id", "contact_index", F.explode(fields).alias("f"), "field_evidence").select(
-            "candidate_id", "contact_index", "f.*", "field_evidence"
-        )
-    )
+    rows = candidates.select(F.col("id").alias("candidate_id"), "contacts", _compact_evidence().alias("_evidence"))
+    one = rows.select("candidate_id", F.posexplode("contacts").alias("contact_index", "c"), "_evidence").where("c.id IS NOT NULL")
+    key = lambda x: F.concat_ws(".", F.lit("contact"), F.col("c.id"), F.lit(x))
+    fields = F.array(*[_field(key(x), tx.filled(F.col(f"c.{x}"))) for x in CONTACT_FIELDS])
+    return _summary(one.select("candidate_id", "contact_index", F.explode(fields).alias("f")).select("candidate_id", "contact_index", "f.*"))
 
 
 # ---------------------------------------------------------------------- planning
