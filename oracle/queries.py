@@ -1459,7 +1459,7 @@ def _(spark):
     return evaluation.validate_cases(spark.table("fx_raw_case"), spark.table("fx_raw_existing"))
 
 
-# ------------------------------------------------------------ artifacts, streams
+# ------------------------------------------------------------ scans, artifacts, streams
 
 
 def _scratch(spark: SparkSession, what: str) -> str:
@@ -1467,6 +1467,42 @@ def _scratch(spark: SparkSession, what: str) -> str:
     return f"{shared_folder(spark)}/{what}-{uuid.uuid4().hex}"
 
 
+def _as_csv(df: DataFrame, what: str) -> str:
+    """``df`` as CSV files with a header, in a new folder."""
+    path = _scratch(df.sparkSession, what)
+    df.repartition(5).write.options(header=True, escape='"', ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False).csv(path)
+    return path
+
+
+@query("directory_scan", f"WITH {_CLEAN} SELECT * EXCLUDE (seq) FROM dir")
+def _(spark):
+    rows = spark.table("fx_directory").drop("seq")
+    return master.read_records(spark, _as_csv(rows, "directory")).select(rows.columns)
+
+
+@query("edge_scan", "SELECT relationship_type, parent_id, child_id FROM fx_edge")
+def _(spark):
+    rows = edges(spark).select("relationship_type", "parent_id", "child_id")
+    return master.read_edges(spark, _as_csv(rows, "edges")).select(rows.columns)
+
+
+_LICENCE_CELLS = [c for c in feeds.LICENCE_COLUMNS if c not in ("license_id", "county")]
+
+
+@query("licence_scan", f"SELECT {P.trim('record_id')} AS record_id, {', '.join(f'nullif({P.trim(c)}, {chr(39) * 2}) AS {c}' for c in _LICENCE_CELLS)} FROM fx_source_row")
+def _(spark):
+    rows = spark.table("fx_source_row").select(F.col("record_id").alias("license_id"), *_LICENCE_CELLS)
+    return feeds.read_licence_csv(spark, _as_csv(rows, "licences")).select("record_id", *_LICENCE_CELLS)
+
+
+@query("feed_scan", "SELECT record_id, 'Firm ' || CAST(user_id AS VARCHAR) AS legal_name FROM (SELECT *, CAST(event_id AS VARCHAR) AS record_id FROM events)")
+def _(spark):
+    path = _scratch(spark, "feed")
+    items = spark.table("events").select(F.col("event_id").cast("string").alias("reportId"), F.concat(F.lit(" Firm "), F.col("user_id").cast("string")).alias("companyName"))
+    items.repartition(5).write.json(path)
+    return feeds.map_json_items(feeds.read_json_feed(spark, path, lines=True)).select("record_id", "company.legal_name")
+
+
 @query(
     "artifact_manifest",
     f"WITH {_UNIQUE}, {_DIST.replace('fx_permit', 'uniq')} SELECT 'distributions' AS artifact, count(*) AS row_count FROM dist UNION ALL SELECT 'strata', count(*) FROM uniq",
