@@ -14,8 +14,9 @@ from oracle.views import VIEWS, register, with_views
 from sitefold.functions import codes
 from sitefold.functions import text as tx
 from sitefold.operators import evaluation, evidence, matching, policy, profiling, readiness, review, tables
-from sitefold.operators.lineage import shared_folder
+from sitefold.operators.lineage import cut_lineage, shared_folder
 from sitefold.operators.similarity import similar_values
+from sitefold.plans import decisions
 from sitefold.plans import ingest as ingest_plan
 from sitefold.plans.queue import score_candidates
 from sitefold.schemas import as_candidates
@@ -1516,6 +1517,24 @@ def _(spark):
     return manifest.select("artifact", "row_count")
 
 
+@query(
+    "decision_log",
+    f"""WITH {_CHECKED} SELECT event_id, candidate_id, sequence, previous_status, new_status, reviewer, nullif({P.trim('selected_id')}, '') AS selected_id, NULL AS reject_reason FROM chained
+      UNION ALL SELECT event_id, candidate_id, NULL, NULL, NULL, reviewer, nullif({P.trim('selected_id')}, ''), reject_reason FROM checked WHERE reject_reason IS NOT NULL""",
+)
+def _(spark):
+    # Two batches, one after the other in time, as a reviewer's log grows.
+    root, rows = _scratch(spark, "decision-log"), spark.table("fx_decision")
+    queue = cut_lineage(_scored(spark).withColumns({"review_status": F.lit("pending"), "reviewer_note": F.lit(None).cast("string")}))
+    at = F.col("decided_at") < F.lit("2024-01-16").cast("timestamp")
+    for name, part in (("1", rows.where(at)), ("2", rows.where(~at))):
+        queue = review.queue_after(queue, decisions.append_decisions(part, queue, root, name))
+    kept = decisions.stored_ledger(rows, root)
+    refused = spark.read.parquet(f"{root}/rejected")
+    names = ["event_id", "candidate_id", "reviewer", tx.blank_to_null(F.col("selected_id")).alias("selected_id")]
+    return kept.select(*names, "sequence", "previous_status", "new_status").unionByName(refused.select(*names, "reject_reason"), allowMissingColumns=True)
+
+
 def _source_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The raw feed rows of the events file as a stream."""
     schema = spark.read.parquet(f"{sf_dir}/events.parquet").schema
