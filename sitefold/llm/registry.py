@@ -99,6 +99,36 @@ def op8_secret_scan(spark: SparkSession, folder: str) -> DataFrame:
                         secrets.written_spans(F.col("spans")).alias("spans"))
 
 
+def _span_sql(place: int, rule: secrets.Rule) -> str:
+    """The spans of one rule: places from the lengths of the pieces and of the matches before."""
+    pattern, least = rule.pattern, rule.least
+    if pattern.startswith("(?i)"):  # spelled out, since the flag would fold other letters too
+        end = pattern.index(")", 4) + 1
+        pattern = "".join(f"[{c}{c.upper()}]" if c.islower() else c for c in pattern[4:end]) + pattern[end:]
+    quoted = pattern.replace("'", "''")
+    m, g = f"regexp_extract_all(t, '{quoted}')", f"regexp_extract_all(t, '{quoted}', {rule.group})"
+    return f"""list_transform(list_filter(list_transform(range(1, len({m}) + 1), lambda i: {{
+      'start': CAST(list_sum(list_transform(string_split_regex(t, '{quoted}')[1:i], lambda x: length(x))) + coalesce(list_sum(list_transform({m}[1:i-1], lambda x: length(x))), 0) AS BIGINT),
+      'size': length({m}[i]), 'secret': length({g}[i])}}), lambda x: x.secret >= {least}),
+      lambda x: {{'start': x.start, 'place': {place}, 'kind': '{rule.kind}', 'stop': x.start + x.size}})"""
+
+
+def _spans_sql() -> str:
+    out = _span_sql(0, secrets.RULES[0])
+    for k, rule in enumerate(secrets.RULES[1:], 1):
+        out = f"list_concat({out}, {_span_sql(k, rule)})"
+    return out
+
+
+_WRITTEN = "coalesce(array_to_string(list_transform({0}, lambda x: x.kind || ':' || x.start || ':' || x.stop), ','), '')"
+_BASE_SPANS = f"list_filter(s, lambda x: x.place < {len(secrets.BASE)})"
+ORACLE["op8_secret_scan"] = f"""
+WITH d AS (SELECT doc_id, coalesce(text, '') AS t FROM documents), f AS (SELECT doc_id, list_sort({_spans_sql()}) AS s FROM d)
+SELECT doc_id, {', '.join(f"CAST(len(list_filter(s, lambda x: x.kind = '{r.kind}')) AS BIGINT) AS n_{r.kind}" for r in secrets.BASE)},
+  sha256({_WRITTEN.format(_BASE_SPANS)}) AS base_sha256, {_WRITTEN.format('s')} AS spans FROM f
+"""
+
+
 @query
 def op9_lm_score(spark: SparkSession, folder: str) -> DataFrame:
     return lm.score(C.table(spark, folder, "documents"), C.tokenizer_path("piece_bpe_32k.model"))
