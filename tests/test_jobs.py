@@ -8,7 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from sitefold.operators import evidence, profiling, readiness, review, tables
-from sitefold.plans import evaluate, ingest
+from sitefold.plans import decisions, evaluate, ingest
 from sitefold.plans.profile import profile_source
 from sitefold.plans.queue import score_candidates
 from sitefold.sources import feeds, master, permits
@@ -314,6 +314,40 @@ def test_profile_job_writes_its_artifacts(spark, tmp_path):
     assert (tmp_path / "pull_date=2026-07-20" / "manifest").exists()
 
 
+def test_checksum_counts_equal_rows(spark):
+    rows = spark.createDataFrame([(1, "a"), (2, "b"), (2, "b")], "k int, v string")
+    sums = [tables.content_checksum(df).first().checksum for df in (rows, rows.repartition(3), rows.distinct(), rows.where("k = 1"), rows.limit(0))]
+    assert sums[0] == sums[1] and len(set(sums)) == 4 and sums[4] == "0"
+
+
+def test_queue_positions_cover_every_row(spark):
+    rng = random.Random(3)
+    rows = [(f"c{k:03d}", rng.randint(0, 4) / 4, rng.randint(0, 9) / 9) for k in range(500)]
+    got = {r.candidate_id: r.position for r in tables.queue_positions(spark.createDataFrame(rows, "candidate_id string, review_priority double, match_score double")).collect()}
+    assert [c for c, _ in sorted(got.items(), key=lambda x: x[1])] == [r[0] for r in sorted(rows, key=lambda r: (-r[1], -r[2], r[0]))] and min(got.values()) == 1
+
+
+def test_decisions_appended_in_batches(spark, tmp_path):
+    at = dt.datetime(2025, 5, 1)
+    queue = spark.createDataFrame([("a", "pending", None), ("b", "pending", None)], "candidate_id string, review_status string, reviewer_note string")
+    machine = ["match_classification", "matched_id", "best_id", "resolution_outcome", "publication_state"]
+    queue = queue.withColumns({c: F.lit("x") for c in machine} | {c: F.lit(0.5) for c in ("match_score", "resolution_confidence", "completeness_score", "review_priority")}
+                              | {"requires_human_review": F.lit(True), "resolution_reasons": F.array(F.lit("r")), "resolution_conflicts": F.array(F.lit("c")),
+                                 "blockers": F.array(F.struct(F.lit("b").alias("rule_id")))})
+    schema = "event_id bigint, candidate_id string, decided_at timestamp, action string, selected_id string, notes string"
+    first = spark.createDataFrame([(1, "a", at, "needs_more_research", None, "ask"), (2, "zz", at, "needs_more_research", None, None)], schema)
+    second = spark.createDataFrame([(3, "a", at, "approve_new_company", None, None), (4, "b", at, "mark_duplicate", None, None)], schema)
+    for _ in range(2):  # run again: nothing changes
+        rows = decisions.append_decisions(first, queue, str(tmp_path), "1")
+    after = review.queue_after(queue, rows)
+    decisions.append_decisions(second, after, str(tmp_path), "2")
+    kept = decisions.stored_ledger(first, str(tmp_path)).orderBy("sequence").collect()
+    assert [(r.event_id, r.sequence, r.previous_status, r.new_status, r.notes) for r in kept] == [
+        (1, 1, "pending", "needs_more_research", "ask"), (3, 2, "needs_more_research", "approved", None)]
+    refused = spark.read.parquet(f"{tmp_path}/rejected").orderBy("event_id").collect()
+    assert [(r.event_id, r.reject_reason) for r in refused] == [(2, "no review queue row"), (4, "record id required")]
+
+
 def test_window_arguments():
     now = dt.datetime(2026, 7, 20, 5, tzinfo=dt.timezone.utc)
     assert permits.resolve_window(now=now) == ("2026-07-13", "2026-07-20")
