@@ -15,6 +15,8 @@ TREES, DEPTH = 8, 10
 NEAR, CENTRES, PARTNERS = 24, 16, 6
 #: Least estimated similarity of a pair that is worth a look at the full sets: 0.75 less four standard errors of the estimate.
 WORTH = 0.55
+#: One in so many of a set's hashes is looked at beyond the prefix that a partner must meet.
+MORE = 20
 
 
 class Shingler:
@@ -78,16 +80,16 @@ def measured(docs: DataFrame, trees: int = TREES, depth: int = DEPTH) -> DataFra
 
         make, (add, multiply) = Shingler(), _constants(trees * depth)
         out: list[tuple] = []
-        names = ["doc_id", "n", "digest", "sig"]
+        names, types = ["doc_id", "n", "digest", "sig"], (pa.int64(), pa.int64(), pa.binary(), pa.binary())
         for doc, text in C.rows_of(batches, "doc_id", "text"):
             s = make.shingles(text)
             full = len(s) > 0
             out.append((doc, len(s), xxhash.xxh128_digest(s.astype("<u8").tobytes()) if full else None, signature(s, add, multiply).tobytes() if full else None))
             if len(out) >= 2048:
-                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out, strict=True), (pa.int64(), pa.int64(), pa.binary(), pa.binary()), strict=True)], names=names)
+                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out, strict=True), types, strict=True)], names=names)
                 out = []
         if out:
-            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out, strict=True), (pa.int64(), pa.int64(), pa.binary(), pa.binary()), strict=True)], names=names)
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out, strict=True), types, strict=True)], names=names)
 
     return docs.mapInArrow(rows, C.schema(doc_id="long", n="long", digest="binary", sig="binary"))
 
@@ -234,12 +236,71 @@ def confirmed(pairs: DataFrame, sets: DataFrame, percent: int = 75) -> DataFrame
     return joined.select("a", "b", "x", "y").mapInArrow(held, C.schema(a="long", b="long"))
 
 
+def unsettled(rows: DataFrame, classes: DataFrame, joined: DataFrame, percent: int = 75) -> DataFrame:
+    """id, c (its component): the representatives that may have a link to another component; all others have none.
+
+    The first k common hashes of two linked sets, in the order of the hashes, are among the ``n - least + k`` lowest of either, where
+    ``least`` is what a partner must share. The lowest for k = 1 + n // MORE are looked at, and a partner has at least ``least``
+    shingles; so a representative stays only if 1 + least // MORE of them occur in two components. An id of several texts may stay for nothing.
+    """
+    def lowest(batches: Iterator) -> Iterator:
+        import numpy as np
+        import pyarrow as pa
+
+        make = Shingler()
+        for batch in batches:
+            for at in range(0, batch.num_rows, 256):
+                part = batch.slice(at, 256)
+                own = [make.shingles(t) for t in part.column("text").to_pylist()]
+                low = [s[: len(s) - -(-percent * len(s) // 100) + 1 + len(s) // MORE].astype(np.int64) for s in own]
+                yield pa.RecordBatch.from_arrays([part.column("doc_id"), pa.array(low, pa.list_(pa.int64()))], names=["rep", "low"])
+
+    known = classes.groupBy("rep").agg(F.min("n").alias("n"))
+    of = C.written(known.join(joined.select(F.col("id").alias("rep"), F.col("component").alias("c")), "rep", "left").select("rep", "n", F.coalesce("c", "rep").alias("c")), "classes")
+    low = rows.where("doc_id is not null").select("doc_id", "text").mapInArrow(lowest, C.schema(rep="long", low="array<bigint>"))
+    hashes = low.join(of.select("rep", "c"), "rep").select("rep", "c", F.explode("low").alias("h"))
+    same = W.partitionBy("h")
+    crossing = hashes.select("rep", F.min("c").over(same).alias("lo"), F.max("c").over(same).alias("hi")).where("lo < hi")
+    least = F.ceil(F.lit(percent) * F.col("n") / 100)
+    return crossing.groupBy("rep").agg(F.count("*").alias("m")).join(of, "rep").where(F.col("m") > F.floor(least / MORE)).select(F.col("rep").alias("id"), "c")
+
+
+def crossing_pairs(sets: DataFrame, percent: int = 75) -> DataFrame:
+    """All pairs (a, b) of different components that may be links, from ``sets`` (id, c, n, s; one row per set).
+
+    A link's common shingles all occur in two components, so of each set only those count, the rarest first. A set that has fewer of them
+    than a partner must share has no partner, and otherwise the first common one is among its first ``x - least + 1`` of x.
+    """
+    def each(batches: Iterator) -> Iterator:
+        import numpy as np
+        import pyarrow as pa
+
+        for batch in batches:
+            for at in range(0, batch.num_rows, 256):
+                part = batch.slice(at, 256)
+                own = [np.frombuffer(s.as_buffer(), "<i8") for s in part.column("s")]
+                rows = pa.array(np.repeat(np.arange(len(own)), [len(s) for s in own]))
+                yield pa.RecordBatch.from_arrays([part.column(c).take(rows) for c in ("id", "k", "c", "n")] + [pa.array(np.concatenate(own) if own else np.zeros(0, np.int64))], names=["id", "k", "c", "n", "h"])
+
+    rows = sets.select("id", F.xxhash64("s").alias("k"), "c", "n", "s").mapInArrow(each, C.schema(id="long", k="long", c="long", n="long", h="long"))
+    same, own = W.partitionBy("h"), W.partitionBy("id", "k")
+    rows = rows.select("*", F.min("c").over(same).alias("lo"), F.max("c").over(same).alias("hi"), F.count("*").over(same).alias("df")).where("lo < hi")
+    rows = rows.select("id", "c", "n", "h", F.count("*").over(own).alias("x"), F.row_number().over(own.orderBy("df", "h")).alias("place"))
+    least = F.ceil(F.lit(percent) * F.col("n") / 100)
+    rows = C.written(rows.where((F.col("x") >= least) & (F.col("place") <= F.col("x") - least + 1)).select("id", "c", "n", "h"), "prefixes")
+    other = rows.select("h", F.col("id").alias("b"), F.col("c").alias("d"), F.col("n").alias("m"))
+    fits = (F.col("c") < F.col("d")) & (100 * F.least("n", "m") >= percent * F.greatest("n", "m"))
+    return rows.join(other.hint("merge"), "h").where(fits).select(F.least("id", "b").alias("a"), F.greatest("id", "b").alias("b")).distinct()
+
+
 def cluster(docs: DataFrame, *, percent: int = 75, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
     """Classes of near duplicates: doc_id, n_shingles, component_id, kept.
 
     Documents whose sets of five-word shingles agree are one class at once, and its smallest id stands for it. An LSH forest proposes
     pairs of representatives, and pairs count only after a look at the full sets. Each representative's best pair is looked at first;
-    of all other pairs only those between different components then are, since no other can change a component.
+    of all other pairs only those between different components then are, since no other can change a component. The forest keeps a bounded
+    number of partners per document, so a last step finds all links left between different components exactly, by prefixes of the full sets:
+    components are those of all links. Documents that are similar but below ``percent``, and therefore apart, are compared pair by pair there.
 
     ``component_id`` is the smallest id that links reach, and ``kept`` marks that document. Null and empty texts, and texts without
     words, have no shingles and are linked with nothing. Rows without an id take no part: their component is null, and they
@@ -249,7 +310,7 @@ def cluster(docs: DataFrame, *, percent: int = 75, id_column: str = "doc_id", te
     rows = docs.select(F.col(id_column).cast("long").alias("doc_id"), F.col(text_column).alias("text"))
     sized = C.written(measured(rows), "signatures")
     known = sized.where("doc_id is not null and digest is not null")
-    classes = C.written(known.groupBy("digest").agg(F.min("doc_id").alias("rep"), F.first("sig").alias("sig")), "classes")
+    classes = C.written(known.groupBy("digest").agg(F.min("doc_id").alias("rep"), F.first("sig").alias("sig"), F.first("n").alias("n")), "classes")
     pairs = C.written(candidates(classes.select(F.col("rep").alias("doc_id"), "sig").dropDuplicates(["doc_id"])), "pairs")
     ends = pairs.select(F.col("a").alias("id")).unionByName(pairs.select(F.col("b").alias("id"))).distinct()
 
@@ -283,6 +344,13 @@ def cluster(docs: DataFrame, *, percent: int = 75, id_column: str = "doc_id", te
     # The components so far are stars already: only what the new links change is left to do.
     stars = joined.where("id <> component").select(F.col("id").alias("a"), F.col("component").alias("b"))
     joined = C.written(components(stars.unionByName(later).unionByName(shared)), "components")
+    # What the forest's bounds left out: all links between components, on the texts that may have one.
+    open_ = C.written(unsettled(rows, classes, joined, percent), "unsettled")
+    texts = rows.where("doc_id is not null").select(F.col("doc_id").alias("id"), "text").join(open_.select("id").hint("merge"), "id", "left_semi")
+    full = C.written(texts.mapInArrow(sets_of, C.schema(id="long", n="long", s="binary")).where("n > 0").distinct(), "sets")
+    rest = C.written(confirmed(crossing_pairs(full.join(open_, "id"), percent), full, percent), "links")
+    stars = joined.where("id <> component").select(F.col("id").alias("a"), F.col("component").alias("b"))
+    joined = C.written(components(stars.unionByName(rest)), "components")
     of_class = C.written(classes.select("digest", "rep").join(joined.withColumnRenamed("id", "rep"), "rep", "left").select(
         "digest", F.coalesce("component", "rep").alias("component")), "classes")
     # Only classes of several documents, or linked ones, need a look; the join's hot class is one small row.

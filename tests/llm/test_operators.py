@@ -293,6 +293,27 @@ def test_classes_like_brute_force(spark, docs):
     assert neardup.cluster(docs.limit(0)).count() == 0
 
 
+def test_groups_that_one_link_joins(spark):
+    """Two groups of near copies (0.93 or more) with one link (0.76) between them: one component, however many closer partners its ends have."""
+    def text(words: list[str], changes: dict[int, str]) -> str:
+        return " ".join(changes.get(k, w) for k, w in enumerate(words))
+
+    rows, wanted = [], {}
+    for g in (15, 60, 200):
+        r = random.Random(g)
+        words = [f"w{g}x{k}" for k in range(300)]
+        other = {k: f"o{g}x{k}" for k in range(10, 90, 10)}
+        first = len(rows)
+        for side in ({}, other):
+            rows.append((len(rows), text(words, side)))
+            for _ in range(g - 1):
+                rows.append((len(rows), text(words, side | {r.randrange(100, 290): f"n{len(rows)}"})))
+        wanted |= {i: first for i in range(first, len(rows))}
+    got = neardup.cluster(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert {x["doc_id"]: x["component_id"] for x in got} == wanted
+    assert sum(x["kept"] for x in got) == 3
+
+
 def test_components_of_a_path_and_a_star(spark):
     edges = [(k, k + 1) for k in range(60)] + [(100, k) for k in range(101, 160)] + [(5, 5), (200, 199)]
     got = {r["id"]: r["component"] for r in neardup.components(spark.createDataFrame(edges, "a long, b long")).collect()}
