@@ -52,13 +52,13 @@ class Rule:
 
 
 def learn(pages: DataFrame, labels: DataFrame, *, max_labelled: int = 50_000, least_rows: int = 25, least_support: float = 0.002, least_confidence: float = 0.6,
-          max_rules: int = 5_000, id_column: str = "page_id", url_column: str = "url", label_id: str = "doc_id", label_column: str = "quality") -> list[Rule]:
+          id_column: str = "page_id", url_column: str = "url", label_id: str = "doc_id", label_column: str = "quality") -> list[Rule]:
     """Rules "these tokens -> bad" mined by FP-growth from labelled urls.
 
     A url's transaction holds its tokens, and ``=bad`` where its label is 0. Rules need a support of ``least_support`` (and
     ``least_rows`` rows) and a confidence of ``least_confidence``; a rule is pruned if one with fewer of its tokens is at
-    least as confident. The model is fitted on about ``max_labelled`` labelled urls (by hash of the id; all, if fewer), and
-    keeps at most ``max_rules`` rules, the most confident first; both bound what is broadcast. Labels without id or value
+    least as confident. The model is fitted on about ``max_labelled`` labelled urls (by hash of the id; all, if fewer). All
+    rules that are not pruned are kept and broadcast; the support bounds their number. Labels without id or value
     and contradicting ones are ignored; without labels there are no rules.
     """
     known = labels.select(F.col(label_id).alias("__id"), F.col(label_column).cast("int").alias("__y")).where("__id is not null and __y in (0, 1)")
@@ -72,14 +72,31 @@ def learn(pages: DataFrame, labels: DataFrame, *, max_labelled: int = 50_000, le
     if not n:
         return []
     model = FPGrowth(itemsCol="items", minSupport=min(1.0, max(least_support, least_rows / n)), minConfidence=least_confidence).fit(items)
-    rules = (model.associationRules.where((F.size("consequent") == 1) & (F.element_at("consequent", 1) == BAD))
-             .select(F.array_sort("antecedent").alias("tokens"), "confidence", "support")
-             .orderBy(F.desc("confidence"), F.desc("support"), "tokens").limit(max_rules).collect())
-    kept: list[Rule] = []
-    for r in sorted(rules, key=lambda r: (len(r["tokens"]), -r["confidence"], r["tokens"])):
-        if not any(k.confidence >= r["confidence"] and set(k.tokens) <= set(r["tokens"]) for k in kept):
-            kept.append(Rule(tuple(r["tokens"]), r["confidence"], r["support"]))
-    return kept
+    rules = unpruned(model.freqItemsets, n).where(F.col("confidence") >= least_confidence).collect()
+    return [Rule(tuple(r["tokens"]), r["confidence"], r["support"]) for r in sorted(rules, key=lambda r: (len(r["tokens"]), -r["confidence"], r["tokens"]))]
+
+
+def unpruned(itemsets: DataFrame, n: int) -> DataFrame:
+    """tokens, confidence, support of the sets of tokens that are more confident than each set of fewer of their tokens.
+
+    Goes up by size: every subset of a frequent set is frequent, so the best confidence below a set is that of the sets with one token less, or below these.
+    """
+    sets = itemsets.select(F.array_sort("items").alias("items"), "freq")
+    bad = sets.where(F.array_contains("items", BAD) & (F.size("items") > 1)).select(F.array_remove("items", BAD).alias("tokens"), F.col("freq").alias("both"))
+    own = bad.join(sets.where(~F.array_contains("items", BAD)).select(F.col("items").alias("tokens"), "freq"), "tokens")
+    own = C.written(own.select("tokens", (F.col("both") / F.col("freq")).alias("confidence"), (F.col("both") / n).alias("support"), F.size("tokens").alias("size")), "itemsets")
+    most = own.agg(F.max("size").alias("most")).first()["most"] or 0
+    level = C.written(own.where("size = 1").withColumn("below", F.lit(0.0)), "level")
+    levels = [level]
+    for size in range(2, most + 1):
+        less = level.select(F.col("tokens").alias("part"), F.greatest("confidence", "below").alias("b"))
+        parts = own.where(F.col("size") == size).select("*", F.explode("tokens").alias("t")).select(*own.columns, F.array_remove("tokens", F.col("t")).alias("part"))
+        level = C.written(parts.join(less, "part").groupBy(*own.columns).agg(F.max("b").alias("below")), "level")
+        levels.append(level)
+    found = levels[0]
+    for level in levels[1:]:
+        found = found.unionByName(level)
+    return found.where("confidence > below").select("tokens", "confidence", "support")
 
 
 def judge(pages: DataFrame, learned: list[Rule], *, rules: tuple[tuple[str, str, str], ...] = RULES, id_column: str = "page_id", url_column: str = "url") -> DataFrame:

@@ -229,6 +229,17 @@ def test_url_rules_are_mined(spark):
     assert urls.learn(pages, labels.limit(0)) == [] and urls.judge(pages.limit(0), rules).count() == 0
 
 
+def test_one_template_leaves_room_for_other_rules(spark):
+    """A template of 13 constant tokens has 8,191 sets of tokens, all bad; a weaker pattern keeps its rule."""
+    rows = [(k, f"https://a.b.c.d/p/q/r/s.php?u={k}&v=2#x", 0) for k in range(60)]
+    rows += [(k, f"http://meh.net/ads/{k}", int(k % 5 == 0)) for k in range(100, 150)]
+    rows += [(k, f"http://good.net/text/{k}", 1) for k in range(200, 400)]
+    pages = spark.createDataFrame([r[:2] for r in rows], "page_id long, url string")
+    rules = urls.learn(pages, spark.createDataFrame([(k, y) for k, _, y in rows], "doc_id long, quality int"))
+    assert ("p:ads",) in {r.tokens for r in rules} and all(len(r.tokens) == 1 for r in rules)
+    assert {x["page_id"] for x in urls.judge(pages, rules).collect() if x["verdict"] == "block"} == {k for k, _, _ in rows if k < 200}
+
+
 # ---------------------------------------------------------------- 6 top k
 
 
