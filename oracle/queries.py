@@ -856,7 +856,7 @@ def _(spark):
 
 
 def _scored(spark: SparkSession) -> DataFrame:
-    return score_candidates(candidates(spark), directory(spark), edges(spark), "k")
+    return score_candidates(candidates(spark), directory(spark), edges(spark), "k", mode="retrieved")
 
 
 def _scored_all(spark: SparkSession) -> DataFrame:
@@ -906,6 +906,28 @@ def _(spark):
     return tables.queue_view(q, candidates(spark), directory(spark)).drop("match_score", "completeness_score", "review_priority")
 
 
+@query("review_priority_all", f"WITH {P.QUEUE_ALL} SELECT candidate_id, review_priority FROM queue")
+def _(spark):
+    return _scored_all(spark).select("candidate_id", "review_priority")
+
+
+@query("queue_order_all", f"WITH {P.QUEUE_ALL} SELECT candidate_id, row_number() OVER (ORDER BY review_priority DESC, match_score DESC, candidate_id) AS position FROM queue")
+def _(spark):
+    return tables.queue_positions(_scored_all(spark).select("candidate_id", "review_priority", "match_score"))
+
+
+@query(
+    "queue_view_all",
+    f"""WITH {P.QUEUE_ALL} SELECT q.candidate_id, coalesce(c.legal_name, '(unknown)') AS company_name, coalesce(c.site_type, '-') AS site_type, c.city, c.state,
+      resolution_outcome, coalesce(m.company_name, '-') AS matched_existing, CASE WHEN requires_human_review THEN 'yes' ELSE 'no' END AS needs_extra_review,
+      match_classification, publication_state, 'pending' AS review_status
+    FROM queue q LEFT JOIN fx_candidate c ON c.id = q.candidate_id LEFT JOIN fx_company m ON m.id = q.matched_id""",
+)
+def _(spark):
+    q = _scored_all(spark).withColumn("review_status", F.lit("pending"))
+    return tables.queue_view(q, candidates(spark), directory(spark)).drop("match_score", "completeness_score", "review_priority")
+
+
 # A queue snapshot of an earlier run, one row per customer with an order, some already reviewed.
 VIEWS["fx_old_queue"] = """
 SELECT 'loc-' || lpad(CAST(o_custkey AS STRING), 7, '0') AS candidate_id, CAST(max(o_totalprice) AS DOUBLE) AS match_score,

@@ -9,12 +9,12 @@ from sitefold.operators import policy, readiness
 
 
 def score_candidates(candidates: DataFrame, master: DataFrame, edges: DataFrame | None = None,
-                     order: str = "id", mode: str = "retrieved") -> DataFrame:
+                     order: str = "id", mode: str = "all") -> DataFrame:
     """Machine columns of the review queue, one row per candidate.
 
-    ``mode`` "retrieved" compares with the bounded candidate set (``order`` is the master's file-order column) and marks in ``truncated``
-    the candidates that had more; "all" compares with the whole master, where nothing is cut and ``related_ids`` is null: a chain may
-    have any number of sites, which ``policy.related_records`` gives as rows.
+    ``mode`` "all" compares with the whole master, where nothing is cut and ``related_ids`` is null: a chain may have any number of
+    sites, which ``policy.related_records`` gives as rows. "retrieved" compares with the bounded candidate set only (``edges`` and
+    ``order``, the master's file-order column, are for it) and marks in ``truncated`` the candidates that had more.
     """
     if mode == "retrieved":
         decided = policy.resolve_retrieved(candidates, master, edges, order)

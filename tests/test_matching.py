@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from sitefold.operators import matching, policy
 from sitefold.operators.similarity import similar_values
+from sitefold.plans.queue import score_candidates
 from sitefold.schemas import as_candidates
 from tests.test_text import plain_dice
 
@@ -110,6 +111,15 @@ def test_hot_key_is_cut_at_the_cap(spark):
     assert [r.master_id for r in rows] == [f"mst-{i:04d}" for i in range(25)]
 
 
+def test_queue_finds_the_row_past_the_cap(spark):
+    masters = [(i, f"mst-{i:04d}", f"firm {i}", None, None, None, None, "000-000-0000", None, None, "DIRE") for i in range(40)]
+    masters.append((40, "right", "alder optics works", None, None, None, None, "000-000-0000", None, None, "DIRE"))
+    m = spark.createDataFrame(masters, MASTER)
+    c = candidate_frame(spark, [("loc-1", "alder optics", None, None, None, None, None, None, "0000000000", None)])
+    row = score_candidates(c, m, None, "k").collect()[0]
+    assert (row.best_id, row.truncated) == ("right", False)
+
+
 def test_relationship_expansion(spark):
     m = spark.createDataFrame(
         [(i, f"m{i}", n, None, None, None, None, None, None, None, None) for i, n in enumerate(["acme", "kid one", "kid two", "head"])], MASTER)
