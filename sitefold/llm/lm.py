@@ -12,6 +12,8 @@ from sitefold.llm import common as C
 ALPHA = 0.1
 #: What the vocabulary file writes for the blank before a word.
 MARK = "▁"
+#: Code points of the longest word that is broadcast.
+LONGEST = 64
 
 
 def pieces_of(path: str) -> list[str]:
@@ -106,6 +108,23 @@ def piece_weights(counts: DataFrame, vocabulary: str, ends: int) -> tuple[dict[s
     return plain, [weights.get(f"<0x{b:02X}>", floor) for b in range(256)], math.log((ends + ALPHA) / total)
 
 
+def head_and_rest(words: DataFrame, head_words: int) -> tuple[dict[str, tuple[int, float]], DataFrame]:
+    """The most frequent words (word -> c, p), at most ``head_words`` and none beyond ``LONGEST``, and all others as a table."""
+    short = F.length("word") <= LONGEST
+    # The least count at which the words that occur as often fit the bound; there are few distinct counts above it.
+    at_least, held = None, 0
+    frequent = words.where((F.col("c") > 1) & short).groupBy("c").agg(F.count("*").alias("n")).orderBy(F.desc("c")).limit(head_words)
+    for r in frequent.collect():
+        held += r["n"]
+        if held > head_words:
+            break
+        at_least = r["c"]
+    if at_least is None:
+        return {}, words
+    own = (F.col("c") >= at_least) & short
+    return {r["word"]: (r["c"], r["p"]) for r in words.where(own).collect()}, words.where(~own)
+
+
 def score(docs: DataFrame, vocabulary: str, *, head_words: int = 1 << 17, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
     """One row per document: doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score.
 
@@ -113,8 +132,8 @@ def score(docs: DataFrame, vocabulary: str, *, head_words: int = 1 << 17, id_col
     lower-cased text and one end. ``base_score`` is the smoothed unigram log10 probability; ``score`` the log10 probability
     under a subword unigram model, summed over all segmentations of each word (forward recursion), times that of the end.
 
-    Word counts and each distinct word's lattice are computed once, over all texts. The most frequent words, at most
-    ``head_words``, are broadcast with their count and score, which covers most tokens; every other word of a document is joined
+    Word counts and each distinct word's lattice are computed once, over all texts. The most frequent words of up to ``LONGEST``
+    code points, at most ``head_words``, are broadcast with their count and score, which covers most tokens; every other word of a document is joined
     with the table of words by a shuffle, so the result is exact at any size. Copies of a hot document spread over the join by
     their own words' hashes, and equal words of a document are summed before it.
 
@@ -140,15 +159,7 @@ def score(docs: DataFrame, vocabulary: str, *, head_words: int = 1 << 17, id_col
             yield pa.RecordBatch.from_arrays([batch.column("word"), batch.column("c"), pa.array(out, pa.float64())], names=["word", "c", "p"])
 
     words = C.written(counts.mapInArrow(marginals, C.schema(word="string", c="long", p="double")), "words")
-    # The least count at which the words that occur as often fit the bound; there are few distinct counts above it.
-    at_least, held = None, 0
-    frequent = words.where("c > 1").groupBy("c").agg(F.count("*").alias("n")).orderBy(F.desc("c")).limit(head_words)
-    for r in frequent.collect():
-        held += r["n"]
-        if held > head_words:
-            break
-        at_least = r["c"]
-    head = {} if at_least is None else {r["word"]: (r["c"], r["p"]) for r in words.where(F.col("c") >= at_least).collect()}
+    head, rare = head_and_rest(words, head_words)
     shared = spark.sparkContext.broadcast(head)
     scale = total + ALPHA * (distinct + 1)
 
@@ -183,7 +194,6 @@ def score(docs: DataFrame, vocabulary: str, *, head_words: int = 1 << 17, id_col
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, arrow, strict=True)], names=names)
 
     scored = C.written(rows.mapInArrow(of_head, C.schema(row="long", doc_id="long", training="boolean", n_head="long", base="double", p="double", tail="array<string>")), "scored")
-    rare = words if at_least is None else words.where(F.col("c") < at_least)
     tail = scored.select("row", F.explode("tail").alias("word")).groupBy("row", "word").agg(F.count("*").alias("n"))
     tail = tail.join(rare, "word").groupBy("row").agg(
         F.sum("n").alias("t"), F.sum(F.when(F.col("c") > 0, F.col("n")).otherwise(0)).alias("k"),

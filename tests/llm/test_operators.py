@@ -398,6 +398,12 @@ def test_scores_like_plain_counts(spark, docs):
     assert lm.score(docs.limit(0), path).count() == 0
 
 
+def test_long_words_stay_out_of_the_head(spark):
+    words = spark.createDataFrame([("a", 5, -1.0), ("b" * 64, 5, -2.0), ("c" * 65, 9, -3.0), ("d", 1, -4.0)], "word string, c long, p double")
+    head, rest = lm.head_and_rest(words, 10)
+    assert set(head) == {"a", "b" * 64} and {r["word"] for r in rest.collect()} == {"c" * 65, "d"}
+
+
 def test_forward_sums_all_segmentations():
     pieces = {"a": 0.2, "b": 0.1, "ab": 0.3, "aba": 0.05, "ba": 0.15, "é": 0.01}
     lattice = lm.Lattice({k: math.log(x) for k, x in pieces.items()}, [math.log(0.001)] * 256)
