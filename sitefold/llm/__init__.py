@@ -10,5 +10,8 @@
 ``secrets``     incremental blob ledger
 ``lm``          subword lattice likelihood
 ``packing``     cost-balanced sequences
+``align``       two tokenisations coalesced over byte intervals
+``spelling``    one-edit pairs by composing acceptors
+``ngram_join``  Jaccard self-join by an R-tree over group counts
 ``registry``    the registered queries and their SQL checks
 """

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from sitefold.llm import common as C, licenses, lm, mixing, neardup, packing, quality, secrets, token_files, topk, urls
+from sitefold.llm import align, common as C, licenses, lm, mixing, neardup, ngram_join, packing, quality, secrets, spelling, token_files, topk, urls
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -137,3 +137,74 @@ def op9_lm_score(spark: SparkSession, folder: str) -> DataFrame:
 @query
 def op10_packing(spark: SparkSession, folder: str) -> DataFrame:
     return packing.pack(C.table(spark, folder, "documents"), C.tokenizer_path("word_bpe_49k.json"), 2, with_ids=False)
+
+
+@query
+def op11_token_alignment(spark: SparkSession, folder: str) -> DataFrame:
+    return align.align(C.table(spark, folder, "documents"), C.tokenizer_path("byte_bpe_50k.json"), C.tokenizer_path("piece_bpe_32k.model"))
+
+
+@query
+def op12_spelling_variants(spark: SparkSession, folder: str) -> DataFrame:
+    return spelling.group(C.table(spark, folder, "documents"))
+
+
+#: Checksums byte by byte from a table that the statement derives; near words by what is left of them without one code point.
+ORACLE["op12_spelling_variants"] = """
+WITH RECURSIVE tab AS (
+  SELECT list_transform(range(256), lambda i: list_reduce(list_prepend(i, list_transform(range(8), lambda k: CAST(0 AS BIGINT))),
+    lambda c, x: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END)) AS tab
+), r AS (
+  SELECT coalesce(CAST(doc_id AS VARCHAR), '') AS id, unnest(regexp_extract_all(translate(coalesce(text, ''),
+    'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[A-Za-z\\x{00C0}-\\x{00FF}]+')) AS run FROM documents
+), d AS (SELECT id, run, count(*) AS n FROM r WHERE length(run) >= 5 GROUP BY id, run
+), b AS (
+  SELECT run, n, flatten(list_transform(string_split(id || ':' || run, ''), lambda c: CASE WHEN ord(c) < 128 THEN [CAST(ord(c) AS BIGINT)]
+    ELSE [195, CAST(ord(c) - 64 AS BIGINT)] END)) AS bytes FROM d
+), h AS (
+  SELECT run, n, xor(list_reduce(list_prepend(4294967295, bytes), lambda c, x: xor(c >> 8, tab[1 + (xor(c, x) & 255)])), 4294967295) AS h FROM b, tab
+), o AS (
+  SELECT CASE WHEN h % 97 = 0 THEN left(run, h % length(run)) || substring(run, h % length(run) + 2) ELSE run END AS word, n FROM h
+), w AS (SELECT word, CAST(sum(n) AS BIGINT) AS n FROM o WHERE length(word) >= 5 GROUP BY word HAVING sum(n) >= 3
+), e AS (
+  SELECT word, n, i, left(word, i - 1) || substring(word, i + 1) AS rest FROM (SELECT word, n, unnest(range(1, length(word) + 1)) AS i FROM w)
+), near AS (
+  SELECT a.word, b.word AS near, b.n AS near_n FROM e a JOIN e b ON a.i = b.i AND a.rest = b.rest AND a.word <> b.word
+  UNION SELECT e.word, w.word, w.n FROM e JOIN w ON e.rest = w.word
+  UNION SELECT w.word, e.word, e.n FROM e JOIN w ON e.rest = w.word
+), best AS (
+  SELECT word, count(*) AS n_near, first(near ORDER BY near_n DESC, near) AS near, max(near_n) AS near_n FROM near GROUP BY word
+), f AS (
+  SELECT word, CASE WHEN near_n >= 2 * n THEN near END AS form, n, coalesce(n_near, 0) AS n_near, CASE WHEN near_n >= 2 * n THEN near_n END AS form_n
+  FROM w LEFT JOIN best USING (word)
+), path(word, root) AS (SELECT word, word FROM f UNION SELECT path.word, f.form FROM path JOIN f ON f.word = path.root WHERE f.form IS NOT NULL
+), last AS (SELECT path.word, path.root FROM path JOIN f ON f.word = path.root WHERE f.form IS NULL)
+SELECT word, form, root, n, n_near, form_n FROM f JOIN last USING (word)
+"""
+
+
+@query
+def op13_ngram_join(spark: SparkSession, folder: str) -> DataFrame:
+    return ngram_join.cluster(C.table(spark, folder, "documents"))
+
+
+def _links_sql(words: int, percent: int) -> str:
+    """Components of all links between sets of shingles, by reaching on from each document."""
+    return f"""
+WITH RECURSIVE w AS (
+  SELECT doc_id, list_filter(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\\x20\\x09-\\x0D]+'),
+                             lambda x: x <> '') AS w FROM documents
+), s AS (
+  SELECT doc_id, list_distinct(CASE WHEN len(w) = 0 THEN [] WHEN len(w) < {words} THEN [array_to_string(w, ' ')]
+         ELSE list_transform(range(1, len(w) - {words - 2}), lambda i: array_to_string(w[i:i+{words - 1}], ' ')) END) AS s FROM w
+), e AS (SELECT doc_id, len(s) AS n, unnest(s) AS g FROM s),
+pairs AS (
+  SELECT a.doc_id AS a, b.doc_id AS b FROM e a JOIN e b ON a.g = b.g AND a.doc_id <> b.doc_id
+  GROUP BY a.doc_id, b.doc_id, a.n, b.n HAVING 100 * count(*) >= {percent} * (a.n + b.n - count(*))
+), reach(id, c) AS (
+  SELECT doc_id, doc_id FROM s UNION SELECT reach.id, pairs.b FROM reach JOIN pairs ON reach.c = pairs.a
+), least AS (SELECT id, min(c) AS c FROM reach GROUP BY id)
+"""
+
+
+ORACLE["op13_ngram_join"] = _links_sql(3, 90) + "SELECT doc_id, CAST(len(s) AS BIGINT) AS n_shingles, c AS component_id FROM s JOIN least ON id = doc_id"
