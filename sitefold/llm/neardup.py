@@ -7,6 +7,7 @@ from collections.abc import Iterator
 from pyspark.sql import DataFrame, Window as W, functions as F
 
 from sitefold.llm import common as C
+from sitefold.llm.sets import Shingler, components, in_cells, may_link, sketch_of, sketches, strongest, verified
 
 SHINGLE = 5
 #: Sorted orders of the forest, and signature components of each: the depth of its tree.
@@ -17,40 +18,8 @@ NEAR, CENTRES, PARTNERS = 24, 16, 6
 WORTH = 0.55
 #: One in so many of a set's hashes is looked at beyond the prefix that a partner must meet.
 MORE = 20
-
-
-class Shingler:
-    """Sets of 64-bit shingle hashes of whole texts."""
-
-    def __init__(self, k: int = SHINGLE, limit: int = 500_000):
-        import re
-
-        self.find, self.k, self.limit, self.words = re.compile(C.WORD).findall, k, limit, {}
-
-    def shingles(self, text: str | None):
-        """Sorted distinct hashes; a text of fewer than k words has its whole sequence as one."""
-        import numpy as np
-        import xxhash
-
-        own = self.find((text or "").encode("utf-8", "surrogatepass").lower().decode("utf-8", "surrogatepass"))
-        if not own:
-            return np.zeros(0, np.uint64)
-        cache, digest = self.words, xxhash.xxh64_intdigest
-        if len(cache) > self.limit:
-            cache.clear()
-        hashes = []
-        for w in own:
-            h = cache.get(w)
-            if h is None:
-                h = cache[w] = digest(w.encode("utf-8", "surrogatepass"))
-            hashes.append(h)
-        h = np.array(hashes, np.uint64)
-        n = min(self.k, len(h))
-        out = np.full(len(h) - n + 1, n, np.uint64)
-        for j in range(n):  # order counts: multiply between words
-            out = (out ^ h[j : len(h) - n + 1 + j]) * np.uint64(0x9E3779B97F4A7C15)
-            out ^= out >> np.uint64(29)
-        return np.unique(out)
+#: Members of a region that one task compares as a whole.
+BLOCK = 2048
 
 
 def _constants(n: int):
@@ -71,27 +40,41 @@ def signature(shingles, add, multiply):
     return ((low * np.uint64(0xD6E8FEB86659FD93)) >> np.uint64(48)).astype(">u2")
 
 
-def measured(docs: DataFrame, trees: int = TREES, depth: int = DEPTH) -> DataFrame:
-    """doc_id, n (size of the set), digest (of the set; null if empty), signature (binary)."""
+def prefix_length(n: int, percent: int) -> int:
+    """How many of a set's lowest hashes are looked at: of a linked set's, the first ``1 + n // MORE`` common ones are among them."""
+    return n - -(-percent * n // 100) + 1 + n // MORE
+
+
+def measured(docs: DataFrame, trees: int = TREES, depth: int = DEPTH, percent: int = 75) -> DataFrame:
+    """All that is read off a text, in one pass: row, doc_id, th, n (size of the set), digest (of the set; null if empty), sig (MinHash
+    signature), sketch (parities) and low (its lowest hashes). ``row`` numbers the rows."""
     def rows(batches: Iterator) -> Iterator:
         import numpy as np
         import pyarrow as pa
         import xxhash
+        from pyspark import TaskContext
 
-        make, (add, multiply) = Shingler(), _constants(trees * depth)
+        make, (add, multiply) = Shingler(SHINGLE), _constants(trees * depth)
         out: list[tuple] = []
-        names, types = ["doc_id", "n", "digest", "sig"], (pa.int64(), pa.int64(), pa.binary(), pa.binary())
-        for doc, text in C.rows_of(batches, "doc_id", "text"):
+        names = ["row", "doc_id", "th", "n", "digest", "sig", "sketch", "low"]
+        types = (pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.binary(), pa.binary(), pa.binary(), pa.list_(pa.int64()))
+        row, held, none = TaskContext.get().partitionId() << 33, 0, np.zeros(0, np.int64)
+        for doc, th, text in C.rows_of(batches, "doc_id", "th", "text"):
             s = make.shingles(text)
-            full = len(s) > 0
-            out.append((doc, len(s), xxhash.xxh128_digest(s.astype("<u8").tobytes()) if full else None, signature(s, add, multiply).tobytes() if full else None))
-            if len(out) >= 2048:
+            n = len(s)
+            if n:
+                digest = xxhash.xxh128_digest(s.astype("<u8").tobytes())
+                out.append((row, doc, th, n, digest, signature(s, add, multiply).tobytes(), sketch_of(s), s[: prefix_length(n, percent)].astype(np.int64)))
+            else:
+                out.append((row, doc, th, 0, None, None, None, none))
+            row, held = row + 1, held + n
+            if len(out) >= 2048 or held > 1_000_000:
                 yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out, strict=True), types, strict=True)], names=names)
-                out = []
+                out, held = [], 0
         if out:
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out, strict=True), types, strict=True)], names=names)
 
-    return docs.mapInArrow(rows, C.schema(doc_id="long", n="long", digest="binary", sig="binary"))
+    return docs.mapInArrow(rows, C.schema(row="long", doc_id="long", th="long", n="long", digest="binary", sig="binary", sketch="binary", low="array<bigint>"))
 
 
 def partners(ids, sigs, keys, near: int = NEAR, centres: int = CENTRES, keep: int = PARTNERS, worth: float = WORTH):
@@ -190,169 +173,176 @@ def candidates(reps: DataFrame, trees: int = TREES, depth: int = DEPTH, stretch:
     return found.groupBy("a", "b").agg(F.max("e").alias("e"))
 
 
-def components(edges: DataFrame, most: int = 40) -> DataFrame:
-    """id, component: the smallest id reachable, for all ends of ``edges`` (a, b).
+def bounded(pairs: DataFrame, nodes: DataFrame, percent: int = 75) -> DataFrame:
+    """Those pairs (a, b, ...) whose sketches allow a link; ``nodes`` holds node, n and sketch."""
+    columns = pairs.columns
 
-    Alternates two steps until nothing changes: every neighbour above a node is tied to the node's smallest neighbour, then every
-    node and its smaller neighbours to the smallest. Paths shorten by half, and each step only combines minima and joins them back.
-    """
-    now = C.written(edges.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).where("u <> v").distinct(), "edges")
-    before = None
-    for _ in range(most):
-        both = now.select("u", "v").unionByName(now.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        least = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
-        large = both.where("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v").distinct()
-        least = large.groupBy("u").agg(F.min("v").alias("m"))
-        small = large.join(least, "u")
-        now = C.written(small.select("u", F.col("m").alias("v")).unionByName(small.where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))).distinct(), "edges")
-        state = now.agg(F.count("*").alias("n"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)")).alias("h")).first()
-        if before == state:
-            break
-        before = state
-    else:
-        raise RuntimeError("components did not settle")
-    stars = now.select(F.col("u").alias("id"), F.col("v").alias("component"))
-    return stars.unionByName(stars.select(F.col("component").alias("id"), "component")).groupBy("id").agg(F.min("component").alias("component"))
-
-
-def confirmed(pairs: DataFrame, sets: DataFrame, percent: int = 75) -> DataFrame:
-    """Those pairs (a, b) whose full sets meet 100 * intersection >= percent * union."""
-    def held(batches: Iterator) -> Iterator:
+    def kept(batches: Iterator) -> Iterator:
         import numpy as np
         import pyarrow as pa
 
         for batch in batches:
-            keep = []
-            for x, y in zip(batch.column("x"), batch.column("y"), strict=True):
-                p, q = (np.frombuffer(s.as_buffer(), "<u8") for s in (x, y))
-                shared = len(np.intersect1d(p, q, assume_unique=True))
-                keep.append(100 * shared >= percent * (len(p) + len(q) - shared))
-            yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
-
-    # Always by a shuffle: pairs grow with the documents, and the plan should be the one that large tables get.
-    own = lambda c, s: sets.select(F.col("id").alias(c), F.col("s").alias(s), F.col("n").alias(f"n{s}")).hint("merge")
-    # Sizes alone exclude a pair whose smaller set is too small for the larger.
-    joined = pairs.join(own("a", "x"), "a").join(own("b", "y"), "b").where(100 * F.least("nx", "ny") >= percent * F.greatest("nx", "ny"))
-    return joined.select("a", "b", "x", "y").mapInArrow(held, C.schema(a="long", b="long"))
-
-
-def unsettled(rows: DataFrame, classes: DataFrame, joined: DataFrame, percent: int = 75) -> DataFrame:
-    """id, c (its component): the representatives that may have a link to another component; all others have none.
-
-    The first k common hashes of two linked sets, in the order of the hashes, are among the ``n - least + k`` lowest of either, where
-    ``least`` is what a partner must share. The lowest for k = 1 + n // MORE are looked at, and a partner has at least ``least``
-    shingles; so a representative stays only if 1 + least // MORE of them occur in two components. An id of several texts may stay for nothing.
-    """
-    def lowest(batches: Iterator) -> Iterator:
-        import numpy as np
-        import pyarrow as pa
+            n, m = batch.column("na").to_pylist(), batch.column("nb").to_pylist()
+            keep = [bool(may_link(s[:1], np.array([p]), s[1:], np.array([q]), percent)[0, 0]) for p, q, s in
+                    ((p, q, sketches([(p, x), (q, y)])) for p, q, x, y in zip(n, m, batch.column("xa").to_pylist(), batch.column("xb").to_pylist(), strict=True))]
+            yield batch.select(columns).filter(pa.array(keep, pa.bool_()))
 
-        make = Shingler()
-        for batch in batches:
-            for at in range(0, batch.num_rows, 256):
-                part = batch.slice(at, 256)
-                own = [make.shingles(t) for t in part.column("text").to_pylist()]
-                low = [s[: len(s) - -(-percent * len(s) // 100) + 1 + len(s) // MORE].astype(np.int64) for s in own]
-                yield pa.RecordBatch.from_arrays([part.column("doc_id"), pa.array(low, pa.list_(pa.int64()))], names=["rep", "low"])
-
-    known = classes.groupBy("rep").agg(F.min("n").alias("n"))
-    of = C.written(known.join(joined.select(F.col("id").alias("rep"), F.col("component").alias("c")), "rep", "left").select("rep", "n", F.coalesce("c", "rep").alias("c")), "classes")
-    low = rows.where("doc_id is not null").select("doc_id", "text").mapInArrow(lowest, C.schema(rep="long", low="array<bigint>"))
-    hashes = low.join(of.select("rep", "c"), "rep").select("rep", "c", F.explode("low").alias("h"))
-    same = W.partitionBy("h")
-    crossing = hashes.select("rep", F.min("c").over(same).alias("lo"), F.max("c").over(same).alias("hi")).where("lo < hi")
+    own = lambda c: nodes.select(F.col("node").alias(c), F.col("n").alias(f"n{c}"), F.col("sketch").alias(f"x{c}")).hint("merge")
+    joined = pairs.join(own("a"), "a").join(own("b"), "b").where(100 * F.least("na", "nb") >= percent * F.greatest("na", "nb"))
+    return joined.select(*columns, "na", "nb", "xa", "xb").mapInArrow(kept, pairs.schema)
+
+
+def unsettled(low: DataFrame, nodes: DataFrame, placed: DataFrame, percent: int = 75) -> DataFrame:
+    """node, c (its component): the nodes that may have a link to another component; all others have none.
+
+    ``low`` holds the hashes h of nodes' lowest ones that several nodes have. The first k common hashes of two linked sets are among the
+    ``n - least + k`` lowest of either, where ``least`` is what a partner must share. The lowest for k = 1 + n // MORE are looked at,
+    and a partner has at least ``least`` shingles; so a node stays only if 1 + least // MORE of them occur in two components.
+    """
+    hashes = low.join(placed.hint("merge"), "node").select("node", "c", "h")
+    crossing = hashes.groupBy("h").agg(F.min("c").alias("lo"), F.max("c").alias("hi")).where("lo < hi").select("h")
+    met = hashes.join(crossing.hint("merge"), "h").groupBy("node").agg(F.count("*").alias("m"), F.first("c").alias("c"))
     least = F.ceil(F.lit(percent) * F.col("n") / 100)
-    return crossing.groupBy("rep").agg(F.count("*").alias("m")).join(of, "rep").where(F.col("m") > F.floor(least / MORE)).select(F.col("rep").alias("id"), "c")
+    return met.join(nodes.select("node", "n"), "node").where(F.col("m") > F.floor(least / MORE)).select("node", "c")
 
 
-def crossing_pairs(sets: DataFrame, percent: int = 75) -> DataFrame:
-    """All pairs (a, b) of different components that may be links, from ``sets`` (id, c, n, s; one row per set).
+def crossing(texts: DataFrame, open_: DataFrame, nodes: DataFrame, percent: int = 75) -> DataFrame:
+    """Where links between components can be: key, node, n, sketch, for the nodes of ``open_`` (node, c), from their whole texts.
 
     A link's common shingles all occur in two components, so of each set only those count, the rarest first. A set that has fewer of them
-    than a partner must share has no partner, and otherwise the first common one is among its first ``x - least + 1`` of x.
+    than a partner must share has no partner, and otherwise the first common one is among its first ``x - least + 1`` of x. A key is
+    such a shingle and a step of size.
     """
     def each(batches: Iterator) -> Iterator:
         import numpy as np
         import pyarrow as pa
 
+        make = Shingler(SHINGLE)
         for batch in batches:
-            for at in range(0, batch.num_rows, 256):
-                part = batch.slice(at, 256)
-                own = [np.frombuffer(s.as_buffer(), "<i8") for s in part.column("s")]
+            for at in range(0, batch.num_rows, 64):
+                part = batch.slice(at, 64)
+                own = [make.shingles(t).astype(np.int64) for t in part.column("text").to_pylist()]
                 rows = pa.array(np.repeat(np.arange(len(own)), [len(s) for s in own]))
-                yield pa.RecordBatch.from_arrays([part.column(c).take(rows) for c in ("id", "k", "c", "n")] + [pa.array(np.concatenate(own) if own else np.zeros(0, np.int64))], names=["id", "k", "c", "n", "h"])
-
-    rows = sets.select("id", F.xxhash64("s").alias("k"), "c", "n", "s").mapInArrow(each, C.schema(id="long", k="long", c="long", n="long", h="long"))
-    same, own = W.partitionBy("h"), W.partitionBy("id", "k")
-    rows = rows.select("*", F.min("c").over(same).alias("lo"), F.max("c").over(same).alias("hi"), F.count("*").over(same).alias("df")).where("lo < hi")
-    rows = rows.select("id", "c", "n", "h", F.count("*").over(own).alias("x"), F.row_number().over(own.orderBy("df", "h")).alias("place"))
+                yield pa.RecordBatch.from_arrays([part.column("node").take(rows), pa.array(np.concatenate(own))], names=["node", "h"])
+
+    rows = texts.join(open_.select("node").hint("merge"), "node", "left_semi").mapInArrow(each, C.schema(node="long", h="long")).distinct()
+    rows = rows.join(open_.hint("merge"), "node")
+    same = rows.groupBy("h").agg(F.min("c").alias("lo"), F.max("c").alias("hi"), F.count("*").alias("df")).where("lo < hi").select("h", "df")
+    rows = C.written(rows.join(same.hint("merge"), "h").join(nodes.select("node", "n").hint("merge"), "node"), "crossing")
+    own = W.partitionBy("node")
+    rows = rows.select("node", "c", "n", "h", F.count("*").over(own).alias("x"), F.row_number().over(own.orderBy("df", "h")).alias("place"))
     least = F.ceil(F.lit(percent) * F.col("n") / 100)
-    rows = C.written(rows.where((F.col("x") >= least) & (F.col("place") <= F.col("x") - least + 1)).select("id", "c", "n", "h"), "prefixes")
-    other = rows.select("h", F.col("id").alias("b"), F.col("c").alias("d"), F.col("n").alias("m"))
-    fits = (F.col("c") < F.col("d")) & (100 * F.least("n", "m") >= percent * F.greatest("n", "m"))
-    return rows.join(other.hint("merge"), "h").where(fits).select(F.least("id", "b").alias("a"), F.greatest("id", "b").alias("b")).distinct()
+    rows = C.written(rows.where((F.col("x") >= least) & (F.col("place") <= F.col("x") - least + 1)).select("node", "c", "n", "h"), "prefixes")
+    # Steps of size by 4/3: linked sets are in one step or in two that follow one another.
+    step = F.floor(F.log(F.col("n").cast("double")) / F.log(F.lit(100.0 / percent)) + 1e-9)
+    keyed = rows.select("node", "c", "n", F.explode(F.array(F.xxhash64("h", step), F.xxhash64("h", step + 1))).alias("key"))
+    meet = keyed.groupBy("key").agg(F.min("c").alias("lo"), F.max("c").alias("hi")).where("lo < hi").select("key")
+    return C.written(keyed.join(meet.hint("merge"), "key").join(nodes.select("node", "sketch").hint("merge"), "node").select("key", "node", "n", "sketch"), "crossing")
+
+
+def sketched_pairs(members: DataFrame, percent: int = 75, block: int = BLOCK, best: bool = False) -> DataFrame:
+    """Pairs (a, b) of different components whose sketches allow a link, from (key, node, c, n, sketch): others never become rows.
+
+    With ``best``, a member keeps only its least unlike partner of each key.
+    """
+    def joined(low: list[tuple], high: list[tuple] | None) -> Iterator:
+        import numpy as np
+        import pyarrow as pa
+
+        both = low + (high or [])
+        node, c, n = (np.array([r[k] for r in both], np.int64) for k in range(3))
+        words = sketches([(r[2], r[3]) for r in both])
+        split = len(low) if high else 0
+        found = []
+        for at in range(0, len(low), 256):
+            mine, others = slice(at, min(at + 256, len(low))), slice(split, None)
+            i, j = np.nonzero(may_link(words[mine], n[mine], words[others], n[others], percent) & (c[mine][:, None] != c[others][None, :]))
+            i, j = i + at, j + split
+            if best and len(i):
+                unlike = np.bitwise_count(words[i] ^ words[j]).sum(1, dtype=np.int64) / (n[i] + n[j])
+                keep = strongest(i, j, unlike)
+                found.append((i[keep], j[keep], unlike[keep]))
+            elif len(i):
+                pairs = np.unique(np.stack([np.minimum(node[i], node[j]), np.maximum(node[i], node[j])]), axis=1)
+                yield pa.RecordBatch.from_pydict({"a": pairs[0], "b": pairs[1]})
+        if found:
+            i, j, unlike = (np.concatenate(x) for x in zip(*found, strict=True))
+            keep = strongest(i, j, unlike)
+            x, y = node[i[keep]], node[j[keep]]
+            yield pa.RecordBatch.from_pydict({"a": np.minimum(x, y), "b": np.maximum(x, y)})
+
+    return in_cells(members.withColumnRenamed("sketch", "brief"), block, joined)
 
 
 def cluster(docs: DataFrame, *, percent: int = 75, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
     """Classes of near duplicates: doc_id, n_shingles, component_id, kept.
 
-    Documents whose sets of five-word shingles agree are one class at once, and its smallest id stands for it. An LSH forest proposes
-    pairs of representatives, and pairs count only after a look at the full sets. Each representative's best pair is looked at first;
-    of all other pairs only those between different components then are, since no other can change a component. The forest keeps a bounded
-    number of partners per document, so a last step finds all links left between different components exactly, by prefixes of the full sets:
-    components are those of all links. Documents that are similar but below ``percent``, and therefore apart, are compared pair by pair there.
+    Documents whose sets of five-word shingles agree are one node at once. An LSH forest proposes
+    pairs of nodes; those that sketches of both sets do not exclude count after a look at the full sets. Each node's best pair is looked at
+    first; of all other pairs only those between different components then are, since no other can change a component. The forest keeps a bounded
+    number of partners per node, so a last step finds all links left between different components exactly, by prefixes of the full sets:
+    components are those of all links.
 
     ``component_id`` is the smallest id that links reach, and ``kept`` marks that document. Null and empty texts, and texts without
     words, have no shingles and are linked with nothing. Rows without an id take no part: their component is null, and they
-    are kept. Rows that repeat an id and text give equal rows; if an id has several texts, its rows share a component. An
+    are kept. Rows that repeat an id and text give equal rows; if an id has several texts, each row has the component of its own text, and
+    those of the smallest id are kept. Texts of any length are taken whole; ties in the estimate go to the larger ids. An
     empty table gives no rows. Only the two named columns are read.
     """
-    rows = docs.select(F.col(id_column).cast("long").alias("doc_id"), F.col(text_column).alias("text"))
-    sized = C.written(measured(rows), "signatures")
+    rows = docs.select(F.col(id_column).cast("long").alias("doc_id"), F.col(text_column).alias("text")).withColumn("th", F.xxhash64("text"))
+    sized = C.written(measured(rows, percent=percent), "signatures")
     known = sized.where("doc_id is not null and digest is not null")
-    classes = C.written(known.groupBy("digest").agg(F.min("doc_id").alias("rep"), F.first("sig").alias("sig"), F.first("n").alias("n")), "classes")
-    pairs = C.written(candidates(classes.select(F.col("rep").alias("doc_id"), "sig").dropDuplicates(["doc_id"])), "pairs")
-    ends = pairs.select(F.col("a").alias("id")).unionByName(pairs.select(F.col("b").alias("id"))).distinct()
-
-    def sets_of(batches: Iterator) -> Iterator:
-        import pyarrow as pa
-
-        make = Shingler()
-        for batch in batches:
-            for at in range(0, batch.num_rows, 256):
-                part = batch.slice(at, 256)
-                own = [make.shingles(t) for t in part.column("text").to_pylist()]
-                yield pa.RecordBatch.from_arrays([part.column("id"), pa.array([len(s) for s in own], pa.int64()), pa.array([s.astype("<u8").tobytes() for s in own], pa.binary())], names=["id", "n", "s"])
-
-    texts = rows.where("doc_id is not null").select(F.col("doc_id").alias("id"), "text").join(ends.hint("merge"), "id", "left_semi")
-    sets = C.written(texts.mapInArrow(sets_of, C.schema(id="long", n="long", s="binary")), "sets")
-
-    # First the best pair of each representative, then what lies between components.
+    # A node is a distinct set, numbered by the row of its smallest id.
+    classes = C.written(known.groupBy("digest").agg(F.min(F.struct("doc_id", "th", "row")).alias("first")).select("digest", "first.doc_id", "first.th", F.col("first.row").alias("node")), "classes")
+    of_row = C.written(known.select("row", "digest").join(classes.select("digest", "node").hint("merge"), "digest").select("row", "node"), "nodes")
+    nodes = C.written(known.join(classes.select("node").hint("merge"), F.col("row") == F.col("node"), "left_semi").select(F.col("row").alias("node"), "n", "sig", "sketch"), "nodes")
+    named = classes.select("node", "doc_id", "th")
+
+    def texts_of(some: DataFrame) -> DataFrame:
+        wanted = named.join(some.hint("merge"), "node", "left_semi")
+        return C.written(rows.where("doc_id is not null").join(wanted.hint("merge"), ["doc_id", "th"]).select("node", "text"), "texts")
+
+    # The lowest hashes that several rows have, by node: a link's ends have one in common.
+    low = known.select("row", F.explode("low").alias("h"))
+    again = low.groupBy("h").agg(F.count("*").alias("rows")).where("rows > 1").select("h")
+    low = C.written(low.join(again.hint("merge"), "h").join(of_row.hint("merge"), "row").select("node", "h").distinct(), "lowest")
+
+    found = candidates(nodes.select(F.col("node").alias("doc_id"), "sig"))
+    pairs = C.written(bounded(found, nodes, percent), "pairs")
+    texts = texts_of(pairs.select(F.col("a").alias("node")).unionByName(pairs.select(F.col("b").alias("node"))).distinct())
+
+    # First the best pair of each node, then what lies between components.
     either = pairs.select(F.col("a").alias("id"), "a", "b", "e").unionByName(pairs.select(F.col("b").alias("id"), "a", "b", "e"))
-    first = either.groupBy("id").agg(F.max(F.struct("e", F.col("a").alias("a"), F.col("b").alias("b"))).alias("x")).select("x.a", "x.b").distinct()
-    links = C.written(confirmed(first, sets, percent), "links")
+    first = C.written(either.groupBy("id").agg(F.max(F.struct("e", F.col("a").alias("a"), F.col("b").alias("b"))).alias("x")).select("x.a", "x.b").distinct(), "pairs")
+    links = C.written(verified(first, texts, SHINGLE, percent).distinct(), "links")
     joined = C.written(components(links), "components")
     left = joined.select(F.col("id").alias("a"), F.col("component").alias("ca"))
     right = joined.select(F.col("id").alias("b"), F.col("component").alias("cb"))
     apart = (pairs.select("a", "b").join(left, "a", "left").join(right, "b", "left")
              .where("coalesce(ca, a) <> coalesce(cb, b)").select("a", "b").join(first, ["a", "b"], "left_anti"))
-    later = C.written(confirmed(apart, sets, percent), "links")
-    # An id with several texts ties their classes together.
-    several = known.join(classes.select("digest", "rep"), "digest").where("doc_id <> rep").select(F.col("doc_id").alias("a"), F.col("rep").alias("b")).distinct()
-    shared = several.join(several.groupBy("a").agg(F.count("*").alias("m")).where("m > 1").select("a"), "a", "left_semi")
-    shared = shared.unionByName(several.join(classes.select(F.col("rep").alias("a")), "a", "left_semi")).distinct()
+    later = C.written(verified(C.written(apart, "pairs"), texts, SHINGLE, percent).distinct(), "links")
     # The components so far are stars already: only what the new links change is left to do.
     stars = joined.where("id <> component").select(F.col("id").alias("a"), F.col("component").alias("b"))
-    joined = C.written(components(stars.unionByName(later).unionByName(shared)), "components")
+    joined = C.written(components(stars.unionByName(later)), "components")
     # What the forest's bounds left out: all links between components, on the texts that may have one.
-    open_ = C.written(unsettled(rows, classes, joined, percent), "unsettled")
-    texts = rows.where("doc_id is not null").select(F.col("doc_id").alias("id"), "text").join(open_.select("id").hint("merge"), "id", "left_semi")
-    full = C.written(texts.mapInArrow(sets_of, C.schema(id="long", n="long", s="binary")).where("n > 0").distinct(), "sets")
-    rest = C.written(confirmed(crossing_pairs(full.join(open_, "id"), percent), full, percent), "links")
-    stars = joined.where("id <> component").select(F.col("id").alias("a"), F.col("component").alias("b"))
-    joined = C.written(components(stars.unionByName(rest)), "components")
-    of_class = C.written(classes.select("digest", "rep").join(joined.withColumnRenamed("id", "rep"), "rep", "left").select(
-        "digest", F.coalesce("component", "rep").alias("component")), "classes")
+    placed = C.written(nodes.select("node").join(joined.withColumnRenamed("id", "node"), "node", "left").select("node", F.coalesce("component", "node").alias("c")), "placed")
+    open_ = C.written(unsettled(low, nodes, placed, percent), "unsettled")
+    texts = texts_of(open_.select("node"))
+    members, tried = crossing(texts, open_, nodes, percent), pairs.select("a", "b")
+    # First each node's least unlike partner, then every pair that is still between components.
+    for best in (True, True, False):
+        stars = joined.where("id <> component").select(F.col("id").alias("a"), F.col("component").alias("b"))
+        at = members.join(joined.withColumnRenamed("id", "node").hint("merge"), "node", "left").withColumn("c", F.coalesce("component", "node"))
+        more = C.written(sketched_pairs(at, percent, best=best).join(tried, ["a", "b"], "left_anti"), "pairs")
+        if more.isEmpty():
+            continue
+        tried, last = tried.unionByName(more), C.written(verified(more, texts, SHINGLE, percent).distinct(), "links")
+        if not last.isEmpty():
+            joined = C.written(components(stars.unionByName(last)), "components")
+    placed = classes.select("digest", "doc_id", "node").join(joined.withColumnRenamed("id", "node"), "node", "left").select(
+        "digest", F.col("doc_id").alias("first"), F.coalesce("component", "node").alias("c"))
+    smallest = placed.groupBy("c").agg(F.min("first").alias("component"))
+    of_class = C.written(placed.join(smallest, "c").select("digest", "component"), "classes")
     # Only classes of several documents, or linked ones, need a look; the join's hot class is one small row.
     component = F.coalesce("component", "doc_id")
     return sized.select("doc_id", F.col("n").alias("n_shingles"), "digest").join(of_class, "digest", "left").select(

@@ -8,7 +8,7 @@ from collections.abc import Iterator
 from pyspark.sql import DataFrame, functions as F
 
 from sitefold.llm import common as C
-from sitefold.llm.neardup import Shingler, components
+from sitefold.llm.sets import Shingler, components, counts_of, in_cells, kind, point_of, sketch_of, sketches, spread, strongest, verified
 
 #: Words of a shingle, and the least similarity in percent.
 SHINGLE, PERCENT = 3, 90
@@ -40,11 +40,6 @@ def groups_of(c: int, percent: int) -> tuple[int, int]:
     return differ + 1 + spare if differ else 1, spare
 
 
-def spread(n: int) -> int:
-    """Coordinates of a point: a power of two, about a fourth of the set's size."""
-    return 1 << max(4, min(14, (n // 4).bit_length()))
-
-
 def shared_bound(p, q):
     """Upper bound of the common shingles of points (or boxes): the sum of the coordinates' minima. Works on all rows of both at once."""
     import numpy as np
@@ -52,11 +47,6 @@ def shared_bound(p, q):
     return np.minimum(p[:, None, :], q[None, :, :]).sum(2, dtype=np.int64)
 
 
-def folded(points, width: int):
-    """Points in fewer coordinates: groups by fewer bits of the same hash."""
-    return points.reshape(len(points), -1, width).sum(1) if points.shape[1] > width else points
-
-
 class Tree:
     """An R-tree over points, packed bottom up: leaves of neighbours in a sort by coordinates, boxes of boxes above."""
 
@@ -152,7 +142,7 @@ def branch_keys(shingles, c: int, percent: int) -> list:
 
 
 def measured(docs: DataFrame, k: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
-    """doc_id, th, n, digest (of the set; null if empty), point (its group counts) and branches (its keys on the tree's first level)."""
+    """doc_id, th, n, digest (of the set; null if empty), point (its group counts), sketch (parities) and branches (its keys on the tree's first level)."""
 
     def rows(batches: Iterator) -> Iterator:
         import numpy as np
@@ -160,22 +150,23 @@ def measured(docs: DataFrame, k: int = SHINGLE, percent: int = PERCENT) -> DataF
         import xxhash
 
         make, empty = Shingler(k), np.zeros(0, np.int64)
-        names, types = ["doc_id", "th", "n", "digest", "point", "branches"], (pa.int64(), pa.int64(), pa.int64(), pa.binary(), pa.binary(), pa.list_(pa.int64()))
+        names = ["doc_id", "th", "n", "digest", "point", "sketch", "branches"]
+        types = (pa.int64(), pa.int64(), pa.int64(), pa.binary(), pa.binary(), pa.binary(), pa.list_(pa.int64()))
         out: list[tuple] = []
         held = 0
         for doc, th, text in C.rows_of(batches, "doc_id", "th", "text"):
             s = make.shingles(text)
-            n, digest, point, branches = len(s), None, None, empty
+            n, digest, point, sketch, branches = len(s), None, None, None, empty
             if n:
                 digest = xxhash.xxh128_digest(s.astype("<u8").tobytes())
-                point = np.bincount((s % np.uint64(spread(n))).astype(np.int64), minlength=spread(n)).astype(kind(n)).tobytes()
+                point, sketch = point_of(s), sketch_of(s)
                 c = size_class(n)
                 keys = branch_keys(s, c, percent)
                 # The larger of two linked sets may be of the next class: the smaller one has its keys there as well.
                 if 100 * n >= percent * (class_bound(c) + 1):
                     keys += branch_keys(s, c + 1, percent)
                 branches = np.concatenate(keys) if keys else empty
-            out.append((doc, th, n, digest, point, branches))
+            out.append((doc, th, n, digest, point, sketch, branches))
             held += n
             if held >= 1_000_000 or len(out) >= 4096:
                 yield pa.RecordBatch.from_arrays([pa.array(col, t) for col, t in zip(zip(*out, strict=True), types, strict=True)], names=names)
@@ -183,95 +174,49 @@ def measured(docs: DataFrame, k: int = SHINGLE, percent: int = PERCENT) -> DataF
         if out:
             yield pa.RecordBatch.from_arrays([pa.array(col, t) for col, t in zip(zip(*out, strict=True), types, strict=True)], names=names)
 
-    return docs.mapInArrow(rows, C.schema(doc_id="long", th="long", n="long", digest="binary", point="binary", branches="array<bigint>"))
-
-
-def kind(n: int) -> str:
-    """How the counts of a set of ``n`` are written."""
-    return "<u2" if n < 1 << 16 else "<u4"
-
-
-def verified(pairs: DataFrame, texts: DataFrame, k: int = SHINGLE, percent: int = PERCENT, most: int = 512) -> DataFrame:
-    """Those pairs (a, b) whose full sets meet 100 * intersection >= percent * union; ``texts`` holds node and text.
-
-    Pairs are grouped by their first end, whose text travels once per group of about ``most`` pairs; the other ends' texts follow one by one.
-    """
-    sizes = pairs.groupBy("a").agg(F.ceil(F.count("*") / most).alias("parts"))
-    dealt = C.written(pairs.join(sizes, "a").select("a", "b", F.pmod(F.xxhash64("b"), "parts").alias("part")), "dealt")
-    first = dealt.select("a", "part").distinct().join(texts.hint("merge"), F.col("a") == F.col("node")).select("a", "part", F.lit(None).cast("long").alias("b"), "text")
-    other = dealt.join(texts.hint("merge"), F.col("b") == F.col("node")).select("a", "part", "b", "text")
-
-    def held(batches: Iterator) -> Iterator:
-        import numpy as np
-        import pyarrow as pa
-
-        make = Shingler(k)
-        of, own, found = None, None, []
-        for a, part, b, text in C.rows_of(batches, "a", "part", "b", "text"):
-            if b is None:
-                of, own = (a, part), make.shingles(text)
-                continue
-            if of != (a, part):
-                raise RuntimeError("a pair came without its first end")
-            s = make.shingles(text)
-            if 100 * min(len(s), len(own)) >= percent * max(len(s), len(own)):
-                shared = len(np.intersect1d(s, own, assume_unique=True))
-                if 100 * shared >= percent * (len(s) + len(own) - shared):
-                    found.append((a, b))
-            if len(found) >= 10_000:
-                yield pa.RecordBatch.from_pydict({"a": [x for x, _ in found], "b": [x for _, x in found]})
-                found = []
-        if found:
-            yield pa.RecordBatch.from_pydict({"a": [x for x, _ in found], "b": [x for _, x in found]})
-
-    # Nulls sort first: a group starts with its first end.
-    rows = first.unionByName(other).repartition("a", "part").sortWithinPartitions("a", "part", F.col("b").asc_nulls_first())
-    return rows.mapInArrow(held, C.schema(a="long", b="long"))
+    return docs.mapInArrow(rows, C.schema(doc_id="long", th="long", n="long", digest="binary", point="binary", sketch="binary", branches="array<bigint>"))
 
 
-def tree_joined(members: DataFrame, percent: int = PERCENT, block: int = BLOCK) -> DataFrame:
-    """Pairs (a, b) with a < b of different components that the trees' bounds allow, from (key, node, c, n, point).
+def tree_joined(members: DataFrame, percent: int = PERCENT, block: int = BLOCK, best: bool = False) -> DataFrame:
+    """Pairs (a, b) with a < b of different components that the trees' bounds allow, from (key, node, c, n, point, sketch).
 
     Each branch of the first level is a tree of its own. A branch of more than ``block`` members is dealt into blocks, each with its
-    tree, and every two blocks meet in a cell of their own: no task holds more than two blocks.
+    tree, and every two blocks meet in a cell of their own: no task holds more than two blocks. Pairs that a tree leaves are held against
+    their sets' parities, which bound what the sets differ in. With ``best``, a member keeps only its least unlike partner in each cell.
     """
-    def cells(batches: Iterator) -> Iterator:
+    def joined(low: list[tuple], high: list[tuple] | None) -> Iterator:
         import numpy as np
         import pyarrow as pa
 
-        def tree(rows: list[tuple], width: int) -> tuple:
-            points = [folded(np.frombuffer(p, kind(n)).astype(np.int64)[None, :], width) for _, _, n, p in rows]
-            return np.array([r[0] for r in rows]), np.array([r[1] for r in rows]), Tree(np.concatenate(points), np.array([r[2] for r in rows]))
-
-        def joined(low: list[tuple], high: list[tuple], same: bool) -> Iterator:
-            if not low or not (same or high):
-                return
-            width = min(spread(n) for _, _, n, _ in low + high)
-            ids_a, comp_a, a = tree(low, width)
-            ids_b, comp_b, b = (ids_a, comp_a, a) if same else tree(high, width)
-            for i, j in tree_pairs(a, b, percent, same):
-                apart = comp_a[i] != comp_b[j]
-                x, y = ids_a[i[apart]], ids_b[j[apart]]
-                if len(x):
-                    yield pa.RecordBatch.from_pydict({"a": np.minimum(x, y), "b": np.maximum(x, y)})
-
-        at, low, high = None, [], []
-        for key, x, y, upper, *member in C.rows_of(batches, "key", "x", "y", "upper", "node", "c", "n", "point"):
-            if (key, x, y) != at:
-                if at:
-                    yield from joined(low, high, at[1] == at[2])
-                at, low, high = (key, x, y), [], []
-            (high if upper else low).append(tuple(member))
-        if at:
-            yield from joined(low, high, at[1] == at[2])
-
-    sizes = members.groupBy("key").agg(F.ceil(F.count("*") / block).alias("blocks"))
-    own = F.pmod(F.xxhash64("node"), "blocks").alias("own")
-    dealt = members.join(sizes, "key").select("key", "node", "c", "n", "point", "blocks", own)
-    other = F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)).alias("other")
-    cell = dealt.select("*", other).select("key", F.least("own", "other").alias("x"), F.greatest("own", "other").alias("y"), (F.col("own") > F.col("other")).alias("upper"), "node", "c", "n", "point")
-    placed = cell.repartition("key", "x", "y").sortWithinPartitions("key", "x", "y")
-    return placed.mapInArrow(cells, C.schema(a="long", b="long")).distinct()
+        width = min(spread(n) for _, _, n, _ in low + (high or []))
+        cut = [spread(n) * np.dtype(kind(n)).itemsize for _, _, n, _ in low + (high or [])]
+        words = sketches([(r[2], r[3][at:]) for r, at in zip(low + (high or []), cut, strict=True)])
+
+        def tree(rows: list[tuple]) -> tuple:
+            points = np.stack([counts_of(p[: spread(n) * np.dtype(kind(n)).itemsize], n, width) for _, _, n, p in rows])
+            return *(np.array([r[k] for r in rows], np.int64) for k in range(3)), Tree(points, np.array([r[2] for r in rows], np.int64))
+
+        ids_a, comp_a, size_a, a = tree(low)
+        ids_b, comp_b, size_b, b = tree(high) if high else (ids_a, comp_a, size_a, a)
+        words_a, words_b = words[: len(low)], words[len(low) :] if high else words
+        kept = []
+        for i, j in tree_pairs(a, b, percent, not high):
+            apart = comp_a[i] != comp_b[j]
+            i, j = i[apart], j[apart]
+            differ = np.bitwise_count(words_a[i] ^ words_b[j]).sum(1, dtype=np.int64)
+            both = size_a[i] + size_b[j]
+            good = (100 + percent) * differ <= (100 - percent) * both
+            x, y = ids_a[i[good]], ids_b[j[good]]
+            if len(x) and best:
+                kept.append((x, y, differ[good] / both[good]))
+            elif len(x):
+                yield pa.RecordBatch.from_pydict({"a": np.minimum(x, y), "b": np.maximum(x, y)})
+        if kept:
+            x, y, unlike = (np.concatenate(c) for c in zip(*kept, strict=True))
+            at = strongest(x, y, unlike)
+            yield pa.RecordBatch.from_pydict({"a": np.minimum(x[at], y[at]), "b": np.maximum(x[at], y[at])})
+
+    return in_cells(members.withColumn("brief", F.concat("point", "sketch")), block, joined)
 
 
 def cluster(docs: DataFrame, *, k: int = SHINGLE, percent: int = PERCENT, block: int = BLOCK, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
@@ -283,8 +228,8 @@ def cluster(docs: DataFrame, *, k: int = SHINGLE, percent: int = PERCENT, block:
     groups, of which linked sets have one in common (``branch_keys``), and below it each branch is a packed tree of boxes (``tree_joined``).
 
     Equal sets are one node at once. Each node is first compared with the smallest node of the branches it shares most often, which settles
-    groups of near copies in one comparison a member. Only branches that still hold several components are searched by their trees;
-    pairs whose bound allows a link are verified on the full sets. Components are those of all links.
+    groups of near copies in one comparison a member. Only branches that still hold several components are searched by their trees, first
+    for each node's best partner, then for all; pairs whose bounds allow a link are verified on the full sets. Components are those of all links.
 
     ``component_id`` is the smallest id that links reach, itself included. Null and empty texts, and texts without words, have no shingles
     and are linked with nothing; rows without an id take no part and have a null component. Rows that repeat an id are each taken for
@@ -295,8 +240,8 @@ def cluster(docs: DataFrame, *, k: int = SHINGLE, percent: int = PERCENT, block:
     sized = C.written(measured(rows, k, percent), "points")
     known = sized.where("doc_id is not null and digest is not null")
     classes = C.written(known.groupBy("digest").agg(
-        F.min(F.struct("doc_id", "th")).alias("rep"), F.first("n").alias("n"), F.first("point").alias("point"), F.first("branches").alias("branches"),
-    ).select("digest", "rep.doc_id", "rep.th", "n", "point", "branches", F.monotonically_increasing_id().alias("node")), "classes")
+        F.min(F.struct("doc_id", "th")).alias("rep"), F.first("n").alias("n"), F.first("point").alias("point"), F.first("sketch").alias("sketch"), F.first("branches").alias("branches"),
+    ).select("digest", "rep.doc_id", "rep.th", "n", "point", "sketch", "branches", F.monotonically_increasing_id().alias("node")), "classes")
 
     keys = classes.select("node", F.explode("branches").alias("key"))
     shared = keys.groupBy("key").agg(F.min("node").alias("lead"), F.max("node").alias("last")).where("lead < last").select("key", "lead")
@@ -310,14 +255,22 @@ def cluster(docs: DataFrame, *, k: int = SHINGLE, percent: int = PERCENT, block:
     links = C.written(verified(tried, texts, k, percent).distinct(), "links")
     joined = C.written(components(links), "components")
 
-    placed = members.select("key", "node").join(joined.withColumnRenamed("id", "node"), "node", "left").select("key", "node", F.coalesce("component", "node").alias("c"))
-    placed = C.written(placed, "placed")
-    several = placed.groupBy("key").agg(F.min("c").alias("lo"), F.max("c").alias("hi")).where("lo < hi").select("key")
-    open_ = placed.join(several.hint("merge"), "key").join(classes.select("node", "n", "point").hint("merge"), "node")
-    pairs = tree_joined(open_, percent, block).join(tried, ["a", "b"], "left_anti")
-    rest = C.written(verified(C.written(pairs, "pairs"), texts, k, percent).distinct(), "links")
+    # Then each node's least unlike partner in another component, twice, and at last every pair that is left.
+    for best in (True, True, False):
+        placed = members.select("key", "node").join(joined.withColumnRenamed("id", "node"), "node", "left").select("key", "node", F.coalesce("component", "node").alias("c"))
+        placed = C.written(placed, "placed")
+        several = placed.groupBy("key").agg(F.min("c").alias("lo"), F.max("c").alias("hi")).where("lo < hi").select("key")
+        open_ = placed.join(several.hint("merge"), "key").join(classes.select("node", "n", "point", "sketch").hint("merge"), "node")
+        pairs = C.written(tree_joined(open_, percent, block, best).join(tried, ["a", "b"], "left_anti"), "pairs")
+        if pairs.isEmpty():
+            continue
+        tried, more = tried.unionByName(pairs), C.written(verified(pairs, texts, k, percent).distinct(), "links")
+        if not more.isEmpty():
+            # The components so far are stars already.
+            stars = joined.where("id <> component").select(F.col("id").alias("a"), F.col("component").alias("b"))
+            joined = C.written(components(stars.unionByName(more)), "components")
+    of_node = joined
 
-    of_node = C.written(components(links.unionByName(rest)), "components")
     named = classes.select("digest", "doc_id", "node").join(of_node.withColumnRenamed("id", "node"), "node", "left").select(
         "digest", F.col("doc_id").alias("first"), F.coalesce("component", "node").alias("c"))
     smallest = named.groupBy("c").agg(F.min("first").alias("component"))

@@ -12,7 +12,7 @@ from collections import Counter, defaultdict
 import pytest
 from pyspark.sql import functions as F
 
-from sitefold.llm import common as C, licenses, lm, mixing, neardup, packing, quality, secrets, token_files, topk, urls
+from sitefold.llm import common as C, licenses, lm, mixing, neardup, packing, quality, secrets, sets, token_files, topk, urls
 
 from .conftest import SCHEMA, TEXTS, prose
 
@@ -327,7 +327,7 @@ def test_groups_that_one_link_joins(spark):
 
 def test_components_of_a_path_and_a_star(spark):
     edges = [(k, k + 1) for k in range(60)] + [(100, k) for k in range(101, 160)] + [(5, 5), (200, 199)]
-    got = {r["id"]: r["component"] for r in neardup.components(spark.createDataFrame(edges, "a long, b long")).collect()}
+    got = {r["id"]: r["component"] for r in sets.components(spark.createDataFrame(edges, "a long, b long")).collect()}
     assert all(got[k] == 0 for k in range(61)) and all(got[k] == 100 for k in range(101, 160)) and got[200] == 199
 
 
