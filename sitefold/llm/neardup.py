@@ -223,12 +223,14 @@ def crossing(texts: DataFrame, open_: DataFrame, nodes: DataFrame, percent: int
                 part = batch.slice(at, 64)
                 own = [make.shingles(t).astype(np.int64) for t in part.column("text").to_pylist()]
                 rows = pa.array(np.repeat(np.arange(len(own)), [len(s) for s in own]))
-                yield pa.RecordBatch.from_arrays([part.column("node").take(rows), pa.array(np.concatenate(own))], names=["node", "h"])
+                yield pa.RecordBatch.from_arrays([*[part.column(c).take(rows) for c in ("node", "c", "n")], pa.array(np.concatenate(own))], names=["node", "c", "n", "h"])
 
-    rows = texts.join(open_.select("node").hint("merge"), "node", "left_semi").mapInArrow(each, C.schema(node="long", h="long")).distinct()
-    rows = rows.join(open_.hint("merge"), "node")
+    # A row that the table repeats counts twice, in x and in place alike: its prefix only becomes longer.
+    sized = open_.join(nodes.select("node", "n").hint("merge"), "node")
+    rows = texts.join(sized.hint("merge"), "node").select("node", "c", "n", "text").mapInArrow(each, C.schema(node="long", c="long", n="long", h="long"))
+    rows = C.written(rows, "shingles")
     same = rows.groupBy("h").agg(F.min("c").alias("lo"), F.max("c").alias("hi"), F.count("*").alias("df")).where("lo < hi").select("h", "df")
-    rows = C.written(rows.join(same.hint("merge"), "h").join(nodes.select("node", "n").hint("merge"), "node"), "crossing")
+    rows = rows.join(same.hint("merge"), "h")
     own = W.partitionBy("node")
     rows = rows.select("node", "c", "n", "h", F.count("*").over(own).alias("x"), F.row_number().over(own.orderBy("df", "h")).alias("place"))
     least = F.ceil(F.lit(percent) * F.col("n") / 100)
@@ -330,7 +332,7 @@ def cluster(docs: DataFrame, *, percent: int = 75, id_column: str = "doc_id", te
     texts = texts_of(open_.select("node"))
     members, tried = crossing(texts, open_, nodes, percent), pairs.select("a", "b")
     # First each node's least unlike partner, then every pair that is still between components.
-    for best in (True, True, False):
+    for best in (True, False):
         stars = joined.where("id <> component").select(F.col("id").alias("a"), F.col("component").alias("b"))
         at = members.join(joined.withColumnRenamed("id", "node").hint("merge"), "node", "left").withColumn("c", F.coalesce("component", "node"))
         more = C.written(sketched_pairs(at, percent, best=best).join(tried, ["a", "b"], "left_anti"), "pairs")
