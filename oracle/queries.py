@@ -16,10 +16,10 @@ from sitefold.functions import text as tx
 from sitefold.operators import evaluation, evidence, matching, policy, profiling, readiness, review, tables
 from sitefold.operators.lineage import cut_lineage, shared_folder
 from sitefold.operators.similarity import similar_values
-from sitefold.plans import decisions
+from sitefold.plans import decisions, enrich
 from sitefold.plans import ingest as ingest_plan
 from sitefold.plans.queue import score_candidates
-from sitefold.schemas import as_candidates
+from sitefold.schemas import as_candidates, as_evidence
 from sitefold.sources import feeds, master, permits
 from sitefold.streaming import jobs
 
@@ -1313,6 +1313,101 @@ def _(spark):
     return r.select("candidate_id", "provider_id", "position", joined(F.array_sort("fields")).alias("fields"))
 
 
+# What the providers answered: the proposals about candidates, dealt over the providers; some fail, find nothing or give an invalid confidence.
+VIEWS["fx_answer"] = """
+SELECT p.candidate_id, n.n_name AS provider_id, CASE WHEN n.n_nationkey % 9 = 4 THEN 'failed' ELSE 'completed' END AS provider_status,
+  CAST(p.seq AS BIGINT) AS outcome, CASE WHEN p.force_conflict THEN 'conflict' WHEN p.seq % 11 = 0 THEN 'not_found' ELSE 'success' END AS status,
+  p.path_key, p.value, p.source_id, p.derivation, CASE WHEN p.seq % 17 = 0 THEN CAST(1.5 AS DOUBLE) ELSE CAST(p.confidence AS DOUBLE) END AS confidence
+FROM fx_candidate_proposal p JOIN nation n ON n.n_nationkey = p.seq % 25
+"""
+# Evidence that candidates bring along.
+VIEWS["fx_prior"] = """
+SELECT id AS candidate_id, 0 AS place, 'company.sicCode' AS path_key, 'v0' AS value, 'p1' AS source_id,
+  CASE WHEN variant = 3 THEN 'human_confirmed' ELSE 'directly_observed' END AS derivation FROM fx_candidate WHERE variant IN (1, 3, 6)
+UNION ALL SELECT id, 1, 'location.phone', 'v1', 'p2', 'directly_observed' FROM fx_candidate WHERE variant IN (2, 3)
+"""
+
+
+def _evidence_of(rows: DataFrame) -> Column:
+    source = F.struct(F.lit("web").alias("source_type"), "source_id")
+    confidence = F.col("confidence") if "confidence" in rows.columns else F.lit(0.6)
+    return F.struct("path_key", tx.json_text(F.col("value")).alias("value_json"), confidence.alias("confidence"), source.alias("source"), "derivation")
+
+
+def _researched(spark: SparkSession) -> DataFrame:
+    prior = spark.table("fx_prior")
+    lists = prior.groupBy(F.col("candidate_id").alias("id")).agg(F.array_sort(F.collect_list(F.struct("place", _evidence_of(prior).alias("e"))))["e"].alias("field_evidence"))
+    return as_candidates(candidates(spark).drop("field_evidence").join(lists, "id", "left"))
+
+
+def _answers(spark: SparkSession) -> DataFrame:
+    rows = spark.table("fx_answer")
+    shaped = as_evidence(_evidence_of(rows), rows)
+    return shaped.select("candidate_id", "provider_id", "provider_status", "outcome", "status", F.lit(0).alias("item"), "proposal")
+
+
+_ENRICHED = f"""{_PLAN}, asked AS (SELECT candidate_id, provider_id, position, string_agg(p.field, '|' ORDER BY p.field) AS fields FROM planned p JOIN fx_provider v ON v.field = p.field
+    WHERE can_run AND position <= 20 GROUP BY 1, 2, 3),
+  answered AS (SELECT a.*, k.position FROM fx_answer a JOIN asked k USING (candidate_id, provider_id) WHERE provider_status = 'completed' AND status IN ('success', 'conflict')),
+  run_rows AS (SELECT candidate_id, place - 1000000 AS seq, path_key, value, source_id, derivation, true AS is_prior, false AS force_conflict FROM fx_prior
+    UNION ALL SELECT candidate_id, position * 1000000 + outcome, path_key, value, source_id, derivation, false, status = 'conflict' FROM answered WHERE confidence BETWEEN 0 AND 1),
+  {_CMERGE.replace("fx_candidate_proposal", "run_rows")}"""
+
+
+@query(
+    "enrichment_requests",
+    f"""WITH {_ENRICHED} SELECT k.candidate_id, k.provider_id, k.position, k.fields, CASE WHEN c.contact_name IS NOT NULL THEN 'contact-' || c.id END AS target_contact_id,
+      r.blockers, (SELECT count(*) FROM fx_prior p WHERE p.candidate_id = k.candidate_id AND list_contains(string_split(k.fields, '|'), p.path_key)) AS existing
+      FROM asked k JOIN fx_candidate c ON c.id = k.candidate_id JOIN readiness r ON r.candidate_id = k.candidate_id""",
+)
+def _(spark):
+    r = enrich.requests(_researched(spark), spark.table("fx_provider"), "run-1", "2024-01-01T00:00:00.000Z", max_providers=20)
+    return r.select("candidate_id", "provider_id", "position", joined(F.array_sort("fields")).alias("fields"), "target_contact_id",
+                    joined("blockers.rule_id").alias("blockers"), long(F.size("existing_evidence")).alias("existing"))
+
+
+@query(
+    "enrichment_job",
+    (f"""WITH {_ENRICHED}, {_WRITTEN}, after_fields AS (SELECT c.* REPLACE (coalesce(a.value, c.sic_code) AS sic_code, coalesce(p.value, c.phone) AS phone) FROM fx_candidate c
+      LEFT JOIN written a ON a.candidate_id = c.id AND a.path_key = 'company.sicCode' LEFT JOIN written p ON p.candidate_id = c.id AND p.path_key = 'location.phone'),
+    {P.READINESS.replace('facts', 'facts2').replace('assessed', 'assessed2').replace('readiness AS', 'readiness2 AS').replace('fx_candidate', 'after_fields')},
+    n AS (SELECT candidate_id, count(*) FILTER (merge_class = 'fill') AS f, count(*) FILTER (merge_class IN ('conflict', 'provider_conflict')) AS c,
+      count(*) FILTER (NOT is_prior AND merge_class <> 'repeat') AS added FROM merged GROUP BY 1)
+    SELECT r.candidate_id, r.publication_state AS initial_state, s.publication_state AS final_state, coalesce(n.f, 0) AS filled_count, coalesce(n.c, 0) AS conflict_count,
+      (SELECT count(*) FROM asked k WHERE k.candidate_id = r.candidate_id) AS n_requests,
+      (SELECT count(*) FROM fx_prior p WHERE p.candidate_id = r.candidate_id) + coalesce(n.added, 0) AS n_evidence,
+      (SELECT count(*) FROM answered a WHERE a.candidate_id = r.candidate_id AND NOT confidence BETWEEN 0 AND 1) AS refused
+    FROM readiness r JOIN readiness2 s ON s.candidate_id = r.candidate_id LEFT JOIN n ON n.candidate_id = r.candidate_id"""),
+)
+def _(spark):
+    done = enrich.enrich(_researched(spark), spark.table("fx_provider"), _answers(spark), "run-1", "2024-01-01T00:00:00.000Z", max_providers=20)
+    kept = done.candidates.select(F.col("id").alias("candidate_id"), long(F.size("field_evidence")).alias("n_evidence"))
+    refused = done.refused.groupBy("candidate_id").agg(F.count("*").alias("refused"))
+    return done.summary.join(kept, "candidate_id").join(refused, "candidate_id", "left").select(
+        "candidate_id", "initial_state", "final_state", "filled_count", "conflict_count", "n_requests", "n_evidence", F.coalesce("refused", F.lit(0)).alias("refused"))
+
+
+# Answers of the first run are evidence already there when the second one comes.
+_SECOND_RUN = """SELECT candidate_id, (outcome % 2) * 1000000000 + position * 1000000 + outcome, path_key, value, source_id,
+  CASE WHEN outcome % 2 = 0 THEN 'directly_observed' ELSE derivation END, outcome % 2 = 0, outcome % 2 = 1 AND status = 'conflict'"""
+
+
+@query(
+    "enrichment_in_two_runs",
+    f"""WITH {_ENRICHED.replace("SELECT candidate_id, position * 1000000 + outcome, path_key, value, source_id, derivation, false, status = 'conflict'", _SECOND_RUN)}
+    SELECT candidate_id, path_key, value, source_id, merge_class FROM merged WHERE seq >= 1000000000""",
+)
+def _(spark):
+    # The second run starts from the same candidates: what the first one accepted is in the store alone.
+    store = enrich.store(spark, f"{shared_folder(spark)}/evidence-{uuid.uuid4().hex}", 16)
+    for run in (1, 2):
+        answers = _answers(spark).where(F.col("outcome") % 2 == run - 1)
+        if run == 1:
+            answers = answers.withColumn("proposal", F.col("proposal").withField("derivation", F.lit("directly_observed")))
+        done = enrich.enrich(_researched(spark), spark.table("fx_provider"), answers, f"run-{run}", "2024-01-01T00:00:00.000Z", run=run, known=store, max_providers=20)
+    return done.merged.select("candidate_id", "path_key", "value", F.col("proposal.source.source_id").alias("source_id"), "merge_class")
+
+
 @query(
     "research_field_sets",
     f"""WITH {_PLAN} SELECT candidate_id, count(*) FILTER (blocked) AS blocked, count(*) FILTER (open_rule AND NOT blocked) AS unresolved, count(*) FILTER (NOT blocked AND NOT open_rule) AS optional FROM planned GROUP BY 1""",

@@ -151,6 +151,64 @@ def dice_text(a: Column, b: Column) -> Column:
     return dice(bigram_codes(a), bigram_codes(b))
 
 
+#: Words of a bigram set: one bit for each of 37 x 37 neighbours.
+SET_WORDS = (len(_BY_FREQUENCY) ** 2 + 63) // 64
+
+
+def bigram_numbers(codes: Column) -> Column:
+    """The same bigrams as numbers from 0 to 37 * 37 - 1."""
+    n = len(_BY_FREQUENCY)
+    return F.transform(codes, lambda c: F.floor(c / 100).cast("int") * n + c % 100 - 30 * n - 30)
+
+
+def bigram_set(numbers: Column) -> Column:
+    """Bigram numbers as an exact bit set: ``n`` of them in words ``b0`` to ``b21``. Null for null."""
+    zero = F.lit(0).cast("bigint")
+
+    def word(k: int) -> Column:
+        bit = lambda x: F.call_function("shiftleft", F.lit(1).cast("bigint"), x % 64)
+        return F.aggregate(F.filter(numbers, lambda x: F.floor(x / 64) == k), zero, lambda acc, x: acc.bitwiseOR(bit(x)))
+
+    words = F.struct(F.size(numbers).alias("n"), *[word(k).alias(f"b{k}") for k in range(SET_WORDS)])
+    return F.when(numbers.isNotNull(), words)
+
+
+def folded_set(bits: Column) -> Column:
+    """A set from ``bigram_set`` with its fold to two words, ``f0`` and ``f1``, added; ``spare`` bigrams share a folded bit with another one.
+
+    Intersections of such sets are counted in generated code, without arrays.
+    """
+    f0, f1 = bits["b0"], bits["b1"]
+    for k in range(2, SET_WORDS, 2):
+        f0, f1 = f0.bitwiseOR(bits[f"b{k}"]), f1.bitwiseOR(bits[f"b{k + 1}"]) if k + 1 < SET_WORDS else f1
+    spare = bits["n"] - F.bit_count(f0) - F.bit_count(f1)
+    fields = [bits[f"b{k}"].alias(f"b{k}") for k in range(SET_WORDS)]
+    return F.when(bits.isNotNull(), F.struct(bits["n"].alias("n"), f0.alias("f0"), f1.alias("f1"), spare.alias("spare"), *fields))
+
+
+def shared_at_most(a: Column, b: Column) -> Column:
+    """Upper bound of the common bigrams of two folded sets, from two words each."""
+    common = F.bit_count(a["f0"].bitwiseAND(b["f0"])) + F.bit_count(a["f1"].bitwiseAND(b["f1"]))
+    return common + F.least(a["spare"], b["spare"])
+
+
+def shared_bigrams(a: Column, b: Column) -> Column:
+    out = F.bit_count(a["b0"].bitwiseAND(b["b0"]))
+    for k in range(1, SET_WORDS):
+        out = out + F.bit_count(a[f"b{k}"].bitwiseAND(b[f"b{k}"]))
+    return out
+
+
+def dice_sets(a: Column, b: Column) -> Column:
+    """Set Dice of two folded sets; 0 if either is null (empty text)."""
+    return F.when(a.isNotNull() & b.isNotNull(), F.lit(2.0) * shared_bigrams(a, b) / (a["n"] + b["n"])).otherwise(F.lit(0.0))
+
+
+def dice_at_most(a: Column, b: Column) -> Column:
+    """Upper bound of ``dice_sets`` from the folds."""
+    return F.when(a.isNotNull() & b.isNotNull(), F.lit(2.0) * shared_at_most(a, b) / (a["n"] + b["n"])).otherwise(F.lit(0.0))
+
+
 # ------------------------------------------------------------------- numbers
 
 

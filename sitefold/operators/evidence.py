@@ -177,6 +177,7 @@ def plan_fields(assessed: DataFrame, supported: list[str], allowed: list[str] |
     ``assessed`` comes from ``with_readiness``. Blocked fields first, then unresolved
     ones, in rule order, then optional gaps in field order. All row-local.
     """
+    # Readiness fields in rule order.
     rules = [
         "company.legalName", "company.alphasort", "location.physicalAddress", "location.phone", "location.siteType",
         "location.employeeSizeSite", "company.startYear", "company.sicCode", "contacts",
@@ -436,11 +437,16 @@ def set_fields(candidates: DataFrame, values: DataFrame) -> DataFrame:
 
 def readiness_delta(candidates: DataFrame, classified: DataFrame) -> DataFrame:
     """Publication state before and after a merge, with fill and conflict counts."""
+    return state_change(candidates, set_fields(candidates, filled_values(classified)), classified)
+
+
+def state_change(candidates: DataFrame, merged: DataFrame, classified: DataFrame) -> DataFrame:
+    """The same, where the merged candidates are at hand."""
     before = with_readiness(candidates).select(
         F.col("id").alias("candidate_id"), F.col("publication_state").alias("initial_state"),
         F.size("blockers").alias("initial_blockers"),
     )
-    after = with_readiness(set_fields(candidates, filled_values(classified))).select(
+    after = with_readiness(merged).select(
         F.col("id").alias("candidate_id"), F.col("publication_state").alias("final_state"),
         F.size("blockers").alias("final_blockers"),
     )

@@ -5,7 +5,7 @@ Two ways to choose the pairs that are scored:
 * ``retrieve`` - bounded retrieval by exact and similar keys (at most ``CAP``
   master rows per candidate, one relationship hop). The path for large masters.
 * ``rank_all`` - the best ``k`` of *all* master rows for each candidate, found
-  with similarity joins instead of a nested loop.
+  with similarity joins at falling floors.
 """
 
 from __future__ import annotations
@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from sitefold.functions import codes
 from sitefold.functions import text as tx
 from sitefold.operators.lineage import cut_lineage
-from sitefold.operators.similarity import similar_values
+from sitefold.operators.similarity import rarest_first, similar_sets, similar_values, value_sets, with_sets
 
 # Weights and cut-offs of the match score and of retrieval.
 NAME_WEIGHT, ADDRESS_WEIGHT = 0.5, 0.3
@@ -32,6 +32,13 @@ MEANINGFUL_SCORE = 0.3
 CAP = 25
 RETRIEVAL_NAME_SIMILARITY = 0.55
 
+#: Scores down to which pairs are searched, one after another; a profile leaves once k pairs reach the floor.
+FLOORS = (0.6, 0.45, MEANINGFUL_SCORE)
+#: Master records that every profile is compared with for a first bound.
+SAMPLE = 256
+#: Profiles and master records of a cell of the last search.
+CELL = (1024, 4096)
+
 
 # ------------------------------------------------------------ comparison keys
 
@@ -88,31 +95,35 @@ def _equal(a: str, b: str) -> Column:
 
 
 def with_bigrams(keys: DataFrame, side: str) -> DataFrame:
-    """Bigram arrays of name and address, built once per row before a wide join."""
-    return keys.withColumns({f"{side}_{x}_bigrams": tx.bigram_codes(F.col(f"{side}_{x}")) for x in ("name", "addr")})
-
-
-def score_pairs(pairs: DataFrame) -> DataFrame:
-    """Add similarity evidence, score and classification to joined key rows.
-
-    Both sides come from ``with_bigrams``.
-    """
+    """Bigram sets of name and address, built once per row before a wide join."""
+    return with_sets(keys, {f"{side}_{x}": f"{side}_{x}_set" for x in ("name", "addr")})
 
-    def similarity(x: str) -> Column:
-        return tx.dice(F.col(f"c_{x}_bigrams"), F.col(f"m_{x}_bigrams"))
 
-    name, phone, domain = F.col("name_score"), F.col("phone_match"), F.col("domain_match")
+def lifted_score(name: Column, address: Column, phone: Column, domain: Column) -> Column:
+    """The score before rounding. It grows with each of its parts, so bounds of those give a bound of it."""
     weighted = (
         name * NAME_WEIGHT
-        + F.col("address_score") * ADDRESS_WEIGHT
+        + address * ADDRESS_WEIGHT
         + F.when(phone, PHONE_BONUS).otherwise(0.0)
         + F.when(domain, DOMAIN_BONUS).otherwise(0.0)
     )
-    lifted = F.greatest(
+    return F.greatest(
         weighted,
         F.when(phone & (name >= PHONE_NAME_FLOOR), PHONE_SCORE).otherwise(0.0),
         F.when(domain & (name >= DOMAIN_NAME_FLOOR), DOMAIN_SCORE).otherwise(0.0),
     )
+
+
+def score_pairs(pairs: DataFrame) -> DataFrame:
+    """Add similarity evidence, score and classification to joined key rows.
+
+    Both sides come from ``with_bigrams``.
+    """
+
+    def similarity(x: str) -> Column:
+        return tx.dice_sets(F.col(f"c_{x}_set"), F.col(f"m_{x}_set"))
+
+    lifted = lifted_score(*[F.col(c) for c in ("name_score", "address_score", "phone_match", "domain_match")])
     # Evidence and raw score come out of generators: a filter on the score then reads
     # them, where the optimizer would otherwise repeat the set operations inside it.
     evidence = F.struct(
@@ -123,10 +134,10 @@ def score_pairs(pairs: DataFrame) -> DataFrame:
         _equal("c_sic", "m_sic").alias("sic_match"),
         (_equal("c_city", "m_city") & _equal("c_state", "m_state")).alias("city_state_match"),
     )
-    bigrams = [f"{side}_{x}_bigrams" for side in "cm" for x in ("name", "addr")]
+    sets = [f"{side}_{x}_set" for side in "cm" for x in ("name", "addr")]
     return (
         pairs.select("*", F.inline(F.array(evidence)))
-        .drop(*bigrams)
+        .drop(*sets)
         .select("*", F.explode(F.array(lifted)).alias("raw_score"))
         .withColumn("score", F.least(F.lit(1.0), tx.fixed4(F.col("raw_score"))))
         .withColumn("classification", classification(F.col("score")))
@@ -207,53 +218,65 @@ def _master_heads(mk: DataFrame, k: int) -> DataFrame:
     return keyed.withColumn("_n", F.row_number().over(w)).where(F.col("_n") <= k).drop("_n", "m_profile")
 
 
-def _pair_paths(cp: DataFrame, mh: DataFrame, floor: float) -> DataFrame:
-    """Scored (profile, master) pairs that may reach ``floor``, each exactly once.
+# How a pair can reach a score: by similar names or addresses, of all records or of those with an equal phone or domain.
+PATHS = {1: ("name", None), 2: ("addr", None), 3: ("name", "phone"), 4: ("addr", "phone"), 5: ("name", "domain"), 6: ("addr", "domain")}
+_BY_NAME = [p for p, (what, _) in PATHS.items() if what == "name"]
 
-    A pair with score >= floor has name or address similarity of at least
-    (floor - bonuses) / (sum of weights); the score lifts need name similarity
-    above that anyway. So six paths cover it: name, address, then name or address
-    within an equal phone, then within an equal domain. Every path keeps only the
-    pairs no earlier path has, which makes the union disjoint without a shuffle.
-    ``floor`` 0 gives every pair that shares a bigram.
-    """
 
-    def least(bonus: float) -> float:
-        return max(0.0, (floor - 1e-4 - bonus) / (NAME_WEIGHT + ADDRESS_WEIGHT))
-
-    plain, by_domain, by_phone = least(0.0), least(DOMAIN_BONUS), least(PHONE_BONUS + DOMAIN_BONUS)
-    name, addr = F.col("name_score"), F.col("address_score")
-
-    def reaches(score: Column, t: float) -> Column:
-        return score >= t if t > 0 else score > 0
-
-    def path(what: str, t: float, key: str | None, fresh: Column) -> DataFrame:
-        c, m = cp, mh
-        on: list[str] = []
-        if key:
-            c, m = c.withColumn(key, F.col(f"c_{key}")), m.withColumn(key, F.col(f"m_{key}"))
-            c, m, on = c.where(F.col(key).isNotNull()), m.where(F.col(key).isNotNull()), [key]
-        values = similar_values(c, f"c_{what}", m, f"m_{what}", t, on)
-        values = values.select(*on, F.col("l_value").alias(f"c_{what}"), F.col("r_value").alias(f"m_{what}"))
-        joined = c.join(values, [*on, f"c_{what}"]).join(m, [*on, f"m_{what}"]).drop(*on)
-        return score_pairs(joined).where(fresh)
-
-    seen_name, seen_addr = reaches(name, plain), reaches(addr, plain)
-    paths = [path("name", plain, None, F.lit(True)), path("addr", plain, None, ~seen_name)]
-    if plain > 0:
-        fresh = ~seen_name & ~seen_addr
-        phone = F.col("phone_match")
-        paths += [
-            path("name", by_phone, "phone", fresh),
-            path("addr", by_phone, "phone", fresh & ~reaches(name, by_phone)),
-            path("name", by_domain, "domain", fresh & ~phone),
-            path("addr", by_domain, "domain", fresh & ~phone & ~reaches(name, by_domain)),
-        ]
-    return reduce(DataFrame.unionByName, paths)
+def _value_rows(rows: DataFrame, side: str, *keep: str) -> DataFrame:
+    """One row per path that a profile or master record takes: path, key (of the path's equal column), value."""
+    items = [F.struct(F.lit(p).alias("path"), (F.col(f"{side}_{on}") if on else F.lit("")).alias("key"), F.col(f"{side}_{what}").alias("value")) for p, (what, on) in PATHS.items()]
+    return rows.select(*keep, F.inline(F.array(*items))).where("key IS NOT NULL AND value IS NOT NULL")
+
+
+def _brief(rows: DataFrame, side: str) -> DataFrame:
+    """What a bound of the score reads of a row: folds of both sets and the equal columns."""
+    fold = lambda x: F.when(F.col(f"{side}_{x}_set").isNotNull(), F.struct(*[F.col(f"{side}_{x}_set.{f}").alias(f) for f in ("n", "f0", "f1", "spare")]))
+    kept = ["profile", "bound"] if side == "c" else ["master_id"]
+    return rows.select(*kept, f"{side}_phone", f"{side}_domain", *[fold(x).alias(f"{side}_{x}_fold") for x in ("name", "addr")])
+
+
+def _allowed(name: Column | None = None, address: Column | None = None) -> Column:
+    """Upper bound of a pair's score from its folds; a similarity that is known takes its fold's place."""
+    at_most = lambda x: tx.dice_at_most(F.col(f"c_{x}_fold"), F.col(f"m_{x}_fold"))
+    name = at_most("name") if name is None else F.coalesce(name, at_most("name"))
+    address = at_most("addr") if address is None else F.coalesce(address, at_most("addr"))
+    return lifted_score(name, address, _equal("c_phone", "m_phone"), _equal("c_domain", "m_domain"))
+
+
+def _similar_pairs(cp: DataFrame, mh: DataFrame, sets: tuple[DataFrame, DataFrame, Column], floor: float) -> DataFrame:
+    """Distinct (profile, master_id) that may reach ``floor`` and the profile's own bound.
+
+    A pair with score >= floor has name or address similarity of at least (floor - bonuses) / (sum of weights); the score lifts need
+    name similarity above that anyway. So six paths cover it. They are the blocks of one similarity join, each with its threshold, and
+    a pair becomes a row only if the score that it can still have reaches the bound.
+    """
+    bonus = {None: 0.0, "domain": DOMAIN_BONUS, "phone": PHONE_BONUS + DOMAIN_BONUS}
+    least = {p: max(0.0, (floor - 1e-4 - bonus[on]) / (NAME_WEIGHT + ADDRESS_WEIGHT)) for p, (_, on) in PATHS.items()}
+    threshold = F.element_at(F.create_map(*[F.lit(x) for kv in least.items() for x in kv]), F.col("path"))
+    on = ["path", "key"]
+    ours, theirs, ranks = sets
+    mine = _value_rows(cp, "c", "profile").withColumnRenamed("value", "l_value")
+    left = ours.join(mine.select(*on, F.col("l_value").alias("value")).distinct(), [*on, "value"], "left_semi")
+    values = similar_sets(left, theirs, threshold, on, ranks)
+    masters = _value_rows(mh, "m", "master_id").withColumnRenamed("value", "r_value")
+    met = values.join(mine, [*on, "l_value"]).join(_brief(cp, "c"), "profile").join(masters.join(_brief(mh, "m"), "master_id"), [*on, "r_value"])
+    by_name = F.col("path").isin(_BY_NAME)
+    allowed = _allowed(F.when(by_name, F.col("similarity")), F.when(~by_name, F.col("similarity")))
+    return met.where(allowed >= F.greatest("bound", F.lit(floor)) - 1e-4).select("profile", "master_id").distinct()
+
+
+def _all_pairs(cp: DataFrame, mh: DataFrame) -> DataFrame:
+    """(profile, master_id) that may reach the profile's own bound, and more than zero: profiles against all masters, cell by cell."""
+    n_left, n_right = (-(-df.count() // size) for df, size in zip((cp, mh), CELL, strict=True))
+    left = _brief(cp, "c").withColumn("x", F.pmod(F.xxhash64("profile"), F.lit(max(n_left, 1)))).withColumn("y", F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(max(n_right - 1, 0)).cast("bigint"))))
+    right = _brief(mh, "m").withColumn("y", F.pmod(F.xxhash64("master_id"), F.lit(max(n_right, 1)))).withColumn("x", F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(max(n_left - 1, 0)).cast("bigint"))))
+    allowed = _allowed()
+    return left.join(right.hint("merge"), ["x", "y"]).where((allowed >= F.col("bound") - 1e-4) & (allowed > 0)).select("profile", "master_id")
 
 
 def _unrelated_heads(cp: DataFrame, mh: DataFrame, k: int) -> DataFrame:
-    """Pairs without any shared bigram that can still enter a top ``k``.
+    """Pairs (profile, master_id) without any shared bigram that can still enter a top ``k``.
 
     Their score depends on phone and domain equality alone, so the first ``k`` ids
     of each equal (phone, domain), phone and domain are enough, plus the first
@@ -268,36 +291,53 @@ def _unrelated_heads(cp: DataFrame, mh: DataFrame, k: int) -> DataFrame:
     parts = []
     for keys in (["phone", "domain"], ["phone"], ["domain"]):
         cond = reduce(lambda a, b: a & b, [F.col(f"c_{x}") == F.col(f"m_{x}") for x in keys])
-        parts.append(cp.join(heads(keys), cond))
+        parts.append(cp.join(heads(keys), cond).select("profile", "master_id"))
     # k ids whatever the size of the master
     first = [r.master_id for r in mh.orderBy(*id_order()).select("master_id").limit(k).collect()]
     if first:
-        lone = cp.withColumn("master_id", F.explode(F.array(*[F.lit(i) for i in first])))
-        parts.append(lone.join(F.broadcast(mh.where(F.col("master_id").isin(first))), "master_id"))
-    pairs = reduce(DataFrame.unionByName, parts).dropDuplicates(["profile", "master_id"])
-    return score_pairs(pairs).where((F.col("name_score") == 0) & (F.col("address_score") == 0))
+        parts.append(cp.select("profile", F.explode(F.array(*[F.lit(i) for i in first])).alias("master_id")))
+    return reduce(DataFrame.unionByName, parts)
+
+
+def _with_bounds(cp: DataFrame, mh: DataFrame, k: int) -> DataFrame:
+    """Add ``bound``, a score that ``k`` master records reach: the k-th best of ``SAMPLE`` of them."""
+    picked = mh.orderBy(F.xxhash64("master_id"), "master_id").limit(SAMPLE)
+    sample = cut_lineage(picked.withColumn("_at", F.row_number().over(Window.orderBy("master_id")) - 1))
+    # SAMPLE rows, whatever the size of the master
+    numbered = cp.withColumn("_at", F.explode(F.sequence(F.lit(0), F.lit(SAMPLE - 1))))
+    scores = score_pairs(numbered.join(F.broadcast(sample), "_at")).groupBy("profile").agg(F.sort_array(F.collect_list("score"), asc=False).alias("s"))
+    kth = scores.select("profile", F.coalesce(F.get("s", F.lit(k - 1)), F.lit(0.0)).alias("bound"))
+    return cp.join(kth, "profile", "left").withColumn("bound", F.coalesce("bound", F.lit(0.0)))
 
 
 def rank_all(candidates: DataFrame, master: DataFrame, k: int = 3) -> DataFrame:
     """The best ``k`` of all master records for each candidate, all life-cycle states included.
 
-    First every pair with a meaningful score is found. Candidates left with fewer
-    than ``k`` go through a second pass down to score zero; the larger the master,
-    the fewer of those there are.
+    Pairs are searched down to falling floors: a profile with ``k`` pairs at a floor is settled and leaves, so the last search, at zero,
+    is for the few profiles with nothing alike in the master; it looks at all records, cell by cell. Each profile brings a bound of
+    its own, the k-th best score among a few master records; pairs that cannot reach it never become rows.
     """
     ck = cut_lineage(candidate_keys(candidates))
-    cp = cut_lineage(with_bigrams(_candidate_profiles(ck), "c"))
     mh = cut_lineage(with_bigrams(_master_heads(master_keys(master), k), "m"))
-    meaningful = _pair_paths(cp, mh, MEANINGFUL_SCORE).where(F.col("score") >= MEANINGFUL_SCORE)
-    # At most k rows per profile; written out because two later steps start from it.
-    top = cut_lineage(top_ranked(meaningful, "profile", k))
-    complete = top.groupBy("profile").count().where(F.col("count") >= k).select("profile")
-    short = cut_lineage(cp.join(complete, "profile", "left_anti"))
-    if not short.isEmpty():
-        rest = _pair_paths(short, mh, 0.0).unionByName(_unrelated_heads(short, mh, k))
-        top = top.join(complete, "profile", "left_semi").unionByName(top_ranked(rest, "profile", k))
+    left = cut_lineage(_with_bounds(with_bigrams(_candidate_profiles(ck), "c"), mh, k))
+    on = ["path", "key"]
+    ours, theirs = value_sets(_value_rows(left, "c"), "value", on), value_sets(_value_rows(mh, "m"), "value", on)
+    sets = (ours, theirs, rarest_first(ours, theirs))
+    settled = []
+    for floor in (*FLOORS, 0.0):
+        pairs = _similar_pairs(left, mh, sets, floor) if floor else _all_pairs(left, mh).unionByName(_unrelated_heads(left, mh, k)).distinct()
+        # Written narrow: only the pairs that are left carry their sets.
+        scored = score_pairs(cut_lineage(pairs).join(left.drop("bound"), "profile").join(mh, "master_id"))
+        # At most k rows per profile; written out because two later steps start from it.
+        top = cut_lineage(top_ranked(scored.where(F.col("score") >= floor).drop(*C_PROFILE), "profile", k))
+        if floor:
+            complete = top.groupBy("profile").count().where(F.col("count") >= k).select("profile")
+            top, left = top.join(complete, "profile", "left_semi"), cut_lineage(left.join(complete, "profile", "left_anti"))
+        settled.append(top)
+        if floor and left.isEmpty():
+            break
     per_candidate = ck.select("candidate_id", "site_type", _profile_key(C_PROFILE).alias("profile"))
-    return per_candidate.join(top.drop(*C_PROFILE), "profile").drop("profile")
+    return per_candidate.join(reduce(DataFrame.unionByName, settled), "profile").drop("profile")
 
 
 def same_company_pairs(candidates: DataFrame, master: DataFrame, k: int | None = None) -> DataFrame:

@@ -96,6 +96,13 @@ def as_candidates(df: DataFrame) -> DataFrame:
     return df.select(cols)
 
 
+def as_evidence(value, df: DataFrame) -> DataFrame:
+    """``df`` with a column ``proposal``: the struct ``value`` in the evidence schema, what is missing null."""
+    have = df.select(value.alias("e")).schema["e"].dataType
+    want = T.DataType.fromDDL(EVIDENCE)
+    return df.withColumn("proposal", value).withColumn("proposal", _fit_struct(F.col("proposal"), have, want).cast(want))
+
+
 def _fit_array(col, have: T.StructType, want: T.StructType):
     if not isinstance(have, T.StructType):  # an empty literal array
         return col
