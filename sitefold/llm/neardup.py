@@ -7,7 +7,7 @@ from collections.abc import Iterator
 from pyspark.sql import DataFrame, Window as W, functions as F
 
 from sitefold.llm import common as C
-from sitefold.llm.sets import Shingler, components, in_cells, may_link, sketch_of, sketches, strongest, verified
+from sitefold.llm.sets import Shingler, components, in_cells, may_link, sketch_of, sketches, strongest, unlike_sets, verified
 
 SHINGLE = 5
 #: Sorted orders of the forest, and signature components of each: the depth of its tree.
@@ -18,8 +18,8 @@ NEAR, CENTRES, PARTNERS = 24, 16, 6
 WORTH = 0.55
 #: One in so many of a set's hashes is looked at beyond the prefix that a partner must meet.
 MORE = 20
-#: Members of a region that one task compares as a whole.
-BLOCK = 2048
+#: Members of a key that one task compares as a whole, and pairs that are compared one by one.
+BLOCK, FEW = 2048, 64
 
 
 def _constants(n: int):
@@ -178,13 +178,11 @@ def bounded(pairs: DataFrame, nodes: DataFrame, percent: int = 75) -> DataFrame:
     columns = pairs.columns
 
     def kept(batches: Iterator) -> Iterator:
-        import numpy as np
         import pyarrow as pa
 
         for batch in batches:
-            n, m = batch.column("na").to_pylist(), batch.column("nb").to_pylist()
-            keep = [bool(may_link(s[:1], np.array([p]), s[1:], np.array([q]), percent)[0, 0]) for p, q, s in
-                    ((p, q, sketches([(p, x), (q, y)])) for p, q, x, y in zip(n, m, batch.column("xa").to_pylist(), batch.column("xb").to_pylist(), strict=True))]
+            four = [batch.column(c).to_pylist() for c in ("na", "xa", "nb", "xb")]
+            keep = [unlike_sets(*row, percent) is not None for row in zip(*four, strict=True)]
             yield batch.select(columns).filter(pa.array(keep, pa.bool_()))
 
     own = lambda c: nodes.select(F.col("node").alias(c), F.col("n").alias(f"n{c}"), F.col("sketch").alias(f"x{c}")).hint("merge")
@@ -210,8 +208,7 @@ def crossing(texts: DataFrame, open_: DataFrame, nodes: DataFrame, percent: int
     """Where links between components can be: key, node, n, sketch, for the nodes of ``open_`` (node, c), from their whole texts.
 
     A link's common shingles all occur in two components, so of each set only those count, the rarest first. A set that has fewer of them
-    than a partner must share has no partner, and otherwise the first common one is among its first ``x - least + 1`` of x. A key is
-    such a shingle and a step of size.
+    than a partner must share has no partner, and otherwise the first common one is among its first ``x - least + 1`` of x: these are the keys.
     """
     def each(batches: Iterator) -> Iterator:
         import numpy as np
@@ -235,9 +232,7 @@ def crossing(texts: DataFrame, open_: DataFrame, nodes: DataFrame, percent: int
     rows = rows.select("node", "c", "n", "h", F.count("*").over(own).alias("x"), F.row_number().over(own.orderBy("df", "h")).alias("place"))
     least = F.ceil(F.lit(percent) * F.col("n") / 100)
     rows = C.written(rows.where((F.col("x") >= least) & (F.col("place") <= F.col("x") - least + 1)).select("node", "c", "n", "h"), "prefixes")
-    # Steps of size by 4/3: linked sets are in one step or in two that follow one another.
-    step = F.floor(F.log(F.col("n").cast("double")) / F.log(F.lit(100.0 / percent)) + 1e-9)
-    keyed = rows.select("node", "c", "n", F.explode(F.array(F.xxhash64("h", step), F.xxhash64("h", step + 1))).alias("key"))
+    keyed = rows.select("node", "c", "n", F.col("h").alias("key"))
     meet = keyed.groupBy("key").agg(F.min("c").alias("lo"), F.max("c").alias("hi")).where("lo < hi").select("key")
     return C.written(keyed.join(meet.hint("merge"), "key").join(nodes.select("node", "sketch").hint("merge"), "node").select("key", "node", "n", "sketch"), "crossing")
 
@@ -245,13 +240,18 @@ def crossing(texts: DataFrame, open_: DataFrame, nodes: DataFrame, percent: int
 def sketched_pairs(members: DataFrame, percent: int = 75, block: int = BLOCK, best: bool = False) -> DataFrame:
     """Pairs (a, b) of different components whose sketches allow a link, from (key, node, c, n, sketch): others never become rows.
 
-    With ``best``, a member keeps only its least unlike partner of each key.
+    With ``best``, a member of a key of more than a few keeps only its least unlike partner there.
     """
     def joined(low: list[tuple], high: list[tuple] | None) -> Iterator:
         import numpy as np
         import pyarrow as pa
 
         both = low + (high or [])
+        if len(low) * len(high or low) <= FEW:
+            pairs = [(x, y) for k, x in enumerate(low) for y in (high or low[k + 1 :]) if x[1] != y[1] and unlike_sets(x[2], x[3], y[2], y[3], percent) is not None]
+            if pairs:
+                yield pa.RecordBatch.from_pydict({"a": [min(x[0], y[0]) for x, y in pairs], "b": [max(x[0], y[0]) for x, y in pairs]})
+            return
         node, c, n = (np.array([r[k] for r in both], np.int64) for k in range(3))
         words = sketches([(r[2], r[3]) for r in both])
         split = len(low) if high else 0

@@ -83,6 +83,20 @@ def sketch_bits(n: int) -> int:
     return 1 << max(6, min(16, (2 * n - 1).bit_length()))
 
 
+def unlike_sets(n: int, x: bytes, m: int, y: bytes, percent: int) -> int | None:
+    """In how many bits two sketches differ, or None if their sets cannot be linked."""
+    if 100 * min(n, m) < percent * max(n, m):
+        return None
+    a, b, wide, narrow = int.from_bytes(x, "little"), int.from_bytes(y, "little"), len(x), len(y)
+    if wide < narrow:
+        a, b, wide, narrow = b, a, narrow, wide
+    while wide > narrow:  # fold the wider one: groups by one bit less of the hash
+        wide //= 2
+        a = (a >> 8 * wide) ^ (a & (1 << 8 * wide) - 1)
+    differ = (a ^ b).bit_count()
+    return differ if (100 + percent) * differ <= (100 - percent) * (n + m) else None
+
+
 def may_link(sketches_a, sizes_a, sketches_b, sizes_b, percent: int):
     """Which of two lists of sketches (rows of 64-bit words, equally wide) may be of linked sets: a matrix of booleans."""
     import numpy as np

@@ -255,3 +255,23 @@ def test_tree_keeps_every_pair_that_the_bound_allows():
     want = {frozenset((x, y)) for x in range(len(points)) for y in range(x)
             if 190 * np.minimum(points[x], points[y]).sum() >= 90 * (sizes[x] + sizes[y]) and 10 * min(sizes[x], sizes[y]) >= 9 * max(sizes[x], sizes[y])}
     assert len(got) == len({frozenset(p) for p in got}) and {frozenset(p) for p in got} == want and 0 < len(want) < 0.5 * len(points) ** 2 / 2
+
+
+def test_sketches_bound_what_sets_differ_in():
+    import numpy as np
+
+    from sitefold.llm import sets
+
+    r = np.random.default_rng(7)
+    for n, m, shared in [(1, 1, 1), (3, 4, 3), (40, 50, 38), (200, 260, 198), (900, 900, 700), (5000, 6000, 4900), (70, 70, 50)]:
+        whole = np.unique(r.integers(0, 2**63, 2 * (n + m), np.uint64))[: n + m - shared]
+        r.shuffle(whole)
+        x, y = np.sort(whole[:n]), np.sort(whole[n - shared :])
+        assert len(x) == n and len(y) == m and len(np.intersect1d(x, y)) == shared
+        for percent in (75, 90):
+            linked = 100 * shared >= percent * (n + m - shared)
+            one = sets.unlike_sets(n, sets.sketch_of(x), m, sets.sketch_of(y), percent)
+            words = sets.sketches([(n, sets.sketch_of(x)), (m, sets.sketch_of(y))])
+            many = sets.may_link(words[:1], np.array([n]), words[1:], np.array([m]), percent)[0, 0]
+            assert (one is not None) == many and (many or not linked)
+            assert one is None or one <= n + m - 2 * shared
