@@ -76,7 +76,8 @@ def mix(docs: DataFrame, *, weights: tuple[float, ...] = (3, 1, 2), ratio: float
     ``target / source_size`` times. The whole part is certain; the fraction is rounded by weighted pivotal rounding, so that
     the words taken miss the target by at most half of one document's size. Documents fall into blocks of about ``FAN_IN`` by hash;
     each block settles all but one, and the open ones go up a tree of the same fan-in, which has one root per source. A
-    large source has many blocks, so no task holds more than a few blocks.
+    large source has many blocks, so no task holds more than a few blocks. Blocks are counted over documents with words, and only
+    these enter them.
 
     Random numbers are hashes of ids and ``seed``: reruns agree. Rows that agree in id, source and text hash are counted first
     and settled as one item; the mass of all copies is rounded, and the first of the rows get the copies. Without words
@@ -105,9 +106,12 @@ def mix(docs: DataFrame, *, weights: tuple[float, ...] = (3, 1, 2), ratio: float
         "doc_id", "source", "size", "print", "n", "source_size", "target", (whole * F.col("n") + F.floor(mass)).alias("sure"),
         ((mass - F.floor(mass)) * F.col("size")).alias("m"),
         F.pmod(F.xxhash64(F.lit(seed), "doc_id", "print"), F.col("blocks")).alias("block"))
-    level = open_items.select("source", "block", F.xxhash64(F.lit(seed + 1), "doc_id", "print", "size").alias("tie"), F.col("size").cast("double").alias("w"), "m",
+    open_items = C.written(open_items, "rates")
+    # Without a fraction there is nothing to round: such items, those without words among them, stay out of the tree.
+    certain = open_items.where("m <= 0").select("source", F.struct("doc_id", "print", "size", "n", "sure", "source_size", "target").alias("item"), F.lit(0).alias("copies"))
+    level = open_items.where("m > 0").select("source", "block", F.xxhash64(F.lit(seed + 1), "doc_id", "print", "size").alias("tie"), F.col("size").cast("double").alias("w"), "m",
                               F.struct("doc_id", "print", "size", "n", "sure", "source_size", "target").alias("item"))
-    settled: list[DataFrame] = []
+    settled: list[DataFrame] = [certain]
     blocks, depth = max(1, -(-largest["items"] // FAN_IN)), 0
     while True:
         grouped = level.groupBy("source", "block").agg(F.array_sort(F.collect_list(F.struct("tie", "item", "w", "m"))).alias("items"))
@@ -136,12 +140,18 @@ def mix(docs: DataFrame, *, weights: tuple[float, ...] = (3, 1, 2), ratio: float
 
 
 def apply(docs: DataFrame, mixed: DataFrame, *, id_column: str = "doc_id", text_column: str = "text", source_column: str = "source") -> DataFrame:
-    """The rows of ``docs``, each as often as ``mixed`` takes it; rows that it does not take go."""
-    key = F.struct(F.col("doc_id"), F.col("source"), F.col("print"))
-    taken = mixed.groupBy(key.alias("__key")).agg(F.sum("copies").alias("__all"), F.count("*").alias("__n"))
-    own = F.struct(F.col(id_column).alias("doc_id"), F.col(source_column).alias("source"), F.xxhash64(C.text_of(text_column)).alias("print"))
-    joined = docs.withColumn("__key", own).join(taken, "__key")
-    # Rows of one key only differ in other columns; they share the copies evenly.
-    place = F.row_number().over(W.partitionBy("__key").orderBy(F.xxhash64(*[F.col(c) for c in docs.columns if c != text_column]))) - 1
-    copies = F.floor(F.col("__all") / F.col("__n")) + (F.col("__k") < F.col("__all") % F.col("__n")).cast("long")
-    return joined.withColumn("__k", place).withColumn("__one", F.explode(F.array_repeat(F.lit(0), copies.cast("int")))).select(*[F.col(c) for c in docs.columns])
+    """The rows of ``docs``, each as often as ``mixed`` takes it; rows that it does not take go.
+
+    Rows of one id, source and text only differ in other columns; they share the copies evenly, in an order that only depends on these. The
+    row travels as one struct, so its columns may have any name, dots included, and any type. An empty table stays empty.
+    """
+    name = lambda c: "`" + c.replace("`", "``") + "`"
+    key = F.struct("doc_id", "source", "print")
+    taken = mixed.groupBy(key.alias("key")).agg(F.sum("copies").alias("total"), F.count("*").alias("n"))
+    own = F.struct(F.col(name(id_column)).alias("doc_id"), F.col(name(source_column)).alias("source"), F.xxhash64(C.text_of(name(text_column))).alias("print"))
+    others = F.to_json(F.struct(F.lit(0).alias("_"), *[F.col(name(c)).alias(f"c{k}") for k, c in enumerate(docs.columns) if c != text_column]))
+    rows = docs.select(F.struct(*[F.col(name(c)) for c in docs.columns]).alias("row"), own.alias("key"), F.xxhash64(others).alias("place"))
+    nth = F.row_number().over(W.partitionBy("key").orderBy("place")) - 1
+    joined = rows.join(taken, "key").withColumn("nth", nth)
+    copies = F.floor(F.col("total") / F.col("n")) + (F.col("nth") < F.col("total") % F.col("n")).cast("long")
+    return joined.select("row", F.explode(F.array_repeat(F.lit(0), copies.cast("int"))).alias("copy")).select("row.*")

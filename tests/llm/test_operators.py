@@ -1,11 +1,13 @@
 """Each operator against plain Python on a table with every awkward row, and on an empty one."""
 
 import hashlib
+import itertools
 import math
 import random
 import re
 import statistics
 import struct
+import time
 import zlib
 from collections import Counter, defaultdict
 
@@ -87,6 +89,26 @@ def test_mix_awkward_rows(docs):
     assert mixing.mix(docs.limit(0)).count() == 0
 
 
+def test_empty_texts_take_their_whole_copies(spark):
+    """A source of mostly empty texts: none of them enters the tree, and each has the whole part of its copies."""
+    rows = [(k, "", "a") for k in range(3000)] + [(k, prose(k, k % 9 + 1), "a") for k in range(3000, 3040)] + [(k, prose(k, 7), "b") for k in range(4000, 4400)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    got = mixing.mix(docs, weights=(1, 1)).collect()
+    assert len(got) == len(rows) and {x["copies"] for x in got if not x["size"]} == {int(next(x["target"] / x["source_size"] for x in got if x["source"] == "a"))}
+    for s in "ab":
+        own = [x for x in got if x["source"] == s]
+        assert abs(sum(x["taken"] for x in own) - own[0]["target"]) <= max(x["size"] for x in own) / 2 + 1e-6
+
+
+def test_mix_applies_to_columns_of_any_name(spark):
+    rows = [(k // 2, prose(k // 2, 9), "s", k, {"m": k}, "x") for k in range(80)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string, `a.b` int, `__key` map<string, int>, `key` string")
+    mixed = mixing.mix(docs)
+    again = mixing.apply(docs, mixed)
+    assert again.columns == docs.columns
+    assert Counter(x["doc_id"] for x in again.collect()) == Counter(x["doc_id"] for x in mixed.collect() for _ in range(x["copies"]))
+
+
 # ---------------------------------------------------------------- 2 token files
 
 
@@ -106,6 +128,15 @@ def test_token_files_round_trip(spark, docs, dtype):
     assert len(shard) == first["n_docs"] and list(shard[0]) == got[0]["ids"] and int(shard.offsets[-1]) == first["n_tokens"]
 
 
+def test_shards_are_read_by_several_tasks(spark):
+    docs = spark.createDataFrame([(k, prose(k, 30)) for k in range(400)], "doc_id long, text string")
+    folder = C.new_path(spark, "tokens")
+    manifest = token_files.write(docs, folder, C.tokenizer_path("byte_bpe_50k.json"), 2)
+    got = token_files.read(manifest, folder)
+    n = manifest.count()
+    assert got.count() == 400 and n > 0 and got.rdd.getNumPartitions() == n
+
+
 def test_token_files_of_nothing(spark, docs):
     folder = C.new_path(spark, "tokens")
     assert token_files.read(token_files.write(docs.limit(0), folder, C.tokenizer_path("byte_bpe_50k.json"), 2), folder).count() == 0
@@ -189,6 +220,24 @@ def test_fuzzy_notices_like_a_search_without_seeds():
         assert all(0 < s[4] <= 1 and s[3] <= 3 for s in found)
 
 
+def test_a_text_of_many_hits_is_read_in_one_pass(spark):
+    """Half a million hits in 6 MB; places and labels as in a short text."""
+    n = 500_000
+    docs = spark.createDataFrame([(1, "mit license " * n), (2, "released under the mit license. " * 20_000)], "doc_id long, text string")
+    start = time.monotonic()
+    a, b = sorted(licenses.scan(docs).collect(), key=lambda r: r["doc_id"])
+    assert time.monotonic() - start < 60
+    assert (a["n_words"], a["n_base"], a["first_word"], a["last_word"]) == (2 * n, n, 0, 2 * n - 2)
+    assert len(b["spans"]) == 20_000 and (b["spans"][-1]["start_word"], b["spans"][-1]["end_word"]) == (99_995, 100_000)
+
+
+def test_spans_like_plain_word_numbers():
+    words = "x y released under teh mit license z".split()
+    text = f" {' '.join(words)} "
+    span, = (licenses.place(text, licenses.Numbers(words), *s) for s in licenses.Matcher().find(text))
+    assert (span["start_word"], span["end_word"], span["found"]) == (2, 7, "released under teh mit license") and span["edits"] == 2
+
+
 # ---------------------------------------------------------------- 5 urls
 
 
@@ -236,10 +285,45 @@ def test_one_template_leaves_room_for_other_rules(spark):
     rows += [(k, f"http://good.net/text/{k}", 1) for k in range(200, 400)]
     pages = spark.createDataFrame([r[:2] for r in rows], "page_id long, url string")
     rules = urls.learn(pages, spark.createDataFrame([(k, y) for k, _, y in rows], "doc_id long, quality int"))
-    assert ("p:ads",) in {r.tokens for r in rules} and all(len(r.tokens) == 1 for r in rules)
+    assert any("p:ads" in r.alike[0] for r in rules) and all(len(r.tokens) == 1 for r in rules)
     assert {x["page_id"] for x in urls.judge(pages, rules).collect() if x["verdict"] == "block"} == {k for k, _, _ in rows if k < 200}
 
 
+def test_a_template_of_forty_tokens_is_one_item(spark):
+    """Forty tokens that always occur together have 2 ** 40 sets; they are mined as one item, and each of them still finds the page."""
+    names = "&".join(f"q{k}=1" for k in range(30))
+    rows = [(k, f"https://a.b.c.d/p/q/r/s.php?{names}#x", 0) for k in range(60)] + [(k, f"http://good.net/text/{k}", 1) for k in range(100, 300)]
+    pages = spark.createDataFrame([r[:2] for r in rows], "page_id long, url string")
+    rules = urls.learn(pages, spark.createDataFrame([(k, y) for k, _, y in rows], "doc_id long, quality int"))
+    assert [len(r.tokens) for r in rules] == [1] and len(rules[0].alike[0]) == 41
+    assert rules[0].confidence == 1 and rules[0].support == pytest.approx(60 / 260)
+    more = spark.createDataFrame([(1, "http://z.org.x/?q7=2"), (2, "http://z.org.x/?y=2"), (3, rows[0][1])], "page_id long, url string")
+    assert {x["page_id"]: x["verdict"] for x in urls.judge(more, rules).collect()} == {1: "block", 2: "allow", 3: "block"}
+
+
+def test_rules_like_plain_counting(spark):
+    """Every rule over the items of few tokens, by counting all sets of tokens."""
+    r = random.Random(8)
+    rows = [(k, "http://h/" + "/".join(sorted(r.sample("abcde", r.randint(1, 4)))), int(r.random() < 0.5)) for k in range(400)]
+    rows = [(k, u, 0 if "a" in u and "c" in u else y) for k, u, y in rows]
+    pages = spark.createDataFrame([x[:2] for x in rows], "page_id long, url string")
+    got = {x.tokens: (x.confidence, x.support) for x in urls.learn(pages, spark.createDataFrame([(k, y) for k, _, y in rows], "doc_id long, quality int"))}
+    names = ["h:h"] + [f"p:{c}" for c in "abcde"]  # the scheme is in each url that the host is in
+    own = [({"h:h"} | {f"p:{c}" for c in u[9:].split("/")}, y == 0) for _, u, y in rows]
+    count = {}
+    for size in range(1, 7):
+        for s in itertools.combinations(names, size):
+            hits = [bad for t, bad in own if t.issuperset(s)]
+            count[s] = (sum(hits), len(hits))
+    expected = {}
+    for s, (bad, n) in count.items():
+        below = [count[p][0] / count[p][1] for k in range(1, len(s)) for p in itertools.combinations(s, k) if count[p][0] >= 25]
+        if bad >= 25 and bad / n >= 0.6 and bad / n > max(below, default=0):
+            expected[s] = (bad / n, bad / len(own))
+    assert set(got) == set(expected)
+    assert all(got[s] == pytest.approx(expected[s]) for s in got) and expected
+
+
 # ---------------------------------------------------------------- 6 top k
 
 
