@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import bisect
+import itertools
 from collections.abc import Iterator
 
 from pyspark.sql import DataFrame, functions as F
@@ -79,21 +80,33 @@ class Matcher:
                     found.append((edits / size, m.start(), m.end(), label, edits))
                     tried[i] = m.end()
         out: list[tuple[int, int, str, int, float]] = []
-        taken: list[tuple[int, int]] = []
+        taken = bytearray(len(text) if found else 0)  # a byte per character of the matches kept so far
         for share, a, b, label, edits in sorted(found):
-            at = bisect.bisect_left(taken, (a, a))
-            if (at and taken[at - 1][1] > a) or (at < len(taken) and taken[at][0] < b):
-                continue
-            taken.insert(at, (a, b))
-            out.append((a, b, label, edits, 1 - share))
+            if taken.find(1, a, b) < 0:
+                taken[a:b] = b"\1" * (b - a)
+                out.append((a, b, label, edits, 1 - share))
         return sorted(out)
 
 
-def place(text: str, start: int, end: int, label: str, edits: int, score: float) -> dict:
-    """A match in words; ``text`` starts with a blank and parts its words by one."""
+class Numbers:
+    """Which word a place of a text belongs to; the text starts with a blank and parts its words by one."""
+
+    def __init__(self, words: list[str]):
+        self.words = words
+        self.blanks: list[int] | None = None  # places of all blanks, listed once a text has a hit
+
+    def before(self, at: int) -> int:
+        """Blanks before ``at``."""
+        if self.blanks is None:
+            self.blanks = [0, *itertools.accumulate(len(w) + 1 for w in self.words)]
+        return bisect.bisect_left(self.blanks, at)
+
+
+def place(text: str, numbers: Numbers, start: int, end: int, label: str, edits: int, score: float) -> dict:
+    """A match in words."""
     start += text[start] == " "
     end -= text[end - 1] == " "
-    return {"label": label, "start_word": text.count(" ", 0, start) - 1, "end_word": text.count(" ", 0, end), "edits": edits, "found": text[start:end]}
+    return {"label": label, "start_word": numbers.before(start) - 1, "end_word": numbers.before(end), "edits": edits, "found": text[start:end]}
 
 
 def scan(docs: DataFrame, *, notices: tuple[tuple[str, str], ...] = NOTICES, phrases: dict[str, str] | None = None, edits: int = 3,
@@ -102,8 +115,9 @@ def scan(docs: DataFrame, *, notices: tuple[tuple[str, str], ...] = NOTICES, phr
 
     Returns doc_id, n_words, n_base, first_word, last_word, base_labels, labels, score (that of the best match; 1 for a base
     phrase, 0 without any) and ``spans``: label, first word, word after the last, edits and the text found. Each row is read on
-    its own, nothing is shuffled. A null text is the empty text. Repeated rows and rows without an id stay rows. Only the two
-    named columns are read.
+    its own, nothing is shuffled; time and memory grow with the length of a text, however many hits it has. A null text is the empty
+    text. Of overlapping matches with an equal share of edits the first stays. Repeated rows and rows without an id stay rows; an empty
+    table gives no rows. Only the two named columns are read.
     """
     phrases = PHRASES if phrases is None else phrases
     span = "array<struct<label:string,start_word:bigint,end_word:bigint,edits:bigint,found:string>>"
@@ -121,12 +135,12 @@ def scan(docs: DataFrame, *, notices: tuple[tuple[str, str], ...] = NOTICES, phr
         for doc, raw in C.rows_of(batches, "id", "text"):
             # bytes.lower() only knows ASCII, as asked.
             own = words(raw.encode("utf-8", "surrogatepass").lower().decode("utf-8", "surrogatepass"))
-            text = f" {' '.join(own)} "
+            text, numbers = f" {' '.join(own)} ", Numbers(own)
             base: list[tuple[int, str]] = []
             for phrase, label in phrases.items():
                 at = text.find(f" {phrase} ")
                 while at >= 0:
-                    base.append((text.count(" ", 0, at + 1) - 1, label))
+                    base.append((numbers.before(at + 1) - 1, label))
                     at = text.find(f" {phrase} ", at + 1)
             spans = matcher.find(text)
             labels = {x for _, x in base}
@@ -134,7 +148,7 @@ def scan(docs: DataFrame, *, notices: tuple[tuple[str, str], ...] = NOTICES, phr
                 "doc_id": doc, "n_words": len(own), "n_base": len(base), "first_word": min(base)[0] if base else None, "last_word": max(base)[0] if base else None,
                 "base_labels": ",".join(sorted(labels)), "labels": ",".join(sorted(labels | {s[2] for s in spans})),
                 "score": 1.0 if base else max([0.0, *(s[4] for s in spans)]),
-                "spans": [place(text, *s) for s in spans],
+                "spans": [place(text, numbers, *s) for s in spans],
             })
             if len(rows) >= 1024:
                 yield pa.RecordBatch.from_pylist(rows, arrow)
