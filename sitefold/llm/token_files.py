@@ -92,7 +92,8 @@ def write(docs: DataFrame, folder: str, tokenizer: str, end_id: int, *, dtype: s
                 os.replace(f"{stem}.off{own}", f"{stem}.off")
             yield batch
 
-    manifest.repartition("shard").mapInArrow(offsets, manifest.schema).write.parquet(f"{folder}/manifest")
+    # A number of tasks of its own: a manifest row is tiny, but stands for a whole shard.
+    manifest.repartitionByRange(max(1, sizes.count()), "shard").mapInArrow(offsets, manifest.schema).write.parquet(f"{folder}/manifest")
     return docs.sparkSession.read.parquet(f"{folder}/manifest")
 
 
@@ -116,7 +117,7 @@ class Shard:
 
 
 def read(manifest: DataFrame, folder: str, *, dtype: str = "uint32", with_ids: bool = True) -> DataFrame:
-    """The documents of the files: doc_id, start (ids of all documents before it), n_tokens, ids_crc32, and ids."""
+    """The documents of the files: doc_id, start (ids of all documents before it), n_tokens, ids_crc32, and ids. A task reads about one shard."""
 
     def documents(batches: Iterator) -> Iterator:
         import numpy as np
@@ -137,4 +138,4 @@ def read(manifest: DataFrame, folder: str, *, dtype: str = "uint32", with_ids: b
                     yield pa.RecordBatch.from_pydict(out)
 
     fields = {"doc_id": "long", "start": "long", "n_tokens": "long", "ids_crc32": "long"} | ({"ids": "array<long>"} if with_ids else {})
-    return manifest.select("shard", "n_null").repartition("shard").mapInArrow(documents, C.schema(**fields))
+    return manifest.select("shard", "n_null").repartitionByRange(max(1, manifest.count()), "shard").mapInArrow(documents, C.schema(**fields))
