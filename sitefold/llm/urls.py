@@ -46,9 +46,12 @@ def tokens(url: Column) -> Column:
 
 @dataclass(frozen=True)
 class Rule:
+    """These tokens -> bad. ``alike`` lists, for each, the tokens that stand for it: those found in exactly the same labelled urls."""
+
     tokens: tuple[str, ...]
     confidence: float
     support: float
+    alike: tuple[tuple[str, ...], ...] = ()
 
 
 def learn(pages: DataFrame, labels: DataFrame, *, max_labelled: int = 50_000, least_rows: int = 25, least_support: float = 0.002, least_confidence: float = 0.6,
@@ -57,9 +60,11 @@ def learn(pages: DataFrame, labels: DataFrame, *, max_labelled: int = 50_000, le
 
     A url's transaction holds its tokens, and ``=bad`` where its label is 0. Rules need a support of ``least_support`` (and
     ``least_rows`` rows) and a confidence of ``least_confidence``; a rule is pruned if one with fewer of its tokens is at
-    least as confident. The model is fitted on about ``max_labelled`` labelled urls (by hash of the id; all, if fewer). All
-    rules that are not pruned are kept and broadcast; the support bounds their number. Labels without id or value
-    and contradicting ones are ignored; without labels there are no rules.
+    least as confident. Tokens that occur in exactly the same labelled urls are one item, named by the smallest of them, so a template
+    of any length is one item; support and confidence stay exact. The model is fitted on about ``max_labelled`` labelled urls (by hash of
+    the id; all, if fewer). All rules that are not pruned are kept and broadcast; the support and the number of distinguishable
+    tokens in one url bound their number. Labels without id or value and contradicting ones are ignored; without labels, or in
+    an empty table, there are no rules. Long urls are read whole.
     """
     known = labels.select(F.col(label_id).alias("__id"), F.col(label_column).cast("int").alias("__y")).where("__id is not null and __y in (0, 1)")
     known = known.groupBy("__id").agg(F.min("__y").alias("lo"), F.max("__y").alias("hi")).where("lo = hi").select("__id", (F.col("lo") == 0).alias("bad"))
@@ -67,13 +72,28 @@ def learn(pages: DataFrame, labels: DataFrame, *, max_labelled: int = 50_000, le
     if total > max_labelled:
         known = known.where(F.pmod(F.xxhash64(F.lit("urls"), "__id"), F.lit(1 << 30)) < int((1 << 30) * max_labelled / total))
     own = pages.select(F.col(id_column).alias("__id"), F.col(url_column).alias("__url")).join(F.broadcast(known), "__id")
-    items = C.written(own.select(F.concat(tokens(F.col("__url")), F.when(F.col("bad"), F.array(F.lit(BAD))).otherwise(F.array())).alias("items")), "transactions")
+    urls = C.written(own.select(F.monotonically_increasing_id().alias("row"), tokens(F.col("__url")).alias("tokens"), "bad"), "urls")
+    pairs = urls.select("row", F.explode("tokens").alias("token"))
+    groups = C.written(same_rows(pairs), "groups")
+    merged = pairs.join(groups, "token").groupBy("row").agg(F.collect_set("item").alias("own"))
+    bad = F.when(F.col("bad"), F.array(F.lit(BAD))).otherwise(F.array().cast("array<string>"))
+    items = C.written(urls.join(merged, "row", "left").select(F.concat(F.coalesce("own", F.array().cast("array<string>")), bad).alias("items")), "transactions")
     n = items.count()
     if not n:
         return []
     model = FPGrowth(itemsCol="items", minSupport=min(1.0, max(least_support, least_rows / n)), minConfidence=least_confidence).fit(items)
-    rules = unpruned(model.freqItemsets, n).where(F.col("confidence") >= least_confidence).collect()
-    return [Rule(tuple(r["tokens"]), r["confidence"], r["support"]) for r in sorted(rules, key=lambda r: (len(r["tokens"]), -r["confidence"], r["tokens"]))]
+    rules = C.written(unpruned(model.freqItemsets, n).where(F.col("confidence") >= least_confidence), "rules")
+    used = rules.select(F.explode("tokens").alias("item")).distinct()
+    alike = {r["item"]: tuple(r["tokens"]) for r in groups.join(used, "item").groupBy("item").agg(F.array_sort(F.collect_set("token")).alias("tokens")).collect()}
+    return [Rule(tuple(r["tokens"]), r["confidence"], r["support"], tuple(alike[t] for t in r["tokens"]))
+            for r in sorted(rules.collect(), key=lambda r: (len(r["tokens"]), -r["confidence"], r["tokens"]))]
+
+
+def same_rows(pairs: DataFrame) -> DataFrame:
+    """token, item: the smallest of the tokens found in exactly the same rows (equal count and equal sums of two hashes of the rows)."""
+    total = lambda salt: F.sum(F.xxhash64(F.lit(salt), "row").cast("decimal(38,0)"))
+    prints = pairs.groupBy("token").agg(F.count("*").alias("n"), total(1).alias("x"), total(2).alias("y"))
+    return prints.join(prints.groupBy("n", "x", "y").agg(F.min("token").alias("item")), ["n", "x", "y"]).select("token", "item")
 
 
 def unpruned(itemsets: DataFrame, n: int) -> DataFrame:
@@ -102,8 +122,8 @@ def unpruned(itemsets: DataFrame, n: int) -> DataFrame:
 def judge(pages: DataFrame, learned: list[Rule], *, rules: tuple[tuple[str, str, str], ...] = RULES, id_column: str = "page_id", url_column: str = "url") -> DataFrame:
     """page_id, host, path, rule, verdict, and the learned rule that fits (``learned``) with its confidence.
 
-    A fixed rule decides where one fits. Else the page is blocked if a learned rule holds; they are found through an inverted
-    index from token to rules, by counting the tokens that each has in common with the url. Each row is judged on its own,
+    A fixed rule decides where one fits. Else the page is blocked if a learned rule holds, which has a token of the url for each of its
+    items; they are found through an inverted index from item to rules, by counting the items that each has in common with the url. Each row is judged on its own,
     nothing is shuffled. A null url, or one without ``://``, has an empty host and path and no rule, and is allowed. Repeated rows and rows
     without an id stay rows. Only the two named columns are read.
     """
@@ -117,14 +137,16 @@ def judge(pages: DataFrame, learned: list[Rule], *, rules: tuple[tuple[str, str,
         import pyarrow as pa
 
         index: dict[str, list[int]] = {}
+        item: dict[str, str] = {}
         for k, r in enumerate(learned):
-            for t in r.tokens:
+            for t, same in zip(r.tokens, r.alike or [(t,) for t in r.tokens], strict=True):
                 index.setdefault(t, []).append(k)
+                item.update(dict.fromkeys(same, t))
         for batch in batches:
             verdicts, names, sure = [], [], []
             for fixed, own in zip(batch.column("fixed").to_pylist(), batch.column("tokens").to_pylist(), strict=True):
                 shared: dict[int, int] = {}
-                for t in own:
+                for t in {item[t] for t in own if t in item}:
                     for k in index.get(t, ()):
                         shared[k] = shared.get(k, 0) + 1
                 fits = [learned[k] for k, c in shared.items() if c == len(learned[k].tokens)]
