@@ -16,7 +16,7 @@ from sitefold.functions import text as tx
 from sitefold.operators import evaluation, evidence, matching, policy, profiling, readiness, review, tables
 from sitefold.operators.lineage import cut_lineage, shared_folder
 from sitefold.operators.similarity import similar_values
-from sitefold.plans import decisions, enrich
+from sitefold.plans import decisions, enrich, runs
 from sitefold.plans import ingest as ingest_plan
 from sitefold.plans.queue import score_candidates
 from sitefold.schemas import as_candidates, as_evidence
@@ -400,6 +400,31 @@ def _(spark):
     return tables.insert_if_absent(_ledger(spark), new, ["source_id", "fingerprint"], ["seq"])
 
 
+_RUN_SQL = """SELECT '{id}' AS run_id, 'success' AS status, count(*) AS raw_count, count(*) FILTER (ok) AS valid_count, count(DISTINCT k) FILTER (ok AND {fresh}) AS new_candidate_count,
+  count(*) FILTER (ok) - count(DISTINCT k) FILTER (ok AND {fresh}) AS already_ingested_count, count(*) FILTER (NOT ok) AS skipped_count, false AS has_error FROM k WHERE {rows}"""
+
+
+@query(
+    "source_runs",
+    f"""WITH {_DRAFT_SQL}, {_LEDGER_SQL}, k AS (SELECT *, reject_reason IS NULL AS ok, source_id || '|' || fingerprint AS k FROM dr),
+    first AS ({_RUN_SQL.format(id='run-1', fresh='true', rows="ts < TIMESTAMP '2024-01-08 00:00:00'")}),
+    second AS ({_RUN_SQL.format(id='run-2', fresh="k NOT IN (SELECT source_id || '|' || fingerprint FROM led)", rows='true')}),
+    third AS ({_RUN_SQL.format(id='run-3', fresh='true', rows="source_id = 'no such feed'")})
+    SELECT * FROM first UNION ALL SELECT * FROM second UNION ALL SELECT * FROM third UNION ALL SELECT 'run-4', 'failed', 0, 0, 0, 0, 0, true""",
+)
+def _(spark):
+    # The feed of the first week, then all of it again, a feed without rows, and one that cannot be read.
+    root = _scratch(spark, "runs")
+    rows = drafts(spark).join(spark.table("fx_source_row").select("seq", "ts"), "seq")
+    feeds_ = (
+        ("run-1", lambda: rows.where(F.col("ts") < F.lit(dt.datetime(2024, 1, 8)))), ("run-2", lambda: rows),
+        ("run-3", lambda: rows.where("source_id = 'no such feed'")), ("run-4", lambda: spark.read.parquet(f"{root}/missing")),
+    )
+    for run_id, fetch in feeds_:
+        runs.run_source(spark, root, run_id, "feed", "Feed", fetch, lambda: "2024-02-01T00:00:00.000Z")
+    return runs.source_runs(spark, root).select("run_id", "status", *runs.COUNTS, F.col("error_message").isNotNull().alias("has_error"))
+
+
 _EVIDENCE_ITEMS = f"""
   SELECT seq, 1 AS o, 'company.legalName' AS path_key, {P.trim('business_name')} AS v FROM fx_source_row
   UNION ALL SELECT seq, 2, 'company.website', website FROM fx_source_row WHERE {P.truthy('website')}
@@ -969,6 +994,24 @@ def _(spark):
     return tables.read_master(directory(spark)).select("id", "phone", "status", "lifecycle_status")
 
 
+@query(
+    "keyed_reads",
+    """SELECT 'queue' AS read, candidate_id AS id, CAST(count(*) AS BIGINT) AS n FROM fx_old_queue WHERE candidate_id IN (SELECT candidate_id FROM fx_decision) GROUP BY ALL
+    UNION ALL SELECT 'candidate', 'company-' || id, 1 FROM fx_candidate WHERE id IN (SELECT candidate_id FROM fx_decision)
+    UNION ALL SELECT 'identity', 'company-' || id, 1 FROM fx_candidate""",
+)
+def _(spark):
+    decided = spark.table("fx_decision").select("candidate_id")
+    owned = candidates(spark).withColumn("company", F.col("company").withField("id", F.concat(F.lit("company-"), "id")))
+    counted = lambda df, what, key: df.groupBy(F.lit(what).alias("read"), F.col(key).alias("id")).agg(F.count("*").alias("n"))
+    companies = decided.select(F.concat(F.lit("company-"), "candidate_id").alias("company_id"))
+    return (
+        counted(tables.queue_rows(spark.table("fx_old_queue"), decided), "queue", "candidate_id")
+        .unionByName(counted(tables.candidates_of_companies(owned, companies), "candidate", "company.id"))
+        .unionByName(counted(tables.identities(owned), "identity", "id"))
+    )
+
+
 # ------------------------------------------------------------------ review ledger
 
 _ACTION_STATUS = """CASE WHEN action IN ('approve_new_company', 'approve_new_branch', 'link_existing_location') THEN 'approved' WHEN action = 'mark_duplicate' THEN 'duplicate'
@@ -1652,6 +1695,32 @@ def _(spark):
     return kept.select(*names, "sequence", "previous_status", "new_status").unionByName(refused.select(*names, "reject_reason"), allowMissingColumns=True)
 
 
+_CORRECTED = "event_id % 4 = 0"
+
+
+@query(
+    "decision_corrections",
+    f"""WITH {_CHECKED}, c AS (SELECT * FROM chained WHERE {_CORRECTED}) SELECT event_id, candidate_id, sequence, 0 AS place, 'location.phone' AS path_key, NULL AS previous_value, 'p' || event_id AS corrected_value, 'called' AS reason FROM c
+    UNION ALL SELECT event_id, candidate_id, sequence, 1, 'company.website', 'w' || candidate_id, NULL, NULL FROM c""",
+)
+def _(spark):
+    root = _scratch(spark, "corrections")
+    queue = _queued(spark).withColumns({c: F.lit("x") for c in ("match_classification", "matched_id", "best_id", "resolution_outcome", "publication_state")}).withColumns(
+        {c: F.lit(0.5) for c in ("match_score", "resolution_confidence", "completeness_score", "review_priority")}
+    ).withColumns({
+        "requires_human_review": F.lit(True), "resolution_reasons": F.array(F.lit("r")), "resolution_conflicts": F.array(F.lit("c")),
+        "blockers": F.array(F.struct(F.lit("b").alias("rule_id"))), "review_status": F.lit("pending"), "reviewer_note": F.lit(None).cast("string"),
+    })
+    change = lambda key, old, new, why: F.struct(F.lit(key).alias("path_key"), old.cast("string").alias("previous_value"), new.cast("string").alias("corrected_value"), why.cast("string").alias("reason"))
+    changes = F.array(
+        change("location.phone", F.lit(None), F.concat(F.lit("p"), "event_id"), F.lit("called")), change("company.website", F.concat(F.lit("w"), "candidate_id"), F.lit(None), F.lit(None))
+    )
+    rows = spark.table("fx_decision").withColumn("field_corrections", F.when(F.expr(_CORRECTED), changes))
+    decisions.append_decisions(rows, queue, root, "1")
+    kept = decisions.stored_ledger(rows, root)
+    return kept.select("event_id", "candidate_id", "sequence", F.posexplode("field_corrections").alias("place", "x")).select("event_id", "candidate_id", "sequence", "place", "x.*")
+
+
 def _source_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The raw feed rows of the events file as a stream."""
     schema = spark.read.parquet(f"{sf_dir}/events.parquet").schema

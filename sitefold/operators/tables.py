@@ -16,6 +16,32 @@ def read_master(df: DataFrame) -> DataFrame:
     return df.select(cols).withColumn("lifecycle_status", codes.lifecycle(F.col("status"))["normalized"])
 
 
+def rows_with_keys(df: DataFrame, column: str, keys: DataFrame | list[str]) -> DataFrame:
+    """Rows whose ``column`` (a nested one too) is among ``keys``, each row once; no row has a null key.
+
+    A list becomes a filter that reaches the file scan. A table of keys (its first column) becomes a semi join.
+    """
+    if isinstance(keys, list):
+        return df.where(F.col(column).isin(keys))
+    wanted = keys.select(F.col(f"`{keys.columns[0]}`").alias("_wanted"))
+    return df.join(wanted, F.col(column) == F.col("_wanted"), "left_semi")
+
+
+def candidates_of_companies(candidates: DataFrame, company_ids: DataFrame | list[str]) -> DataFrame:
+    """Candidate locations of the given companies."""
+    return rows_with_keys(candidates, "company.id", company_ids)
+
+
+def queue_rows(queue: DataFrame, candidate_ids: DataFrame | list[str]) -> DataFrame:
+    """Queue rows of the given candidates; a candidate that was never scored has none."""
+    return rows_with_keys(queue, "candidate_id", candidate_ids)
+
+
+def identities(candidates: DataFrame) -> DataFrame:
+    """One company identity per company id. Candidates of one company hold the same identity; the smallest candidate id settles it if not."""
+    return candidates.groupBy("company.id").agg(F.min_by("company", "id").alias("c")).select("c.*")
+
+
 def replace_by_key(old: DataFrame, new: DataFrame, keys: list[str], batch: str) -> DataFrame:
     """Last write wins: the row with the highest ``batch`` per key."""
     return first_per_key(old.unionByName(new), keys, [F.col(batch).desc()])

@@ -8,7 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from sitefold.operators import evidence, profiling, readiness, review, tables
-from sitefold.plans import decisions, evaluate, ingest
+from sitefold.plans import decisions, evaluate, ingest, runs
 from sitefold.plans.profile import profile_source
 from sitefold.plans.queue import score_candidates
 from sitefold.sources import feeds, master, permits
@@ -348,6 +348,47 @@ def test_decisions_appended_in_batches(spark, tmp_path):
     assert [(r.event_id, r.reject_reason) for r in refused] == [(2, "no review queue row"), (4, "record id required")]
 
 
+def test_run_records(spark, drafts, tmp_path):
+    root, clock = str(tmp_path), iter(f"t{k}" for k in range(99))
+    tick = lambda: next(clock)
+
+    def broken():
+        assert runs.source_runs(spark, root).where("status = 'running' and finished_at is null").count() == 1
+        raise OSError("feed is down")
+
+    for k, fetch in enumerate([lambda: drafts[0], lambda: drafts[0], lambda: drafts[0].where("false"), broken, lambda: drafts[0]]):
+        # The last one repeats the first run: it finds what it wrote itself, and nothing changes.
+        runs.run_source(spark, root, f"run-{k % 4}", "dfw-csv", "CSV", fetch, tick)
+    got = {r["run_id"]: r for r in runs.source_runs(spark, root).collect()}
+    assert {k: r["status"] for k, r in got.items()} == {"run-0": "success", "run-1": "success", "run-2": "success", "run-3": "failed"}
+    counts = [tuple(got[f"run-{k}"][c] for c in runs.COUNTS) for k in range(4)]
+    assert counts == [(5, 3, 2, 1, 2), (5, 3, 0, 3, 2), (0, 0, 0, 0, 0), (0, 0, 0, 0, 0)]
+    assert got["run-3"]["error_message"] == "feed is down" and got["run-3"]["started_at"] == "t6" and got["run-3"]["finished_at"] == "t7"
+    assert spark.read.parquet(f"{root}/candidates").count() == 2 == spark.read.parquet(f"{root}/identities").count()
+
+
+def test_corrections_stay_with_the_decision(spark, tmp_path):
+    queue = spark.createDataFrame([("a", "pending", None)], "candidate_id string, review_status string, reviewer_note string")
+    machine = ["match_classification", "matched_id", "best_id", "resolution_outcome", "publication_state"]
+    queue = queue.withColumns({c: F.lit("x") for c in machine} | {c: F.lit(0.5) for c in ("match_score", "resolution_confidence", "completeness_score", "review_priority")}
+                              | {"requires_human_review": F.lit(True), "resolution_reasons": F.array(F.lit("r")), "resolution_conflicts": F.array(F.lit("c")),
+                                 "blockers": F.array(F.struct(F.lit("b").alias("rule_id")))})
+    schema = ("event_id bigint, candidate_id string, decided_at timestamp, action string, selected_id string, "
+              "field_corrections array<struct<path_key:string,previous_value:string,corrected_value:string,reason:string>>")
+    at = dt.datetime(2025, 5, 1)
+    rows = spark.createDataFrame([(1, "a", at, "needs_more_research", None, [("location.phone", None, "1", "typo"), ("location.phone", "1", "2", None)]), (2, "a", at, "needs_more_research", None, None)], schema)
+    decisions.append_decisions(rows, queue, str(tmp_path), "1")
+    kept = decisions.stored_ledger(rows, str(tmp_path)).orderBy("sequence").collect()
+    assert [[tuple(c) for c in r.field_corrections] for r in kept] == [[("location.phone", None, "1", "typo"), ("location.phone", "1", "2", None)], []]
+
+
+def test_reads_by_key(spark):
+    q = spark.createDataFrame([("a", 1), ("b", 2), (None, 3)], "candidate_id string, x int")
+    assert [r.x for r in tables.queue_rows(q, ["a", "zz"]).collect()] == [1] and tables.queue_rows(q, []).count() == 0
+    keys = spark.createDataFrame([("b",), ("b",), (None,)], "`k.k` string")
+    assert [r.x for r in tables.queue_rows(q, keys).collect()] == [2]
+
+
 def test_window_arguments():
     now = dt.datetime(2026, 7, 20, 5, tzinfo=dt.timezone.utc)
     assert permits.resolve_window(now=now) == ("2026-07-13", "2026-07-20")
