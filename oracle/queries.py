@@ -18,6 +18,7 @@ from sitefold.operators.lineage import cut_lineage, shared_folder
 from sitefold.operators.similarity import similar_values
 from sitefold.plans import decisions, enrich, runs
 from sitefold.plans import ingest as ingest_plan
+from sitefold.plans.profile import profile_source
 from sitefold.plans.queue import score_candidates
 from sitefold.schemas import as_candidates, as_evidence
 from sitefold.sources import feeds, master, permits
@@ -649,6 +650,19 @@ def _(spark):
     return permits.pull_counts(spark.table("fx_permit"), WINDOW, COUNTIES)
 
 
+@query(
+    "profile_job",
+    f"""WITH w AS (SELECT {_RECORD_ID} AS id FROM fx_permit WHERE {_IN_WINDOW}), n AS (SELECT count(DISTINCT id) AS n FROM w)
+    SELECT 'raw' AS artifact, least(n, 500) AS row_count, CAST(n > 500 AS VARCHAR) AS truncated FROM n
+    UNION ALL SELECT 'profile', 1, CAST(n > 500 AS VARCHAR) FROM n UNION ALL SELECT 'pull-counts', 1, CAST(n > 500 AS VARCHAR) FROM n""",
+)
+def _(spark):
+    # The artifacts whose size does not depend on which of the equally ordered permits are pulled.
+    manifest = profile_source(spark.table("fx_permit"), WINDOW, COUNTIES, _scratch(spark, "profile"), "2024-02-01", 500)
+    sizes = manifest.where(F.col("artifact").isin("raw", "profile", "pull-counts"))
+    return sizes.select("artifact", "row_count", F.get_json_object("facts", "$.truncated").alias("truncated"))
+
+
 _DIFF = f"coalesce({P.field('taxpayer_name')} IS NOT NULL AND {P.field('outlet_name')} IS NOT NULL AND {P.name(P.field('taxpayer_name'))} <> {P.name(P.field('outlet_name'))}, false)"
 _BOX = r"coalesce(regexp_matches(outlet_address, '\bP\.?\s*O\.?\s*BOX\b', 'i'), false)"
 _RES = r"coalesce(regexp_matches(outlet_address, '\b(apt|apartment|unit|trlr|trailer|mobile\s*home)\b|#\s*\d+\s*$', 'i'), false)"

@@ -42,7 +42,7 @@ def evaluate_cases(cases: DataFrame, existing: DataFrame) -> DataFrame:
         labelled.withColumn("candidate_id", F.col("_case"))
         .join(ck.select("candidate_id", "site_type"), "candidate_id")
         .join(found, "candidate_id", "left")
-        .withColumn("related_count", F.coalesce(F.size("related_ids"), F.lit(0)))
+        .withColumn("has_several", F.coalesce(F.size("related_ids") >= 2, F.lit(False)))
     )
     ranks = ranked.join(
         labelled.select(F.col("_case").alias("candidate_id"), F.col("expected_id").alias("master_id")),

@@ -68,10 +68,10 @@ def _evidence_reasons(b: Column) -> list[Column]:
 
 
 def decide(rows: DataFrame) -> DataFrame:
-    """Outcome columns for rows holding candidate_id, site_type, matches, related_count.
+    """Outcome columns for rows holding candidate_id, site_type, matches, has_several.
 
     ``matches`` is null when there was nothing to compare with. Which situation a
-    candidate is in is worked out once; outcome, review flag, reasons and
+    candidate is in is worked out once (``has_several``: two or more records of the same company); outcome, review flag, reasons and
     conflicts all follow from it.
     """
     best, second = F.get("matches", F.lit(0)), F.get("matches", F.lit(1))
@@ -91,7 +91,7 @@ def decide(rows: DataFrame) -> DataFrame:
         .when(company & location, "same")
         .when(company & (site == "branch"), "branch")
         .when(company & (site == "headquarters"), "hq")
-        .when(company & (F.col("related_count") >= 2), "several")
+        .when(company & F.col("has_several"), "several")
         .when(company, "moved")
         .when(location & (best["name_score"] < WEAK_NAME) & continuity, "renamed")
         .when(location, "location_only")
@@ -168,7 +168,7 @@ def resolve_retrieved(candidates: DataFrame, master: DataFrame, edges: DataFrame
     ranked = m.rank_retrieved(candidates, master, edges, order)
     found = collect_matches(ranked, with_related=True)
     rows = candidates.select(F.col("id").alias("candidate_id"), "site_type").join(found, "candidate_id", "left")
-    rows = rows.withColumn("related_count", F.coalesce(F.size("related_ids"), F.lit(0)))
+    rows = rows.withColumn("has_several", F.coalesce(F.size("related_ids") >= 2, F.lit(False)))
     decided = decide(rows).withColumns(best_match_columns())
     others = F.array_remove(F.col("related_ids"), F.col("matched_id"))
     wanted = F.col("situation").isin("branch", "hq") & (F.size(others) > 0)
@@ -182,14 +182,13 @@ def resolve_all(candidates: DataFrame, master: DataFrame) -> DataFrame:
     as many as the chain has sites. ``related_records`` gives them as rows.
     """
     found = collect_matches(m.rank_all(candidates, master, 3), with_related=False)
-    related = m.same_company_pairs(candidates, master, 3).groupBy("candidate_id").agg(
-        F.count("*").alias("related_count")
-    )
+    # The first two records of each master profile are enough to know whether there are several.
+    related = m.same_company_pairs(candidates, master, 2).groupBy("candidate_id").agg((F.count("*") >= 2).alias("has_several"))
     rows = (
         candidates.select(F.col("id").alias("candidate_id"), "site_type")
         .join(found, "candidate_id", "left")
         .join(related, "candidate_id", "left")
-        .withColumn("related_count", F.coalesce("related_count", F.lit(0)))
+        .withColumn("has_several", F.coalesce("has_several", F.lit(False)))
     )
     none = {"related_ids": F.lit(None).cast("array<string>"), "truncated": F.lit(False)}
     return decide(rows).withColumns(best_match_columns() | none)
