@@ -1803,3 +1803,65 @@ _register_stream(
       UNION ALL SELECT event_id, candidate_id, NULL, NULL, NULL, reject_reason FROM checked WHERE reject_reason IS NOT NULL""",
     _stream_ledger,
 )
+
+
+def _in_steps(spark: SparkSession, rows: DataFrame, steps: list[str], what: str, start: Callable[[DataFrame, str], object]) -> str:
+    """Land ``rows`` in steps, one condition after the other, and run the stream after each; returns its folder."""
+    root = _scratch(spark, what)
+    for condition in steps:
+        rows.where(condition).write.mode("append").parquet(f"{root}/in")
+        start(jobs.stream_files(spark, f"{root}/in", rows.schema, files_per_trigger=1_000_000), root).awaitTermination()
+    return f"{root}/out"
+
+
+# Four batches of arrivals; some rows come one batch after their time.
+_STEP = """CASE WHEN ts < TIMESTAMP '2024-01-10 00:00:00' THEN 1 WHEN ts < TIMESTAMP '2024-01-20 00:00:00' THEN 2 ELSE 3 END + CASE WHEN seq % 50 = 7 THEN 1 ELSE 0 END"""
+_STEPPED = f"""{_DRAFT_SQL}, b AS (SELECT *, {_STEP} AS step FROM dr),
+  hi AS (SELECT step, max(max(ts)) OVER (ORDER BY step ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) - INTERVAL 36 HOUR AS wm FROM b GROUP BY step),
+  j AS (SELECT b.*, wm, coalesce(ts < wm, false) AS late FROM b JOIN hi ON hi.step = b.step)"""
+
+
+def _stepped_arrivals(spark: SparkSession) -> str:
+    rows = feeds.map_licence_rows(spark.table("fx_source_row"), keep=("ts",)).select("seq", "ts", "source_id", "fingerprint", "reject_reason")
+    start = lambda s, root: jobs.windowed_arrivals(s, f"{root}/out", f"{root}/checkpoint", delay="36 hours")
+    return _in_steps(spark, rows, [f"{_STEP} = {n}" for n in (1, 2, 3, 4)], "windows", start)
+
+
+@query(
+    "streaming_windows",
+    f"""WITH {_STEPPED} SELECT CAST(epoch(date_trunc('hour', ts)) AS BIGINT) AS window_start, source_id, CASE WHEN reject_reason IS NULL THEN 'valid' ELSE 'skipped' END AS status,
+      count(DISTINCT fingerprint) AS n FROM j WHERE NOT late GROUP BY ALL""",
+)
+def _(spark):
+    return jobs.window_counts(spark, _stepped_arrivals(spark)).withColumn("window_start", F.unix_seconds("window_start"))
+
+
+@query("streaming_late_rows", f"WITH {_STEPPED} SELECT seq, source_id, step - 1 AS batch, epoch_us(wm) AS watermark FROM j WHERE late")
+def _(spark):
+    return spark.read.parquet(f"{_stepped_arrivals(spark)}/late").select("seq", "source_id", "batch", F.unix_micros("watermark").alias("watermark"))
+
+
+# A queue snapshot beside the ledger of the first days; a tenth of its rows claims to be approved.
+_AFTER = "TIMESTAMP '2024-01-10 00:00:00'"
+
+
+@query(
+    "streaming_ledger_batches",
+    f"""WITH {_CHECKED}, l AS (SELECT candidate_id, arg_max(new_status, sequence) AS s FROM chained WHERE decided_at < {_AFTER} GROUP BY 1),
+    off AS (SELECT c.id FROM fx_candidate c LEFT JOIN l ON l.candidate_id = c.id WHERE c.id LIKE '%0' AND coalesce(l.s, 'pending') <> 'approved')
+    SELECT event_id, candidate_id, sequence, previous_status, new_status, NULL AS reject_reason FROM chained WHERE decided_at >= {_AFTER} AND candidate_id NOT IN (SELECT id FROM off)
+    UNION ALL SELECT event_id, candidate_id, NULL, NULL, NULL, coalesce(reject_reason, 'queue and ledger disagree') FROM checked
+      WHERE decided_at >= {_AFTER} AND (reject_reason IS NOT NULL OR candidate_id IN (SELECT id FROM off))""",
+)
+def _(spark):
+    past = cut_lineage(_chained(spark).where(f"decided_at < {_AFTER}").select("candidate_id", "sequence", "new_status"))
+    last = past.groupBy("candidate_id").agg(F.max_by("new_status", "sequence").alias("_last"))
+    said = F.when(F.col("candidate_id").endswith("0"), "approved").otherwise(F.coalesce("_last", F.lit("pending")))
+    queue = _queued(spark).join(last, "candidate_id", "left").select("candidate_id", said.alias("review_status"))
+    rows = spark.table("fx_decision")
+    start = lambda s, root: jobs.ledger_batches(s, queue, f"{root}/out", f"{root}/checkpoint", past)
+    days = [f"decided_at >= {_AFTER} AND decided_at < TIMESTAMP '2024-01-16 00:00:00'",
+            "decided_at >= TIMESTAMP '2024-01-16 00:00:00' AND decided_at < TIMESTAMP '2024-01-23 00:00:00'", "decided_at >= TIMESTAMP '2024-01-23 00:00:00'"]
+    out = _in_steps(spark, rows, days, "ledger-batches", start)
+    kept = spark.read.parquet(f"{out}/ledger").select("event_id", "candidate_id", "sequence", "previous_status", "new_status")
+    return kept.unionByName(spark.read.parquet(f"{out}/rejected").select("event_id", "candidate_id", "reject_reason"), allowMissingColumns=True)

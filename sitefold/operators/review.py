@@ -29,14 +29,18 @@ def status_mismatches(queue: DataFrame, ledger: DataFrame) -> DataFrame:
     )
 
 
-def validate_decisions(decisions: DataFrame, queue: DataFrame, ledger: DataFrame | None = None) -> DataFrame:
-    """Add ``reject_reason``; null means the decision can be recorded."""
+def validate_decisions(decisions: DataFrame, queue: DataFrame, ledger: DataFrame | None = None, off: DataFrame | None = None) -> DataFrame:
+    """Add ``reject_reason``; null means the decision can be recorded.
+
+    ``off`` holds the candidates whose queue row and ledger disagree, where that is known already; else ``ledger`` tells.
+    """
     known = queue.select("candidate_id", F.lit(True).alias("_queued"))
     rows = decisions.join(known, "candidate_id", "left")
     broken = F.lit(False)
-    if ledger is not None:
-        off = status_mismatches(queue, ledger).select("candidate_id", F.lit(True).alias("_off"))
-        rows = rows.join(off, "candidate_id", "left")
+    if off is None and ledger is not None:
+        off = status_mismatches(queue, ledger)
+    if off is not None:
+        rows = rows.join(off.select("candidate_id", F.lit(True).alias("_off")), "candidate_id", "left")
         broken = F.col("_off").isNotNull()
     reason = F.coalesce(
         codes.action_reject_reason(F.col("action"), F.col("selected_id")),

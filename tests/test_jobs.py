@@ -410,3 +410,62 @@ def test_streamed_ingest_over_several_batches(spark, tmp_path):
     got = spark.read.parquet(str(tmp_path / "out/candidates"))
     assert sorted(r.fingerprint for r in got.select("source.fingerprint").collect()) == ["s:a", "s:b"]
     assert got.select("batch").distinct().count() == 2
+
+
+def test_streamed_ingest_reads_only_the_buckets_of_its_batch(spark, tmp_path):
+    ledger = jobs.dedup_ledger(spark, str(tmp_path), buckets=16)
+    rows = spark.range(200).selectExpr(
+        "'s' AS source_id", "concat('f', id) AS fingerprint", "'r' AS source_record_id", "'c' AS candidate_id", "'run' AS first_run_id", "'now' AS first_ingested_at"
+    )
+    ledger.append(rows, 0)
+    batch = rows.where("fingerprint IN ('f7', 'f8')")
+    assert len(ledger.of(batch).inputFiles()) <= 2 < len(ledger.all().inputFiles())
+    assert ledger.of(batch).where("fingerprint IN ('f7', 'f8')").count() == 2
+
+
+def _land(spark, path, rows, schema):
+    spark.createDataFrame(rows, schema).coalesce(1).write.mode("append").parquet(path)
+    return jobs.stream_files(spark, path, spark.createDataFrame([], schema).schema)
+
+
+def test_windows_count_once_and_keep_late_rows(spark, tmp_path):
+    at = lambda h, m=0: dt.datetime(2026, 7, 1, h, m)
+    schema = "seq bigint, ts timestamp, source_id string, fingerprint string, reject_reason string"
+    steps = [
+        [(1, at(3), "s", "a", None), (2, at(3, 20), "s", "a", None), (3, at(3, 30), "s", "b", None), (4, None, "s", "c", None), (5, at(5), "s", None, "bad")],
+        # the watermark is 4:00 here: an equal time is on time, an earlier one is late
+        [(6, at(4), "s", "a", None), (7, at(3, 59), "s", "z", None), (8, at(5, 30), "s", None, "bad"), (9, at(8), "s", "a", None)],
+        [],
+        [(10, at(7), "s", "d", None), (11, at(8, 10), "s", "a", None), (12, at(6, 59), "s", "d", None)],
+    ]
+    for rows in steps:
+        stream = _land(spark, str(tmp_path / "in"), rows, schema)
+        jobs.windowed_arrivals(stream, str(tmp_path / "out"), str(tmp_path / "cp")).awaitTermination()
+    got = {(r.window_start.hour, r.status): r.n for r in jobs.window_counts(spark, str(tmp_path / "out")).collect()}
+    assert got == {(3, "valid"): 2, (5, "skipped"): 1, (4, "valid"): 1, (8, "valid"): 1, (7, "valid"): 1}
+    late = {r.seq: r.watermark and r.watermark.hour for r in spark.read.parquet(str(tmp_path / "out/late")).collect()}
+    assert late == {4: None, 7: 4, 12: 7}
+
+
+def test_streamed_ledger_chains_over_batches_without_reading_the_ledger(spark, tmp_path):
+    schema = "event_id bigint, candidate_id string, decided_at timestamp, action string, selected_id string"
+    day = lambda n: dt.datetime(2026, 7, n)
+    queue = spark.createDataFrame([("a", "approved"), ("b", "pending"), ("c", "approved"), ("d", "pending"), ("d", "approved")], "candidate_id string, review_status string")
+    before = spark.createDataFrame([("a", 1, "rejected"), ("a", 2, "approved")], "candidate_id string, sequence bigint, new_status string")
+    steps = [
+        [(1, "a", day(1), "needs_more_research", None), (2, "c", day(1), "needs_more_research", None), (3, "x", day(1), "needs_more_research", None), (9, "d", day(1), "needs_more_research", None)],
+        [(4, "a", day(2), "reject_source_observation", None), (5, "b", day(2), "approve_new_company", None), (6, "b", day(1), "needs_more_research", None)],
+        [(7, "b", day(3), "mark_duplicate", None), (8, "b", day(3), "mark_duplicate", "rec-1")],
+    ]
+    for n, rows in enumerate(steps):
+        stream = _land(spark, str(tmp_path / "in"), rows, schema)
+        # a queue that says something else later does not matter for candidates that the stream knows
+        jobs.ledger_batches(stream, queue if n == 0 else queue.withColumn("review_status", F.lit("?")), str(tmp_path / "out"), str(tmp_path / "cp"), before).awaitTermination()
+    ledger = spark.read.parquet(str(tmp_path / "out/ledger"))
+    got = {r.event_id: (r.sequence, r.previous_status, r.new_status) for r in ledger.collect()}
+    assert got == {
+        1: (3, "approved", "needs_more_research"), 4: (4, "needs_more_research", "rejected"), 6: (1, "pending", "needs_more_research"),
+        5: (2, "needs_more_research", "approved"), 8: (3, "approved", "duplicate"),
+    }
+    why = {r.event_id: r.reject_reason for r in spark.read.parquet(str(tmp_path / "out/rejected")).collect()}
+    assert why == {2: "queue and ledger disagree", 3: "no review queue row", 7: "record id required", 9: "queue and ledger disagree"}
