@@ -16,7 +16,7 @@ from sitefold.functions import text as tx
 from sitefold.operators import evaluation, evidence, matching, policy, profiling, readiness, review, tables
 from sitefold.operators.lineage import cut_lineage, shared_folder
 from sitefold.operators.similarity import similar_values
-from sitefold.plans import decisions, enrich, runs
+from sitefold.plans import decisions, enrich, evaluate, runs
 from sitefold.plans import ingest as ingest_plan
 from sitefold.plans.profile import profile_source
 from sitefold.plans.queue import score_candidates
@@ -857,6 +857,22 @@ def _(spark):
     return policy.related_records(policy.resolve_all(c, m), c, m)
 
 
+@query("company_site_counts", f"WITH {P.EXHAUSTIVE} SELECT candidate_id, count(*) AS n_sites FROM ranked WHERE strong_company GROUP BY 1")
+def _(spark):
+    return matching.company_links(candidates(spark), directory(spark)).counts()
+
+
+@query(
+    "company_chain",
+    f"""WITH {P.EXHAUSTIVE}, s AS (SELECT candidate_id, master_id FROM ranked WHERE strong_company),
+    top AS (SELECT candidate_id FROM s GROUP BY 1 ORDER BY count(*) DESC, candidate_id LIMIT 1) SELECT candidate_id, master_id FROM s WHERE candidate_id IN (SELECT candidate_id FROM top)""",
+)
+def _(spark):
+    # The candidate with the most sites, ties by id: its rows only are expanded.
+    found = matching.company_links(candidates(spark), directory(spark))
+    return found.pairs(found.counts().orderBy(F.desc("n_sites"), "candidate_id").limit(1))
+
+
 @query(
     "related_records_retrieved",
     f"WITH {P.RETRIEVAL}, {P.DECIDED} SELECT r.candidate_id, string_agg(r.master_id, '|' ORDER BY rnk) AS related_ids FROM ranked r JOIN decided d USING (candidate_id) WHERE d.b IN (3, 4) AND r.strong_company AND r.master_id <> d.matched_id GROUP BY 1",
@@ -1634,6 +1650,31 @@ def _(spark):
     return evaluation.validate_cases(spark.table("fx_raw_case"), spark.table("fx_raw_existing"))
 
 
+@query(
+    "labelled_case_scan",
+    """WITH c AS (SELECT s.dataset_id || '-' || CAST(CAST(substr(case_id, 5) AS BIGINT) // 40 AS VARCHAR) AS dataset_id, case_id, c.legal_name, c.city, expected_outcome, expected_id FROM fx_case s JOIN fx_candidate c ON c.id = s.case_id),
+    e AS (SELECT case_id, count(*) AS n FROM fx_case_existing GROUP BY 1)
+    SELECT dataset_id, row_number() OVER (PARTITION BY dataset_id ORDER BY c.case_id) - 1 AS position, c.case_id, legal_name, city, expected_outcome, expected_id, coalesce(n, 0) AS n_existing
+    FROM c LEFT JOIN e ON e.case_id = c.case_id""",
+)
+def _(spark):
+    # One envelope a file, as labelled cases are kept.
+    e = spark.table("fx_case_existing").groupBy("case_id").agg(F.collect_list(F.struct("id", F.col("company_name").alias("companyName"), "city")).alias("existingCompanies"))
+    c = spark.table("fx_candidate").select(F.col("id").alias("case_id"), F.struct(
+        F.col("id").alias("id"), F.struct(F.col("legal_name").alias("legalName")).alias("company"), F.struct("city").alias("physicalAddress")).alias("candidate"))
+    block = F.concat_ws("-", "dataset_id", F.floor(F.substring("case_id", 5, 20).cast("bigint") / 40).cast("string"))
+    case = F.struct(F.col("case_id").alias("caseId"), "candidate", F.coalesce("existingCompanies", F.array().cast(e.schema["existingCompanies"].dataType)).alias("existingCompanies"),
+                    F.struct(F.col("expected_outcome").alias("outcome"), F.col("expected_id").alias("matchedExistingCompanyId")).alias("expected"),
+                    F.struct(F.lit("synthetic").alias("source")).alias("provenance"))
+    rows = spark.table("fx_case").join(c, "case_id").join(e, "case_id", "left").groupBy(block.alias("datasetId")).agg(F.array_sort(F.collect_list(case)).alias("cases"))
+    path = _scratch(spark, "cases")
+    rows.withColumn("schemaVersion", F.lit(evaluation.SCHEMA_VERSIONS[0])).write.option("maxRecordsPerFile", 1).json(path)
+    cases, existing, _errors = evaluate.read_cases(spark, [path])
+    counts = existing.groupBy("dataset_id", "case_id").agg(F.count("*").alias("n"))
+    return cases.join(counts, ["dataset_id", "case_id"], "left").select(
+        "dataset_id", "position", "case_id", "legal_name", F.col("candidate.physical_address.city").alias("city"), "expected_outcome", "expected_id", F.coalesce("n", F.lit(0)).alias("n_existing"))
+
+
 # ------------------------------------------------------------ scans, artifacts, streams
 
 

@@ -10,6 +10,7 @@ Two ways to choose the pairs that are scored:
 
 from __future__ import annotations
 
+from dataclasses import dataclass
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
@@ -340,30 +341,51 @@ def rank_all(candidates: DataFrame, master: DataFrame, k: int = 3) -> DataFrame:
     return per_candidate.join(reduce(DataFrame.unionByName, settled), "profile").drop("profile")
 
 
-def same_company_pairs(candidates: DataFrame, master: DataFrame, k: int | None = None) -> DataFrame:
-    """(candidate, master) pairs with strong company identity, in long form.
+# What tells whether two records are of one company; all sites of a chain usually have one such identity.
+C_IDENTITY, M_IDENTITY = ["c_name", "c_domain", "c_sic"], ["m_name", "m_domain", "m_sic"]
 
-    With ``k`` only the first ``k`` ids of each master profile are paired, which is
-    enough to tell one related record from several.
+
+@dataclass
+class CompanyLinks:
+    """Strong company identity between candidates and master records, in factors.
+
+    ``links`` (c_identity, m_identity, n_sites) holds pairs of distinct identities with the number of master records behind them;
+    ``candidates`` (candidate_id, c_identity) and ``sites`` (master_id, m_identity) are the members. None grows with the number of
+    candidates times the number of a chain's sites; ``pairs`` does, for the candidates that it is asked about.
     """
-    ck, mk = cut_lineage(candidate_keys(candidates)), cut_lineage(master_keys(master))
-    cp = _candidate_profiles(ck)
-    mh = _master_heads(mk, k or 1)
-    values = similar_values(cp, "c_name", mh, "m_name", MODERATE_NAME).select(
+
+    links: DataFrame
+    candidates: DataFrame
+    sites: DataFrame
+
+    def counts(self) -> DataFrame:
+        """candidate_id, n_sites: how many master records are of the candidate's company; candidates without one are absent."""
+        per_identity = self.links.groupBy("c_identity").agg(F.sum("n_sites").alias("n_sites"))
+        return self.candidates.join(per_identity, "c_identity").select("candidate_id", "n_sites")
+
+    def pairs(self, wanted: DataFrame | None = None) -> DataFrame:
+        """(candidate_id, master_id), of the candidates in ``wanted`` or of all."""
+        members = self.candidates if wanted is None else self.candidates.join(wanted.select("candidate_id").distinct(), "candidate_id", "left_semi")
+        return members.join(self.links, "c_identity").join(self.sites, "m_identity").select("candidate_id", "master_id")
+
+
+def company_links(candidates: DataFrame, master: DataFrame) -> CompanyLinks:
+    """Compare every distinct identity once; addresses and phones of the sites play no part."""
+    ours = cut_lineage(candidate_keys(candidates).select("candidate_id", *C_IDENTITY, _profile_key(C_IDENTITY).alias("c_identity")))
+    theirs = cut_lineage(master_keys(master).select("master_id", *M_IDENTITY, _profile_key(M_IDENTITY).alias("m_identity")))
+    left = ours.select("c_identity", *C_IDENTITY).distinct()
+    right = theirs.groupBy("m_identity", *M_IDENTITY).agg(F.count("*").alias("n_sites"))
+    values = similar_values(left, "c_name", right, "m_name", MODERATE_NAME).select(
         F.col("l_value").alias("c_name"), F.col("r_value").alias("m_name"), F.col("similarity").alias("name_score")
     )
     strong = (
-        cp.join(values, "c_name")
-        .join(mh, "m_name")
+        left.join(values, "c_name")
+        .join(right, "m_name")
         .withColumns({"domain_match": _equal("c_domain", "m_domain"), "sic_match": _equal("c_sic", "m_sic")})
         .where(strong_company())
     )
-    if k is None:  # back from profiles to every record that carries them
-        strong = strong.withColumn("m_profile", _profile_key(M_PROFILE)).select("profile", "m_profile")
-        ids = mk.select("master_id", _profile_key(M_PROFILE).alias("m_profile"))
-        strong = strong.join(ids, "m_profile")
-    ids = ck.select("candidate_id", _profile_key(C_PROFILE).alias("profile"))
-    return ids.join(strong.select("profile", "master_id"), "profile").select("candidate_id", "master_id")
+    links = cut_lineage(strong.select("c_identity", "m_identity", "n_sites"))
+    return CompanyLinks(links, ours.select("candidate_id", "c_identity"), theirs.select("master_id", "m_identity"))
 
 
 # ------------------------------------------------------------ bounded retrieval

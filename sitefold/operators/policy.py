@@ -182,8 +182,7 @@ def resolve_all(candidates: DataFrame, master: DataFrame) -> DataFrame:
     as many as the chain has sites. ``related_records`` gives them as rows.
     """
     found = collect_matches(m.rank_all(candidates, master, 3), with_related=False)
-    # The first two records of each master profile are enough to know whether there are several.
-    related = m.same_company_pairs(candidates, master, 2).groupBy("candidate_id").agg((F.count("*") >= 2).alias("has_several"))
+    related = m.company_links(candidates, master).counts().select("candidate_id", (F.col("n_sites") >= 2).alias("has_several"))
     rows = (
         candidates.select(F.col("id").alias("candidate_id"), "site_type")
         .join(found, "candidate_id", "left")
@@ -195,10 +194,13 @@ def resolve_all(candidates: DataFrame, master: DataFrame) -> DataFrame:
 
 
 def related_records(decided: DataFrame, candidates: DataFrame, master: DataFrame) -> DataFrame:
-    """(candidate_id, related_id) for new branches and headquarters, matched record excluded."""
+    """(candidate_id, related_id) for new branches and headquarters, matched record excluded.
+
+    One row per site of the chain; ``matching.company_links`` holds the same in factors, which grow with companies only.
+    """
     wanted = decided.where(F.col("situation").isin("branch", "hq")).select("candidate_id", "matched_id")
     return (
-        m.same_company_pairs(candidates.join(wanted, F.col("id") == wanted.candidate_id, "left_semi"), master)
+        m.company_links(candidates, master).pairs(wanted)
         .join(wanted, "candidate_id")
         .where(F.col("master_id") != F.col("matched_id"))
         .select("candidate_id", F.col("master_id").alias("related_id"))

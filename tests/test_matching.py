@@ -146,3 +146,18 @@ def test_no_master_rows(spark):
     assert (r.outcome, r.reasons, r.decision_confidence, r.match_score, r.match_classification) == (
         "likely_new_company", ["no_existing_locations_to_compare"], 1.0, 0.0, "likely_new")
     assert r.match_reasons == ["no comparison records available"]
+
+
+def test_a_chain_is_one_link_however_many_sites_it_has(spark):
+    rows = [(i, f"rec-{i:03d}", "Loom And Spindle", f"{i} Weft Rd", f"Town {i % 7}", "OR", None, None, None, None, "DIRE") for i in range(300)]
+    rows += [(900, "rec-900", "Unheard Of Yarns", None, None, None, None, None, None, None, "DIRE"), (901, "rec-901", None, None, None, None, None, None, None, None, None)]
+    m = spark.createDataFrame(rows, MASTER)
+    c = candidate_frame(spark, [(i, name, *[None] * 8) for i, name in (("a", "Loom and Spindle Inc"), ("b", "LOOM  AND SPINDLE"), ("c", "Quite Another"), ("d", None))])
+    found = matching.company_links(c, m)
+    assert found.links.count() <= 2 and found.links.agg(F.max("n_sites")).first()[0] == 300
+    counts = {r.candidate_id: r.n_sites for r in found.counts().collect()}
+    assert counts["a"] == 300 and "c" not in counts and "d" not in counts
+    one = found.pairs(c.where("id = 'a'").select(F.col("id").alias("candidate_id")))
+    assert one.count() == 300 == one.select("master_id").distinct().count()
+    assert found.pairs().count() == sum(counts.values())
+    assert matching.company_links(c, m.limit(0)).counts().count() == 0
