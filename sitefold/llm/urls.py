@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from sitefold.llm import common as C
 
 # The base rules (host, path, verdict).
-RULES = (("org", "/", "allow"), ("example.org", "/es/", "block"), ("example.org", "/en/1", "allow"), ("com", "/fr/", "allow"), ("com", "/de/", "block"))
+RULES = (("org", "/", "allow"), ("example.org", "/es/", "block"), ("example.org", "/en/1", "block"), ("com", "/fr/", "allow"), ("com", "/de/", "block"))
 BAD = "=bad"
 
 
