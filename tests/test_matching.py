@@ -161,3 +161,20 @@ def test_a_chain_is_one_link_however_many_sites_it_has(spark):
     assert one.count() == 300 == one.select("master_id").distinct().count()
     assert found.pairs().count() == sum(counts.values())
     assert matching.company_links(c, m.limit(0)).counts().count() == 0
+
+
+def test_a_block_of_many_similar_names_is_merged_from_its_first_records(spark):
+    """60 similar names with 30 records each in one ZIP: the first records of all, as one list per candidate and signal."""
+    names = [f"alder optics {a}{b}" for a in "abcdef" for b in "klmnpqrstu"]
+    rng = random.Random(3)
+    owners = [n for n in names for _ in range(30)]
+    rng.shuffle(owners)
+    m = spark.createDataFrame([(i, f"mst-{i:04d}", n, None, None, None, "75001", None, None, None, "DIRE") for i, n in enumerate(owners)], MASTER)
+    c = candidate_frame(spark, [(f"loc-{i}", n, None, None, None, None, None, "75001", None, None) for i, n in enumerate([*names[:4], "alder", "unheard of"])])
+    ck, mk = matching.candidate_keys(c), matching.master_keys(m, "k")
+    for cap in (1, 7, 26):
+        got = {r.candidate_id: [h.master_id for h in r.hits] for r in matching.similar_key_lists(ck, mk, cap).collect()}
+        near = {f"loc-{i}": [f"mst-{k:04d}" for k, o in enumerate(owners) if plain_dice(n, o) >= 0.55][:cap] for i, n in enumerate([*names[:4], "alder", "unheard of"])}
+        assert got == {k: v for k, v in near.items() if v}
+    edges = spark.createDataFrame([], "edge_seq bigint, parent_id string, child_id string")
+    assert "b21" not in matching.rank_retrieved(c, m, edges, "k")._jdf.queryExecution().optimizedPlan().toString()  # no bit sets cross the pairs' shuffle
