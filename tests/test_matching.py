@@ -6,7 +6,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from sitefold.operators import matching, policy
+from sitefold.operators import matching, policy, tables
 from sitefold.operators.similarity import similar_values
 from sitefold.plans.queue import score_candidates
 from sitefold.schemas import as_candidates
@@ -178,3 +178,13 @@ def test_a_block_of_many_similar_names_is_merged_from_its_first_records(spark):
         assert got == {k: v for k, v in near.items() if v}
     edges = spark.createDataFrame([], "edge_seq bigint, parent_id string, child_id string")
     assert "b21" not in matching.rank_retrieved(c, m, edges, "k")._jdf.queryExecution().optimizedPlan().toString()  # no bit sets cross the pairs' shuffle
+
+
+def test_the_queue_view_broadcasts_no_master(spark, tmp_path):
+    c, m = frames(spark, *random_world(4, 10, 30))
+    m.write.parquet(str(tmp_path / "m"))
+    q = score_candidates(c, m, None, "k", mode="retrieved").withColumn("review_status", F.lit("pending"))
+    q.write.parquet(str(tmp_path / "q"))
+    view = tables.queue_view(spark.read.parquet(str(tmp_path / "q")), c, spark.read.parquet(str(tmp_path / "m")))
+    assert "Broadcast" not in view._jdf.queryExecution().executedPlan().toString()
+    assert view.count() == 10 and view.where("company_name = '(unknown)'").count() == 0
