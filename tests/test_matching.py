@@ -188,3 +188,25 @@ def test_the_queue_view_broadcasts_no_master(spark, tmp_path):
     view = tables.queue_view(spark.read.parquet(str(tmp_path / "q")), c, spark.read.parquet(str(tmp_path / "m")))
     assert "Broadcast" not in view._jdf.queryExecution().executedPlan().toString()
     assert view.count() == 10 and view.where("company_name = '(unknown)'").count() == 0
+
+
+def test_company_links_do_not_grow_with_pairs_of_identities(spark):
+    """One name on 40 domains: 1,600 pairs of identities are one link; counts and pairs as by comparing all."""
+    rng = random.Random(12)
+    names = ["alder optics", "alder optics two", "alder optic", "birch media", None]
+    one = lambda: (rng.choice(names), rng.choice([None, "a.example", "b.example"]), rng.choice([None, "0001", "0002"]))
+    theirs, ours = [one() for _ in range(80)], [one() for _ in range(40)]
+    m = spark.createDataFrame([(i, f"rec-{i:03d}", n, None, None, None, None, None, w, s, "DIRE") for i, (n, w, s) in enumerate(theirs)], MASTER)
+    c = candidate_frame(spark, [(f"c{i}", n, w, s, *[None] * 6) for i, (n, w, s) in enumerate(ours)])
+    want = set()
+    for (i, x), (k, y) in itertools.product(enumerate(ours), enumerate(theirs)):
+        name = plain_dice(x[0], y[0]) if x[0] and y[0] else 0
+        if name >= 0.85 or (name >= 0.7 and any(x[j] and x[j] == y[j] for j in (1, 2))):
+            want.add((f"c{i}", f"rec-{k:03d}"))
+    found = matching.company_links(c, m)
+    rows = [tuple(r) for r in found.pairs().collect()]
+    assert len(rows) == len(want) and set(rows) == want
+    assert {r.candidate_id: r.n_sites for r in found.counts().collect()} == {x: sum(1 for w in want if w[0] == x) for x, _ in want}
+    wide = lambda n: [(i, f"rec-{i:03d}", "alder optics", None, None, None, None, None, f"w{i}.example", None, "DIRE") for i in range(n)]
+    c = candidate_frame(spark, [(f"c{i}", "alder optics", f"v{i}.example", *[None] * 7) for i in range(40)])
+    assert matching.company_links(c, spark.createDataFrame(wide(40), MASTER)).links.count() == 1
