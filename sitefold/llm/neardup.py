@@ -7,7 +7,7 @@ from collections.abc import Iterator
 from pyspark.sql import DataFrame, Window as W, functions as F
 
 from sitefold.llm import common as C
-from sitefold.llm.sets import Shingler, components, in_cells, may_link, sketch_of, sketches, strongest, unlike_sets, verified
+from sitefold.llm.sets import Shingler, components, given, in_cells, may_link, settled, sketch_of, sketches, unlike_sets, verified
 
 SHINGLE = 5
 #: Sorted orders of the forest, and signature components of each: the depth of its tree.
@@ -205,7 +205,7 @@ def unsettled(low: DataFrame, nodes: DataFrame, placed: DataFrame, percent: int
 
 
 def crossing(texts: DataFrame, open_: DataFrame, nodes: DataFrame, percent: int = 75) -> DataFrame:
-    """Where links between components can be: key, node, n, sketch, for the nodes of ``open_`` (node, c), from their whole texts.
+    """Where links between components can be: key and node, for the nodes of ``open_`` (node, c), from their whole texts.
 
     A link's common shingles all occur in two components, so of each set only those count, the rarest first. A set that has fewer of them
     than a partner must share has no partner, and otherwise the first common one is among its first ``x - least + 1`` of x: these are the keys.
@@ -231,49 +231,43 @@ def crossing(texts: DataFrame, open_: DataFrame, nodes: DataFrame, percent: int
     own = W.partitionBy("node")
     rows = rows.select("node", "c", "n", "h", F.count("*").over(own).alias("x"), F.row_number().over(own.orderBy("df", "h")).alias("place"))
     least = F.ceil(F.lit(percent) * F.col("n") / 100)
-    rows = C.written(rows.where((F.col("x") >= least) & (F.col("place") <= F.col("x") - least + 1)).select("node", "c", "n", "h"), "prefixes")
-    keyed = rows.select("node", "c", "n", F.col("h").alias("key"))
+    rows = C.written(rows.where((F.col("x") >= least) & (F.col("place") <= F.col("x") - least + 1)).select("node", "c", "h"), "prefixes")
+    keyed = rows.select("node", "c", F.col("h").alias("key"))
     meet = keyed.groupBy("key").agg(F.min("c").alias("lo"), F.max("c").alias("hi")).where("lo < hi").select("key")
-    return C.written(keyed.join(meet.hint("merge"), "key").join(nodes.select("node", "sketch").hint("merge"), "node").select("key", "node", "n", "sketch"), "crossing")
+    return C.written(keyed.join(meet.hint("merge"), "key").select("key", "node"), "crossing")
 
 
-def sketched_pairs(members: DataFrame, percent: int = 75, block: int = BLOCK, best: bool = False) -> DataFrame:
-    """Pairs (a, b) of different components whose sketches allow a link, from (key, node, c, n, sketch): others never become rows.
+def sketched_pairs(members: DataFrame, nodes: DataFrame, percent: int = 75, block: int = BLOCK, best: bool = False) -> DataFrame:
+    """Pairs (a, b, unlike, cut) of different components whose sketches allow a link, of members (key, node, c): others never become rows.
 
-    With ``best``, a member of a key of more than a few keeps only its least unlike partner there.
+    ``nodes`` holds node, n and sketch. With ``best``, a key of many pairs gives only each member's least unlike partner, and ``cut`` names it.
     """
     def joined(low: list[tuple], high: list[tuple] | None) -> Iterator:
         import numpy as np
-        import pyarrow as pa
 
         both = low + (high or [])
         if len(low) * len(high or low) <= FEW:
-            pairs = [(x, y) for k, x in enumerate(low) for y in (high or low[k + 1 :]) if x[1] != y[1] and unlike_sets(x[2], x[3], y[2], y[3], percent) is not None]
+            pairs = [(x[0], y[0], unlike_sets(x[2], x[3], y[2], y[3], percent), x[2] + y[2]) for k, x in enumerate(low) for y in (high or low[k + 1 :]) if x[1] != y[1]]
+            pairs = [(min(x, y), max(x, y), differ / n) for x, y, differ, n in pairs if differ is not None]
             if pairs:
-                yield pa.RecordBatch.from_pydict({"a": [min(x[0], y[0]) for x, y in pairs], "b": [max(x[0], y[0]) for x, y in pairs]})
+                yield *zip(*pairs, strict=True), False
             return
         node, c, n = (np.array([r[k] for r in both], np.int64) for k in range(3))
         words = sketches([(r[2], r[3]) for r in both])
         split = len(low) if high else 0
-        found = []
-        for at in range(0, len(low), 256):
-            mine, others = slice(at, min(at + 256, len(low))), slice(split, None)
-            i, j = np.nonzero(may_link(words[mine], n[mine], words[others], n[others], percent) & (c[mine][:, None] != c[others][None, :]))
-            i, j = i + at, j + split
-            if best and len(i):
-                unlike = np.bitwise_count(words[i] ^ words[j]).sum(1, dtype=np.int64) / (n[i] + n[j])
-                keep = strongest(i, j, unlike)
-                found.append((i[keep], j[keep], unlike[keep]))
-            elif len(i):
-                pairs = np.unique(np.stack([np.minimum(node[i], node[j]), np.maximum(node[i], node[j])]), axis=1)
-                yield pa.RecordBatch.from_pydict({"a": pairs[0], "b": pairs[1]})
-        if found:
-            i, j, unlike = (np.concatenate(x) for x in zip(*found, strict=True))
-            keep = strongest(i, j, unlike)
-            x, y = node[i[keep]], node[j[keep]]
-            yield pa.RecordBatch.from_pydict({"a": np.minimum(x, y), "b": np.maximum(x, y)})
-
-    return in_cells(members.withColumnRenamed("sketch", "brief"), block, joined)
+
+        def allowed() -> Iterator:
+            for at in range(0, len(low), 256):
+                mine, others = slice(at, min(at + 256, len(low))), slice(split, None)
+                i, j = np.nonzero(may_link(words[mine], n[mine], words[others], n[others], percent) & (c[mine][:, None] != c[others][None, :]))
+                i, j = i + at, j + split
+                if not high:
+                    i, j = i[i < j], j[i < j]
+                yield node[i], node[j], np.bitwise_count(words[i] ^ words[j]).sum(1, dtype=np.int64) / (n[i] + n[j])
+
+        yield from given(allowed(), len(both), best)
+
+    return in_cells(members, nodes.select("node", "n", F.col("sketch").alias("brief")), block, joined)
 
 
 def cluster(docs: DataFrame, *, percent: int = 75, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
@@ -330,17 +324,8 @@ def cluster(docs: DataFrame, *, percent: int = 75, id_column: str = "doc_id", te
     placed = C.written(nodes.select("node").join(joined.withColumnRenamed("id", "node"), "node", "left").select("node", F.coalesce("component", "node").alias("c")), "placed")
     open_ = C.written(unsettled(low, nodes, placed, percent), "unsettled")
     texts = texts_of(open_.select("node"))
-    members, tried = crossing(texts, open_, nodes, percent), pairs.select("a", "b")
-    # First each node's least unlike partner, then every pair that is still between components.
-    for best in (True, False):
-        stars = joined.where("id <> component").select(F.col("id").alias("a"), F.col("component").alias("b"))
-        at = members.join(joined.withColumnRenamed("id", "node").hint("merge"), "node", "left").withColumn("c", F.coalesce("component", "node"))
-        more = C.written(sketched_pairs(at, percent, best=best).join(tried, ["a", "b"], "left_anti"), "pairs")
-        if more.isEmpty():
-            continue
-        tried, last = tried.unionByName(more), C.written(verified(more, texts, SHINGLE, percent).distinct(), "links")
-        if not last.isEmpty():
-            joined = C.written(components(stars.unionByName(last)), "components")
+    members = crossing(texts, open_, nodes, percent)
+    joined = settled(members, joined, pairs.select("a", "b"), texts, lambda placed, best: sketched_pairs(placed, nodes, percent, best=best), SHINGLE, percent)
     placed = classes.select("digest", "doc_id", "node").join(joined.withColumnRenamed("id", "node"), "node", "left").select(
         "digest", F.col("doc_id").alias("first"), F.coalesce("component", "node").alias("c"))
     smallest = placed.groupBy("c").agg(F.min("first").alias("component"))

@@ -8,7 +8,7 @@ from collections.abc import Iterator
 from pyspark.sql import DataFrame, functions as F
 
 from sitefold.llm import common as C
-from sitefold.llm.sets import Shingler, components, counts_of, in_cells, kind, point_of, sketch_of, sketches, spread, strongest, verified
+from sitefold.llm.sets import Shingler, components, counts_of, given, in_cells, kind, point_of, settled, sketch_of, sketches, spread, verified
 
 #: Words of a shingle, and the least similarity in percent.
 SHINGLE, PERCENT = 3, 90
@@ -177,16 +177,16 @@ def measured(docs: DataFrame, k: int = SHINGLE, percent: int = PERCENT) -> DataF
     return docs.mapInArrow(rows, C.schema(doc_id="long", th="long", n="long", digest="binary", point="binary", sketch="binary", branches="array<bigint>"))
 
 
-def tree_joined(members: DataFrame, percent: int = PERCENT, block: int = BLOCK, best: bool = False) -> DataFrame:
-    """Pairs (a, b) with a < b of different components that the trees' bounds allow, from (key, node, c, n, point, sketch).
+def tree_joined(members: DataFrame, nodes: DataFrame, percent: int = PERCENT, block: int = BLOCK, best: bool = False) -> DataFrame:
+    """Pairs (a, b, unlike, cut) with a < b of different components that the trees' bounds allow, of members (key, node, c); ``nodes`` holds node, n, point and sketch.
 
     Each branch of the first level is a tree of its own. A branch of more than ``block`` members is dealt into blocks, each with its
     tree, and every two blocks meet in a cell of their own: no task holds more than two blocks. Pairs that a tree leaves are held against
-    their sets' parities, which bound what the sets differ in. With ``best``, a member keeps only its least unlike partner in each cell.
+    their sets' parities, which bound what the sets differ in. With ``best``, a cell of many pairs gives only each member's least unlike partner,
+    and ``cut`` names its key.
     """
     def joined(low: list[tuple], high: list[tuple] | None) -> Iterator:
         import numpy as np
-        import pyarrow as pa
 
         width = min(spread(n) for _, _, n, _ in low + (high or []))
         cut = [spread(n) * np.dtype(kind(n)).itemsize for _, _, n, _ in low + (high or [])]
@@ -199,24 +199,19 @@ def tree_joined(members: DataFrame, percent: int = PERCENT, block: int = BLOCK,
         ids_a, comp_a, size_a, a = tree(low)
         ids_b, comp_b, size_b, b = tree(high) if high else (ids_a, comp_a, size_a, a)
         words_a, words_b = words[: len(low)], words[len(low) :] if high else words
-        kept = []
-        for i, j in tree_pairs(a, b, percent, not high):
-            apart = comp_a[i] != comp_b[j]
-            i, j = i[apart], j[apart]
-            differ = np.bitwise_count(words_a[i] ^ words_b[j]).sum(1, dtype=np.int64)
-            both = size_a[i] + size_b[j]
-            good = (100 + percent) * differ <= (100 - percent) * both
-            x, y = ids_a[i[good]], ids_b[j[good]]
-            if len(x) and best:
-                kept.append((x, y, differ[good] / both[good]))
-            elif len(x):
-                yield pa.RecordBatch.from_pydict({"a": np.minimum(x, y), "b": np.maximum(x, y)})
-        if kept:
-            x, y, unlike = (np.concatenate(c) for c in zip(*kept, strict=True))
-            at = strongest(x, y, unlike)
-            yield pa.RecordBatch.from_pydict({"a": np.minimum(x[at], y[at]), "b": np.maximum(x[at], y[at])})
-
-    return in_cells(members.withColumn("brief", F.concat("point", "sketch")), block, joined)
+
+        def allowed() -> Iterator:
+            for i, j in tree_pairs(a, b, percent, not high):
+                apart = comp_a[i] != comp_b[j]
+                i, j = i[apart], j[apart]
+                differ = np.bitwise_count(words_a[i] ^ words_b[j]).sum(1, dtype=np.int64)
+                both = size_a[i] + size_b[j]
+                good = (100 + percent) * differ <= (100 - percent) * both
+                yield ids_a[i[good]], ids_b[j[good]], differ[good] / both[good]
+
+        yield from given(allowed(), len(low) + len(high or ()), best)
+
+    return in_cells(members, nodes.select("node", "n", F.concat("point", "sketch").alias("brief")), block, joined)
 
 
 def cluster(docs: DataFrame, *, k: int = SHINGLE, percent: int = PERCENT, block: int = BLOCK, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
@@ -228,8 +223,9 @@ def cluster(docs: DataFrame, *, k: int = SHINGLE, percent: int = PERCENT, block:
     groups, of which linked sets have one in common (``branch_keys``), and below it each branch is a packed tree of boxes (``tree_joined``).
 
     Equal sets are one node at once. Each node is first compared with the smallest node of the branches it shares most often, which settles
-    groups of near copies in one comparison a member. Only branches that still hold several components are searched by their trees, first
-    for each node's best partner, then for all; pairs whose bounds allow a link are verified on the full sets. Components are those of all links.
+    groups of near copies in one comparison a member. Only branches that still hold several components are searched by their trees: once, if
+    their pairs are few, else first for each node's best partner, then for all. Pairs whose bounds allow a link are verified on the full sets.
+    Components are those of all links.
 
     ``component_id`` is the smallest id that links reach, itself included. Null and empty texts, and texts without words, have no shingles
     and are linked with nothing; rows without an id take no part and have a null component. Rows that repeat an id are each taken for
@@ -255,21 +251,8 @@ def cluster(docs: DataFrame, *, k: int = SHINGLE, percent: int = PERCENT, block:
     links = C.written(verified(tried, texts, k, percent).distinct(), "links")
     joined = C.written(components(links), "components")
 
-    # Then each node's least unlike partner in another component, twice, and at last every pair that is left.
-    for best in (True, True, False):
-        placed = members.select("key", "node").join(joined.withColumnRenamed("id", "node"), "node", "left").select("key", "node", F.coalesce("component", "node").alias("c"))
-        placed = C.written(placed, "placed")
-        several = placed.groupBy("key").agg(F.min("c").alias("lo"), F.max("c").alias("hi")).where("lo < hi").select("key")
-        open_ = placed.join(several.hint("merge"), "key").join(classes.select("node", "n", "point", "sketch").hint("merge"), "node")
-        pairs = C.written(tree_joined(open_, percent, block, best).join(tried, ["a", "b"], "left_anti"), "pairs")
-        if pairs.isEmpty():
-            continue
-        tried, more = tried.unionByName(pairs), C.written(verified(pairs, texts, k, percent).distinct(), "links")
-        if not more.isEmpty():
-            # The components so far are stars already.
-            stars = joined.where("id <> component").select(F.col("id").alias("a"), F.col("component").alias("b"))
-            joined = C.written(components(stars.unionByName(more)), "components")
-    of_node = joined
+    # Then what the trees find in branches that still hold several components.
+    of_node = settled(members.select("key", "node"), joined, tried, texts, lambda placed, best: tree_joined(placed, classes, percent, block, best), k, percent)
 
     named = classes.select("digest", "doc_id", "node").join(of_node.withColumnRenamed("id", "node"), "node", "left").select(
         "digest", F.col("doc_id").alias("first"), F.coalesce("component", "node").alias("c"))

@@ -128,20 +128,29 @@ def sketches(rows: list[tuple[int, bytes]]):
     return np.stack([np.bitwise_xor.reduce(np.frombuffer(x, "<u8").reshape(-1, width), axis=0) for _, x in rows])
 
 
-def in_cells(members: DataFrame, block: int, joined) -> DataFrame:
-    """Pairs (a, b) with a < b that ``joined`` finds among the members (key, node, c, n, brief) of each key.
+#: Pairs a member that one cell gives in full; a cell of more gives each member's best one first.
+GIVEN = 8
+
+
+def in_cells(members: DataFrame, nodes: DataFrame, block: int, joined) -> DataFrame:
+    """Pairs (a, b, unlike, cut) with a < b that ``joined`` finds among the members (key, node, c) of each key; ``nodes`` holds node, n and brief.
 
     A key of more than ``block`` members is dealt into blocks, and every two blocks meet in a cell of their own, so that no task
-    holds more than two blocks. ``joined(low, high)`` gets lists of (node, c, n, brief); ``high`` is None for a block and itself.
+    holds more than two blocks. Briefs join the cells, after all that needs keys only, so they travel once. ``joined(low, high)`` gets lists of
+    (node, c, n, brief), ``high`` being None for a block and itself, and gives (a, b, unlike, whether the cell has more pairs); ``cut`` is
+    the key of a cell that has more, else null.
     """
     def cells(batches: Iterator) -> Iterator:
+        import pyarrow as pa
+        import pyarrow.compute as pc
+
         at, low, high = None, [], []
 
         def found() -> Iterator:
-            if at[1] == at[2]:
-                yield from joined(low, None) if len(low) > 1 else ()
-            elif low and high:
-                yield from joined(low, high)
+            parts = (joined(low, None) if len(low) > 1 else ()) if at[1] == at[2] else joined(low, high) if low and high else ()
+            for a, b, unlike, more in parts:
+                key = pa.repeat(pa.scalar(at[0] if more else None, pa.int64()), len(a))
+                yield pa.RecordBatch.from_arrays([*(pc.cast(pa.array(x), t) for x, t in ((a, pa.int64()), (b, pa.int64()), (unlike, pa.float64()))), key], names=["a", "b", "unlike", "cut"])
 
         for key, x, y, upper, *member in C.rows_of(batches, "key", "x", "y", "upper", "node", "c", "n", "brief"):
             if (key, x, y) != at:
@@ -154,11 +163,66 @@ def in_cells(members: DataFrame, block: int, joined) -> DataFrame:
 
     sizes = members.groupBy("key").agg(F.ceil(F.count("*") / block).alias("blocks"))
     own = F.pmod(F.xxhash64("node"), "blocks").alias("own")
-    dealt = members.join(sizes, "key").select("key", "node", "c", "n", "brief", "blocks", own)
+    dealt = members.join(sizes, "key").select("key", "node", "c", "blocks", own)
     other = F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)).alias("other")
-    cell = dealt.select("*", other).select("key", F.least("own", "other").alias("x"), F.greatest("own", "other").alias("y"), (F.col("own") > F.col("other")).alias("upper"), "node", "c", "n", "brief")
-    placed = cell.repartition("key", "x", "y").sortWithinPartitions("key", "x", "y")
-    return placed.mapInArrow(cells, C.schema(a="long", b="long")).distinct()
+    cell = dealt.select("*", other).select("key", F.least("own", "other").alias("x"), F.greatest("own", "other").alias("y"), (F.col("own") > F.col("other")).alias("upper"), "node", "c")
+    placed = cell.join(nodes.hint("merge"), "node").repartition("key", "x", "y").sortWithinPartitions("key", "x", "y")
+    return placed.mapInArrow(cells, C.schema(a="long", b="long", unlike="double", cut="long"))
+
+
+def given(parts, members: int, best: bool) -> Iterator[tuple]:
+    """A cell's pairs from its ``parts`` (x, y, unlike), as ``in_cells`` takes them: with ``best``, of more than GIVEN a member only the strongest."""
+    import numpy as np
+
+    kept, held = [], 0
+    for x, y, unlike in parts:
+        if not len(x):
+            continue
+        x, y = np.minimum(x, y), np.maximum(x, y)
+        if not best:
+            yield x, y, unlike, False
+            continue
+        kept, held = [*kept, (x, y, unlike)], held + len(x)
+    if kept:
+        x, y, unlike = (np.concatenate(c) for c in zip(*kept, strict=True))
+        more = held > GIVEN * members
+        at = strongest(x, y, unlike) if more else slice(None)
+        yield x[at], y[at], unlike[at], more
+
+
+def settled(members: DataFrame, joined: DataFrame, tried: DataFrame, texts: DataFrame, search, k: int, percent: int) -> DataFrame:
+    """id, component of all links: those of ``joined``, and what ``search`` finds between its components but ``tried`` has not.
+
+    ``members`` holds key and node; ``search(placed, best)`` gives the pairs (a, b, unlike, cut) of members (key, node, c). Each node's least unlike
+    partner is verified first, then what is still between components. Only keys that were cut are searched again.
+    """
+    def placed(rows: DataFrame, node: str, c: str) -> DataFrame:
+        own = joined.select(F.col("id").alias(node), "component")
+        return rows.join(own, node, "left").withColumn(c, F.coalesce("component", node)).drop("component")
+
+    for best in (True, True, False):
+        at = C.written(placed(members, "node", "c").select("key", "node", "c"), "placed")
+        several = at.groupBy("key").agg(F.min("c").alias("lo"), F.max("c").alias("hi")).where("lo < hi").select("key")
+        found = C.written(search(at.join(several.hint("merge"), "key"), best), "found")
+        fresh = C.written(found.groupBy("a", "b").agg(F.min("unlike").alias("unlike")).join(tried, ["a", "b"], "left_anti"), "pairs")
+        if not fresh.isEmpty():
+            either = fresh.select(F.col("a").alias("id"), "*").unionByName(fresh.select(F.col("b").alias("id"), "*"))
+            first = either.groupBy("id").agg(F.min(F.struct("unlike", "a", "b")).alias("x")).select("x.a", "x.b").distinct()
+            for step in (0, 1):
+                rest = first if step == 0 else placed(placed(fresh, "a", "ca"), "b", "cb").where("ca <> cb").select("a", "b").join(tried, ["a", "b"], "left_anti")
+                pairs = C.written(rest, "pairs")
+                if pairs.isEmpty():
+                    continue
+                tried, links = tried.unionByName(pairs), C.written(verified(pairs, texts, k, percent).distinct(), "links")
+                if not links.isEmpty():
+                    # The components so far are stars already.
+                    stars = joined.where("id <> component").select(F.col("id").alias("a"), F.col("component").alias("b"))
+                    joined = C.written(components(stars.unionByName(links)), "components")
+        cut = C.written(found.where("cut is not null").select(F.col("cut").alias("key")).distinct(), "cut")
+        if cut.isEmpty():
+            break
+        members = members.join(cut.hint("merge"), "key", "left_semi")
+    return joined
 
 
 def verified(pairs: DataFrame, texts: DataFrame, k: int, percent: int, most: int = 512) -> DataFrame:

@@ -275,3 +275,33 @@ def test_sketches_bound_what_sets_differ_in():
             many = sets.may_link(words[:1], np.array([n]), words[1:], np.array([m]), percent)[0, 0]
             assert (one is not None) == many and (many or not linked)
             assert one is None or one <= n + m - 2 * shared
+
+
+def test_only_cut_branches_are_searched_again(spark):
+    import numpy as np
+
+    from sitefold.llm import sets
+
+    x, y = np.triu_indices(30, 1)
+    parts = [(x, y, np.ones(len(x)))]
+    (a, b, _, more), = sets.given(parts, 30, True)
+    assert more and 0 < len(a) < len(x)
+    (a, b, _, more), = sets.given([(x[:200], y[:200], np.ones(200))], 30, True)
+    assert not more and len(a) == 200
+    (a, b, _, more), = sets.given(parts, 30, False)
+    assert not more and len(a) == len(x)
+
+    texts = spark.createDataFrame([(n, prose(n // 2, 40)) for n in range(8)], "node long, text string")
+    members = spark.createDataFrame([(key, n) for n in range(8) for key in (n // 2, 10 + n // 4)], "key long, node long")
+    none = spark.createDataFrame([], "a long, b long")
+    asked = []
+
+    def search(placed, best):
+        asked.append((best, sorted({r.key for r in placed.collect()})))
+        left, right = placed.select("key", F.col("node").alias("a"), F.col("c").alias("ca")), placed.select("key", F.col("node").alias("b"), F.col("c").alias("cb"))
+        cut = F.when(F.col("key").isin(10) & F.lit(best), F.col("key"))
+        return left.join(right, "key").where("a < b and ca <> cb").select("a", "b", F.lit(0.0).alias("unlike"), cut.alias("cut"))
+
+    got = sets.settled(members, spark.createDataFrame([], "id long, component long"), none, texts, search, 3, 90)
+    assert asked == [(True, [0, 1, 2, 3, 10, 11]), (True, [10]), (False, [10])]
+    assert {tuple(r) for r in got.collect()} == {(n, n // 2 * 2) for n in range(8)}
