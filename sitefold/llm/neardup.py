@@ -305,7 +305,10 @@ def cluster(docs: DataFrame, *, percent: int = 75, id_column: str = "doc_id", te
 
     found = candidates(nodes.select(F.col("node").alias("doc_id"), "sig"))
     pairs = C.written(bounded(found, nodes, percent), "pairs")
-    texts = texts_of(pairs.select(F.col("a").alias("node")).unionByName(pairs.select(F.col("b").alias("node"))).distinct())
+    # One pass fetches all texts that may be looked at: the ends of pairs, and nodes with so many shared hashes that they may end up unsettled.
+    least = F.ceil(F.lit(percent) * F.col("n") / 100)
+    shared = low.groupBy("node").agg(F.count("*").alias("m")).join(nodes.select("node", "n"), "node").where(F.col("m") > F.floor(least / MORE)).select("node")
+    texts = texts_of(pairs.select(F.col("a").alias("node")).unionByName(pairs.select(F.col("b").alias("node"))).unionByName(shared).distinct())
 
     # First the best pair of each node, then what lies between components.
     either = pairs.select(F.col("a").alias("id"), "a", "b", "e").unionByName(pairs.select(F.col("b").alias("id"), "a", "b", "e"))
@@ -323,7 +326,6 @@ def cluster(docs: DataFrame, *, percent: int = 75, id_column: str = "doc_id", te
     # What the forest's bounds left out: all links between components, on the texts that may have one.
     placed = C.written(nodes.select("node").join(joined.withColumnRenamed("id", "node"), "node", "left").select("node", F.coalesce("component", "node").alias("c")), "placed")
     open_ = C.written(unsettled(low, nodes, placed, percent), "unsettled")
-    texts = texts_of(open_.select("node"))
     members = crossing(texts, open_, nodes, percent)
     joined = settled(members, joined, pairs.select("a", "b"), texts, lambda placed, best: sketched_pairs(placed, nodes, percent, best=best), SHINGLE, percent)
     placed = classes.select("digest", "doc_id", "node").join(joined.withColumnRenamed("id", "node"), "node", "left").select(
