@@ -64,8 +64,12 @@ def run_source(spark: SparkSession, root: str, run_id: str, source_id: str, sour
         seen = drafts.agg(F.count("*").alias("raw"), F.count_if(F.col("reject_reason").isNull()).alias("valid")).first()
         counts |= {"raw_count": seen["raw"], "valid_count": seen["valid"], "skipped_count": seen["raw"] - seen["valid"]}
         result = batch.ingest(drafts, known_observations(spark, root, run_id), run_id, row["started_at"])
-        for name in ("candidates", "identities", "skipped", "ledger_rows"):
-            getattr(result, name).write.mode("overwrite").parquet(f"{root}/{name}/run={run_id}")
+        result.candidates.write.mode("overwrite").parquet(f"{root}/candidates/run={run_id}")
+        # The drafts are grouped once: what else is new is read off the candidates written.
+        new = spark.read.schema(result.candidates.schema).parquet(f"{root}/candidates/run={run_id}")
+        rest = {"identities": new.select("company.*"), "skipped": result.skipped, "ledger_rows": batch.ledger_of(new, run_id, row["started_at"])}
+        for name, rows in rest.items():
+            rows.write.mode("overwrite").parquet(f"{root}/{name}/run={run_id}")
         fresh = spark.read.parquet(f"{root}/ledger_rows/run={run_id}").count()
         counts |= {"new_candidate_count": fresh, "already_ingested_count": seen["valid"] - fresh}
         end = {"status": "success"}

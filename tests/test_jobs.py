@@ -367,6 +367,24 @@ def test_run_records(spark, drafts, tmp_path):
     assert spark.read.parquet(f"{root}/candidates").count() == 2 == spark.read.parquet(f"{root}/identities").count()
 
 
+def test_a_run_groups_its_drafts_once(spark, drafts, tmp_path, monkeypatch):
+    # Identities and ledger are read off the candidates written, not computed from the drafts again.
+    whole = runs.batch.ingest
+    want = whole(drafts[0], runs.known_observations(spark, str(tmp_path), "run-0"), "run-0", "t")
+
+    def candidates_alone(*args):
+        got = whole(*args)
+        got.identities = got.ledger_rows = None
+        return got
+
+    monkeypatch.setattr(runs.batch, "ingest", candidates_alone)
+    done = runs.run_source(spark, str(tmp_path), "run-0", "dfw-csv", "CSV", lambda: drafts[0], lambda: "t")
+    assert done["status"] == "success" and done["new_candidate_count"] == 2
+    for name in ("identities", "ledger_rows"):
+        kept = spark.read.parquet(f"{tmp_path}/{name}/run=run-0")
+        assert sorted(map(str, kept.collect())) == sorted(map(str, getattr(want, name).collect()))
+
+
 def test_corrections_stay_with_the_decision(spark, tmp_path):
     queue = spark.createDataFrame([("a", "pending", None)], "candidate_id string, review_status string, reviewer_note string")
     machine = ["match_classification", "matched_id", "best_id", "resolution_outcome", "publication_state"]
