@@ -487,3 +487,11 @@ def test_streamed_ledger_chains_over_batches_without_reading_the_ledger(spark, t
     }
     why = {r.event_id: r.reject_reason for r in spark.read.parquet(str(tmp_path / "out/rejected")).collect()}
     assert why == {2: "queue and ledger disagree", 3: "no review queue row", 7: "record id required", 9: "queue and ledger disagree"}
+
+
+def test_larger_tables_are_more_csv_files(spark):
+    from oracle import queries
+
+    path = queries._as_csv(spark.range(600_000).selectExpr("cast(id as string) as id"), "range")
+    files = spark.read.option("header", True).csv(path).groupBy(F.input_file_name()).count().collect()
+    assert sum(r["count"] for r in files) == 600_000 and max(r["count"] for r in files) <= 100_000
