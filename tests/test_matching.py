@@ -103,6 +103,31 @@ def test_rank_does_not_depend_on_input_order(spark):
     assert sorted(map(tuple, a)) == sorted(map(tuple, b))
 
 
+def test_rank_all_makes_few_rows_where_all_addresses_are_alike(spark, monkeypatch):
+    masters = [{"id": f"mst-{i:04d}", "name": f"alder {i % 40} optics", "street": f"{100 + i * 37 % 9000} elm {'st' if i % 2 else 'rd'}", "phone": "", "web": ""} for i in range(2000)]
+    cands = [{"id": f"loc-{i:02d}", "name": "xqz vyvo", "street": masters[i * 31]["street"], "phone": "", "web": ""} for i in range(40)]
+    c, m = frames(spark, cands, masters)
+    made, score_pairs, similar_sets = [], matching.score_pairs, matching.similar_sets
+
+    def scored(pairs, *more):
+        made.append(pairs.count())
+        return score_pairs(pairs, *more)
+
+    def similar(*args, **more):
+        found = similar_sets(*args, **more)
+        made.append(found.count())
+        return found
+
+    monkeypatch.setattr(matching, "score_pairs", scored)
+    monkeypatch.setattr(matching, "similar_sets", similar)
+    got = {}
+    for r in matching.rank_all(c, m, 3).orderBy("candidate_id", "rank").collect():
+        got.setdefault(r.candidate_id, []).append(r.master_id)
+    assert got == brute_rank(cands, masters, 3)
+    # All pairs are 80,000. Many records here are equally far from a profile, and those that reach its bound are scored.
+    assert sum(made) < 40_000
+
+
 def test_hot_key_is_cut_at_the_cap(spark):
     masters = [(i, f"mst-{i:04d}", f"firm {i}", None, None, None, None, "000-000-0000", None, None, "DIRE") for i in range(60)]
     m = spark.createDataFrame(masters, MASTER)
