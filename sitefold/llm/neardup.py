@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 
-from pyspark.sql import DataFrame, Window as W, functions as F
+from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
 from sitefold.llm import common as C
 from sitefold.llm.sets import Shingler, components, given, in_cells, may_link, settled, sketch_of, sketches, unlike_sets, verified
@@ -190,6 +190,11 @@ def bounded(pairs: DataFrame, nodes: DataFrame, percent: int = 75) -> DataFrame:
     return joined.select(*columns, "na", "nb", "xa", "xb").mapInArrow(kept, pairs.schema)
 
 
+def with_facts(rows: DataFrame, **facts: Column) -> DataFrame:
+    """``rows`` with aggregates over all rows of the same ``h``. Hashes do not compress, so they are shuffled once, not for an aggregate as well."""
+    return rows.select("*", *[fact.over(W.partitionBy("h")).alias(name) for name, fact in facts.items()])
+
+
 def unsettled(low: DataFrame, nodes: DataFrame, placed: DataFrame, percent: int = 75) -> DataFrame:
     """node, c (its component): the nodes that may have a link to another component; all others have none.
 
@@ -226,8 +231,7 @@ def crossing(texts: DataFrame, open_: DataFrame, nodes: DataFrame, percent: int
     sized = open_.join(nodes.select("node", "n").hint("merge"), "node")
     rows = texts.join(sized.hint("merge"), "node").select("node", "c", "n", "text").mapInArrow(each, C.schema(node="long", c="long", n="long", h="long"))
     rows = C.written(rows, "shingles")
-    same = rows.groupBy("h").agg(F.min("c").alias("lo"), F.max("c").alias("hi"), F.count("*").alias("df")).where("lo < hi").select("h", "df")
-    rows = rows.join(same.hint("merge"), "h")
+    rows = with_facts(rows, lo=F.min("c"), hi=F.max("c"), df=F.count("*")).where("lo < hi")
     own = W.partitionBy("node")
     rows = rows.select("node", "c", "n", "h", F.count("*").over(own).alias("x"), F.row_number().over(own.orderBy("df", "h")).alias("place"))
     least = F.ceil(F.lit(percent) * F.col("n") / 100)
@@ -300,8 +304,8 @@ def cluster(docs: DataFrame, *, percent: int = 75, id_column: str = "doc_id", te
 
     # The lowest hashes that several rows have, by node: a link's ends have one in common.
     low = known.select("row", F.explode("low").alias("h"))
-    again = low.groupBy("h").agg(F.count("*").alias("rows")).where("rows > 1").select("h")
-    low = C.written(low.join(again.hint("merge"), "h").join(of_row.hint("merge"), "row").select("node", "h").distinct(), "lowest")
+    again = with_facts(low, times=F.count("*")).where("times > 1").select("row", "h")
+    low = C.written(again.join(of_row.hint("merge"), "row").select("node", "h").distinct(), "lowest")
 
     found = candidates(nodes.select(F.col("node").alias("doc_id"), "sig"))
     pairs = C.written(bounded(found, nodes, percent), "pairs")

@@ -395,6 +395,13 @@ def test_classes_like_brute_force(spark, docs):
     assert neardup.cluster(docs.limit(0)).count() == 0
 
 
+def test_hashes_are_shuffled_once(spark):
+    rows = spark.createDataFrame([(1, 5, 10), (2, 5, 10), (3, 5, 11), (4, 6, 12), (5, 7, 13), (6, 7, 13)], "node long, h long, c long")
+    got = neardup.with_facts(rows, lo=F.min("c"), hi=F.max("c"), df=F.count("*"))
+    assert sorted(map(tuple, got.where("lo < hi").select("node", "df").collect())) == [(1, 3), (2, 3), (3, 3)]
+    assert got._jdf.queryExecution().executedPlan().toString().count("Exchange hashpartitioning") == 1
+
+
 def test_groups_that_one_link_joins(spark):
     """Two groups of near copies (0.93 or more) with one link (0.76) between them: one component, however many closer partners its ends have."""
     def text(words: list[str], changes: dict[int, str]) -> str:
