@@ -6,7 +6,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from sitefold.operators import matching, policy, tables
+from sitefold.operators import evaluation, matching, policy, tables
 from sitefold.operators.similarity import similar_values
 from sitefold.plans.queue import score_candidates
 from sitefold.schemas import as_candidates
@@ -128,6 +128,18 @@ def test_rank_all_makes_few_rows_where_all_addresses_are_alike(spark, monkeypatc
     assert sum(made) < 40_000
 
 
+def test_labelled_cases_are_scored_once(spark):
+    c = candidate_frame(spark, [("loc-1", "alder optics", None, None, "1 elm st", None, None, None, None, None)])
+    cases = c.select(F.lit("set").alias("dataset_id"), F.lit("case").alias("case_id"), F.struct("company", "physical_address", "phone", "site_type").alias("candidate"),
+                     F.lit("possible_changed_location").alias("expected_outcome"), F.lit("m1").alias("expected_id"), F.lit(None).cast("string").alias("reviewer"), F.lit(None).cast("string").alias("notes"))
+    m = spark.createDataFrame([(i, f"m{i}", n, None, None, None, None, None, None, None, None) for i, n in enumerate(["birch media", "alder optics", "alder"])], MASTER)
+    found = evaluation.evaluate_cases(cases, m.withColumns({"dataset_id": F.lit("set"), "case_id": F.lit("case")}))
+    assert [(r.actual_id, r.retrieval_rank) for r in found.collect()] == [("m1", 1)]
+    # Neither a bit set nor a normalised name of the records is left to be made by the two steps that read the ranking.
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert "shiftleft" not in plan and "m_name" not in plan
+
+
 def test_hot_key_is_cut_at_the_cap(spark):
     masters = [(i, f"mst-{i:04d}", f"firm {i}", None, None, None, None, "000-000-0000", None, None, "DIRE") for i in range(60)]
     m = spark.createDataFrame(masters, MASTER)
