@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from sitefold import schemas
@@ -250,7 +250,12 @@ def canonical(path: Column, value: Column) -> Column:
     return out
 
 
-def classify_proposals(proposals: DataFrame, current: DataFrame) -> DataFrame:
+# A field is looked at in one task unless the bin that it falls into holds more proposals than this, beyond twice the mean of the bins.
+CROWDED = 1_000_000
+FIELD_BINS = 4096
+
+
+def classify_proposals(proposals: DataFrame, current: DataFrame, crowded: int = CROWDED) -> DataFrame:
     """What each proposal does to its field: adds ``merge_class``.
 
     ``proposals``: candidate_id, path_key, seq, value, source_key, derivation, is_prior
@@ -259,69 +264,124 @@ def classify_proposals(proposals: DataFrame, current: DataFrame) -> DataFrame:
 
     Going through the proposals of a field in order, each row only asks whether
     something came *before* it: the same source and value, a human confirmation,
-    another value. First positions answer that, and they are aggregates over
-    (field, source, value) that combine map-side. The proposals themselves are
-    joined once, and no field's history is gathered in one task.
+    another value. First positions answer that. The proposals are written once, dealt
+    by field and sorted once; all first positions are windows over that one order, and
+    the current values meet it as it is. A field of very many proposals is not looked
+    at in one task: such fields, found by counting hash bins, go through aggregates that
+    combine map-side (``_positions_by_joins``), with the same result.
     """
     field = ["candidate_id", "path_key"]
-    group = [*field, "source_key", "value"]
-    rows = proposals.withColumn("value", canonical(F.col("path_key"), F.coalesce("value", F.lit(""))))
+    rows = cut_lineage(proposals.withColumn("value", canonical(F.col("path_key"), F.coalesce("value", F.lit("")))))
     current = current.select(*field, canonical(F.col("path_key"), F.col("current_value")).alias("current_value"), F.lit(True).alias("_known"))
-    special = F.col("is_prior") | F.col("force_conflict")
-    human = F.col("derivation") == "human_confirmed"
-    # Written once: five later steps start from this summary, and the proposals behind it
-    # are read only twice.
+    number = F.pmod(F.xxhash64(*field), F.lit(FIELD_BINS)).cast("int")
+    sizes = rows.groupBy(number.alias("bin")).agg(F.count("*").alias("n")).collect()
+    most = crowded + 2 * sum(r["n"] for r in sizes) / FIELD_BINS
+    large = [r["bin"] for r in sizes if r["n"] > most]
+    if large:
+        placed = _positions(rows.where(~number.isin(large))).unionByName(_positions_by_joins(rows.where(number.isin(large))))
+    else:
+        placed = _positions(rows)
+    merge_class = _merge_class(F.col("seq"), F.col("_first"))
+    return placed.join(current, field, "left").select(*proposals.columns, "current_value", merge_class.alias("merge_class"))
+
+
+_POSITIONS = ("_first", "_first_any", "_lead", "_first_other", "_first_human", "_first_open")
+
+
+def _differs(at: Column) -> Column:
+    """Another value was there before position ``at``."""
+    before = F.when(F.col("value") == F.col("_lead.value"), F.col("_first_other")).otherwise(F.col("_lead._first_any"))
+    return F.coalesce(before < at, F.lit(False))
+
+
+def _confirmed(at: Column) -> Column:
+    return F.coalesce(F.col("_first_human") < at, F.lit(False))
+
+
+def _special() -> Column:
+    return F.col("is_prior") | F.col("force_conflict")
+
+
+def _human() -> Column:
+    return F.col("derivation") == "human_confirmed"
+
+
+def _positions(rows: DataFrame) -> DataFrame:
+    """First positions beside each row, from one sort by field, value and source: every window below needs a prefix of it."""
+    field = ["candidate_id", "path_key"]
+    in_group = Window.partitionBy(*field, "value", "source_key")
+    in_value, in_field = Window.partitionBy(*field, "value"), Window.partitionBy(*field)
+    seq, leads = F.col("seq"), F.col("value") == F.col("_lead.value")
+    starts = seq == F.col("_first")
+    # An open group has the first value, or starts at the same place.
+    may_open = starts & ~_special() & (leads | (seq == F.col("_lead._first_any")))
+    opened = F.col("_may_open")
+    return (
+        rows.repartition(*field)
+        .withColumn("_first", F.min("seq").over(in_group))
+        .withColumn("_first_any", F.min("seq").over(in_value))
+        .withColumns({
+            "_lead": F.min(F.struct("_first_any", "value")).over(in_field),
+            # repeats are dropped and confirm nothing; prior rows and provider conflicts never are repeats
+            "_first_human": F.min(F.when(_human() & (_special() | starts), seq)).over(in_field),
+        })
+        .withColumns({
+            "_first_other": F.min(F.when(~leads, F.col("_first_any"))).over(in_field),
+            "_may_open": F.min(F.when(may_open, seq)).over(in_field),
+        })
+        .withColumn("_first_open", F.when(~_confirmed(opened) & ~F.coalesce(F.col("_first_other") < opened, F.lit(False)), opened))
+        .drop("_may_open")
+    )
+
+
+def _positions_by_joins(rows: DataFrame) -> DataFrame:
+    """The same positions where a field may have any number of rows: aggregates per (field, source, value) and above, joined back."""
+    names = rows.columns
+    # As structs, so that rows without a source or path meet their like.
+    rows = rows.withColumns({"_field": F.struct("candidate_id", "path_key"), "_source": F.struct("source_key")})
+    group = ["_field", "_source", "value"]
     groups = cut_lineage(rows.groupBy(*group).agg(
         F.min("seq").alias("_first"),
-        F.min_by(special, "seq").alias("_first_special"),
-        F.min_by(human, "seq").alias("_first_is_human"),
-        # repeats are dropped and confirm nothing; prior rows and provider conflicts never are repeats
-        F.min(F.when(special & human, F.col("seq"))).alias("_special_human"),
+        F.min_by(_special(), "seq").alias("_first_special"),
+        F.min_by(_human(), "seq").alias("_first_is_human"),
+        F.min(F.when(_special() & _human(), F.col("seq"))).alias("_special_human"),
     ))
-    by_value = groups.groupBy(*field, "value").agg(F.min("_first").alias("_first_any"))
-    lead = by_value.groupBy(*field).agg(F.min(F.struct("_first_any", "value")).alias("_lead"))
+    by_value = groups.groupBy("_field", "value").agg(F.min("_first").alias("_first_any"))
+    lead = by_value.groupBy("_field").agg(F.min(F.struct("_first_any", "value")).alias("_lead"))
     other = (
-        by_value.join(lead, field)
+        by_value.join(lead, "_field")
         .where(F.col("value") != F.col("_lead.value"))
-        .groupBy(*field)
+        .groupBy("_field")
         .agg(F.min("_first_any").alias("_first_other"))
     )
-    confirmed_at = groups.groupBy(*field).agg(
+    confirmed_at = groups.groupBy("_field").agg(
         F.min(F.least(F.when(F.col("_first_is_human"), F.col("_first")), "_special_human")).alias("_first_human")
     )
-    facts = lead.join(other, field, "left").join(confirmed_at, field).join(current, field, "left")
-    groups = groups.join(by_value, [*field, "value"]).join(facts, field)
-
-    def differs(at: Column) -> Column:
-        """Another value was there before position ``at``."""
-        before = F.when(F.col("value") == F.col("_lead.value"), F.col("_first_other")).otherwise(F.col("_lead._first_any"))
-        return F.coalesce(before < at, F.lit(False))
-
-    def confirmed(at: Column) -> Column:
-        return F.coalesce(F.col("_first_human") < at, F.lit(False))
-
+    facts = lead.join(other, "_field", "left").join(confirmed_at, "_field")
+    groups = groups.join(by_value, ["_field", "value"]).join(facts, "_field")
     first = F.col("_first")
-    groups = groups.withColumn("_open", ~F.col("_first_special") & ~confirmed(first) & ~differs(first))
-    first_open = groups.where("_open").groupBy(*field).agg(F.min("_first").alias("_first_open"))
-    groups = groups.join(first_open, field, "left").drop("_first_special", "_first_is_human", "_special_human", "_open")
+    groups = groups.withColumn("_open", ~F.col("_first_special") & ~_confirmed(first) & ~_differs(first))
+    first_open = groups.where("_open").groupBy("_field").agg(F.min("_first").alias("_first_open"))
+    groups = groups.join(first_open, "_field", "left").select(*group, *_POSITIONS)
+    return rows.join(groups, group).select(*names, *_POSITIONS)
+
 
-    seq = F.col("seq")
+def _merge_class(seq: Column, first: Column) -> Column:
     empty = ~tx.filled(F.col("current_value"))
     # A blank value, or a path that cannot be written, leaves the field empty: the next one fills again.
     sticks = tx.filled(F.col("value")) & (F.col("path_key").isin(MERGE_PATHS) | (_is_contact(F.col("path_key")) & F.coalesce("_known", F.lit(False))))
     agrees = F.col("_first_any") < seq
     same_as_current = ~empty & (F.col("value") == F.col("current_value"))
-    merge_class = (
+    return (
         F.when(F.col("is_prior"), "prior")
         .when(F.col("force_conflict"), "provider_conflict")
         .when(seq > first, "repeat")
-        .when(confirmed(seq) & agrees, "agrees")
-        .when(confirmed(seq) | differs(seq), "conflict")
+        .when(_confirmed(seq) & agrees, "agrees")
+        .when(_confirmed(seq) | _differs(seq), "conflict")
         .when(empty & ((seq == F.col("_first_open")) | ~sticks), "fill")
         .when(agrees | same_as_current | empty, "agrees")
         .otherwise("conflict")
     )
-    return rows.join(groups, group).select(*proposals.columns, "current_value", merge_class.alias("merge_class"))
 
 
 def filled_values(classified: DataFrame) -> DataFrame:

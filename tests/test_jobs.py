@@ -210,6 +210,35 @@ def test_merge_against_a_plain_fold(spark):
     assert got == want
 
 
+def _odd_proposals(spark):
+    """Fields of one to forty proposals, one of 2,000, and some without a source, a path or a value."""
+    rows = spark.range(6000).select(
+        F.when(F.col("id") < 2000, 7).when(F.col("id") % 97 == 0, None).otherwise(F.col("id") % 150).alias("candidate_id"), "id",
+        F.when(F.col("id") % 89 == 0, None).when(F.col("id") % 2 == 0, "company.sicCode").otherwise("contact.x.name").alias("path_key"),
+        F.pmod(F.xxhash64("id"), F.lit(1000)).alias("h"))
+    return rows.select(
+        "candidate_id", F.col("id").alias("seq"), "path_key", F.when(F.col("h") % 7 > 0, F.concat(F.lit("v"), (F.col("h") % 3).cast("string"))).alias("value"),
+        F.when(F.col("h") % 11 > 0, F.concat(F.lit("p"), (F.col("h") % 4).cast("string"))).alias("source_key"),
+        F.when(F.col("h") % 50 == 1, "human_confirmed").otherwise("directly_observed").alias("derivation"),
+        (F.col("h") % 13 == 0).alias("is_prior"), (F.col("h") % 17 == 0).alias("force_conflict"))
+
+
+def test_merge_is_the_same_for_crowded_fields_and_keeps_rows_without_a_source(spark):
+    rows = _odd_proposals(spark).localCheckpoint()
+    current = spark.range(150).select(F.col("id").alias("candidate_id"), F.lit("company.sicCode").alias("path_key"), F.when(F.col("id") % 3 == 0, "v1").alias("current_value"))
+    key = lambda r: tuple((x is None, str(x)) for x in r)
+    one, joins, mixed = (sorted((tuple(r) for r in evidence.classify_proposals(rows, current, crowded=n).collect()), key=key) for n in (10**6, -10**6, 500))
+    assert len(one) == 6000 and one == joins == mixed
+    assert {r[-1] for r in one} == {"prior", "provider_conflict", "repeat", "agrees", "conflict", "fill"}
+
+
+def test_merge_deals_the_proposals_once(spark):
+    rows = _odd_proposals(spark).localCheckpoint()
+    current = spark.range(150).select(F.col("id").alias("candidate_id"), F.lit("company.sicCode").alias("path_key"), F.lit("v1").alias("current_value"))
+    plan = evidence.classify_proposals(rows, current)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") - plan.count("SortMergeJoin") == 1 and plan.count("Join") <= 1
+
+
 def test_unsupported_path_counts_as_filled_but_is_not_written(spark):
     c = full_candidate(spark)
     p = spark.createDataFrame([("loc-1", "location.buildingName", s, "x", src, "derived", False, False) for s, src in [(1, "p"), (2, "q")]],
