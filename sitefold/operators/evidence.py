@@ -497,6 +497,8 @@ def set_fields(candidates: DataFrame, values: DataFrame) -> DataFrame:
 
 def readiness_delta(candidates: DataFrame, classified: DataFrame) -> DataFrame:
     """Publication state before and after a merge, with fill and conflict counts."""
+    # Written once: the values written and the counts both start from it.
+    classified = cut_lineage(classified.select("candidate_id", "path_key", "seq", "value", "merge_class"))
     return state_change(candidates, set_fields(candidates, filled_values(classified)), classified)
 
 
