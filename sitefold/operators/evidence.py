@@ -499,12 +499,12 @@ def readiness_delta(candidates: DataFrame, classified: DataFrame) -> DataFrame:
     """Publication state before and after a merge, with fill and conflict counts."""
     # Written once: the values written and the counts both start from it.
     classified = cut_lineage(classified.select("candidate_id", "path_key", "seq", "value", "merge_class"))
-    return state_change(candidates, set_fields(candidates, filled_values(classified)), classified)
+    return state_change(with_readiness(candidates), set_fields(candidates, filled_values(classified)), classified)
 
 
-def state_change(candidates: DataFrame, merged: DataFrame, classified: DataFrame) -> DataFrame:
-    """The same, where the merged candidates are at hand."""
-    before = with_readiness(candidates).select(
+def state_change(assessed: DataFrame, merged: DataFrame, classified: DataFrame) -> DataFrame:
+    """The same, where the candidates with their readiness and the merged candidates are at hand."""
+    before = assessed.select(
         F.col("id").alias("candidate_id"), F.col("publication_state").alias("initial_state"),
         F.size("blockers").alias("initial_blockers"),
     )

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import cached_property
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -24,8 +25,31 @@ class Enriched:
     merged: DataFrame
     refused: DataFrame
     conflicts: DataFrame
-    candidates: DataFrame
-    summary: DataFrame
+    assessed: DataFrame
+    asked: DataFrame
+    columns: list[str]
+
+    @cached_property
+    def candidates(self) -> DataFrame:
+        """The candidates after the run, with the evidence it accepted; written when first asked for."""
+        given = self.assessed.select(self.columns)
+        added = accepted(self.merged).groupBy(F.col("candidate_id").alias("id")).agg(F.array_sort(F.collect_list(F.struct("seq", "proposal")))["proposal"].alias("_added"))
+        written = evidence.set_fields(given, evidence.filled_values(self.merged)).join(added, "id", "left")
+        empty = F.array().cast(f"array<{schemas.EVIDENCE}>")
+        after = written.withColumn("field_evidence", F.concat(F.coalesce("field_evidence", empty), F.coalesce("_added", empty))).drop("_added")
+        return cut_lineage(after.select(given.columns))
+
+    @cached_property
+    def summary(self) -> DataFrame:
+        """Publication state before and after, with the counts of fills, conflicts and requests."""
+        requested = self.asked.groupBy("candidate_id").agg(F.count("*").alias("n_requests"))
+        return evidence.state_change(self.assessed, self.candidates, self.merged).join(requested, "candidate_id", "left").withColumn(
+            "n_requests", F.coalesce("n_requests", F.lit(0)))
+
+
+def accepted(merged: DataFrame) -> DataFrame:
+    """What a run keeps: everything but repeats of the same source and value."""
+    return merged.where("merge_class <> 'repeat'")
 
 
 def field_path(field: Column, contact_id: Column) -> Column:
@@ -42,8 +66,16 @@ def requests(candidates: DataFrame, providers: DataFrame, run_id: str, started_a
     supports no planned field is not asked. Row-local but for the join of plans and providers, a table of some hundred rows.
     """
     assessed = cut_lineage(with_readiness(candidates))
-    planned = evidence.plan_fields(assessed, list(evidence.RESEARCH_FIELDS), allowed)
-    asked = evidence.provider_requests(planned, providers, max_providers)
+    return described(assessed, planned(assessed, providers, allowed, max_providers), run_id, started_at)
+
+
+def planned(assessed: DataFrame, providers: DataFrame, allowed: list[str] | None, max_providers: int | None) -> DataFrame:
+    """The requests themselves: candidate_id, provider_id, position, fields."""
+    return evidence.provider_requests(evidence.plan_fields(assessed, list(evidence.RESEARCH_FIELDS), allowed), providers, max_providers)
+
+
+def described(assessed: DataFrame, asked: DataFrame, run_id: str, started_at: str) -> DataFrame:
+    """Requests with what a provider is told about the candidate."""
     about = assessed.select(F.col("id").alias("candidate_id"), evidence.target_contact()["id"].alias("target_contact_id"), "blockers", "field_evidence")
     paths = F.transform("fields", lambda f: field_path(f, F.col("target_contact_id")))
     known = F.filter(F.coalesce("field_evidence", F.array().cast(f"array<{schemas.EVIDENCE}>")), lambda e: F.array_contains(F.col("_paths"), e["path_key"]))
@@ -87,9 +119,12 @@ def enrich(candidates: DataFrame, providers: DataFrame, results: DataFrame, run_
     What a proposal does follows from all evidence of its field before it: the candidate's own, or, with ``known``, what earlier runs have stored
     - the table's buckets that hold fields with new proposals are read, and no others - and the run's own so far. Every accepted proposal,
     conflicts included, is appended to the candidate's evidence; repeats of the same source and value are not. With ``known``, they are appended to it as
-    batch ``run`` (from 1), and a run that is repeated replaces them.
+    batch ``run`` (from 1), and a run that is repeated replaces them. The candidates are assessed and written once, and all steps start from
+    that; the requests carry evidence and the candidates after the run are made only for those who read them.
     """
-    asked = cut_lineage(requests(candidates, providers, run_id, started_at, allowed=allowed, max_providers=max_providers))
+    assessed = cut_lineage(with_readiness(candidates))
+    candidates = assessed.select(candidates.columns)
+    asked = cut_lineage(planned(assessed, providers, allowed, max_providers))
     answers = results.where((F.col("provider_status") == "completed") & F.col("status").isin("success", "conflict") & F.col("proposal").isNotNull())
     answers = answers.join(asked.select("candidate_id", "provider_id", "position"), ["candidate_id", "provider_id"])
     order = F.struct(F.lit(run).alias("run"), "position", "outcome", F.col("item").alias("proposal")).cast(ORDER)
@@ -104,20 +139,13 @@ def enrich(candidates: DataFrame, providers: DataFrame, results: DataFrame, run_
         # Where the candidate's evidence holds some of it already, it counts twice, which changes nothing.
         before = before.unionByName(stored)
     before = before.join(fields, ["candidate_id", "path_key"], "left_semi")
-    old = before.withColumns({"is_prior": F.lit(True), "force_conflict": F.lit(False)})
+    # Of what was there before, only value, source and place count.
+    old = before.withColumns({"is_prior": F.lit(True), "force_conflict": F.lit(False), "proposal": F.lit(None).cast(schemas.EVIDENCE)})
     proposals = old.unionByName(_merge_rows(fresh, "force_conflict").withColumn("is_prior", F.lit(False)))
     current = evidence.field_values(candidates)
     merged = cut_lineage(evidence.classify_proposals(proposals, current).where("not is_prior"))
 
-    accepted = merged.where("merge_class <> 'repeat'")
-    added = accepted.groupBy(F.col("candidate_id").alias("id")).agg(F.array_sort(F.collect_list(F.struct("seq", "proposal")))["proposal"].alias("_added"))
-    written = evidence.set_fields(candidates, evidence.filled_values(merged)).join(added, "id", "left")
-    empty = F.array().cast(f"array<{schemas.EVIDENCE}>")
-    after = written.withColumn("field_evidence", F.concat(F.coalesce("field_evidence", empty), F.coalesce("_added", empty))).drop("_added")
-    after = cut_lineage(after.select(candidates.columns))
     if known is not None:
-        known.append(accepted, run)
+        known.append(accepted(merged), run)
     conflicts = merged.where(F.col("merge_class").isin("conflict", "provider_conflict")).select("candidate_id", "path_key", F.col("current_value").alias("existing_value"), "seq", "proposal")
-    summary = evidence.state_change(candidates, after, merged).join(
-        asked.groupBy("candidate_id").agg(F.count("*").alias("n_requests")), "candidate_id", "left").withColumn("n_requests", F.coalesce("n_requests", F.lit(0)))
-    return Enriched(asked, merged, refused, conflicts, after, summary)
+    return Enriched(described(assessed, asked, run_id, started_at), merged, refused, conflicts, assessed, asked, candidates.columns)
