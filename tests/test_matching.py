@@ -247,3 +247,12 @@ def test_company_links_do_not_grow_with_pairs_of_identities(spark):
     wide = lambda n: [(i, f"rec-{i:03d}", "alder optics", None, None, None, None, None, f"w{i}.example", None, "DIRE") for i in range(n)]
     c = candidate_frame(spark, [(f"c{i}", "alder optics", f"v{i}.example", *[None] * 7) for i in range(40)])
     assert matching.company_links(c, spark.createDataFrame(wide(40), MASTER)).links.count() == 1
+
+
+def test_company_chains_broadcast_nothing(spark):
+    rows = [(i, f"rec-{i:03d}", f"loom {i % 3}", None, None, None, None, None, None, None, "DIRE") for i in range(30)]
+    c = candidate_frame(spark, [(f"c{i}", f"loom {i}", *[None] * 8) for i in range(3)])
+    found = matching.company_links(c, spark.createDataFrame(rows, MASTER))
+    assert found.links.count() > 0
+    for df in (found.counts(), found.pairs(c.select(F.col("id").alias("candidate_id"))), found.pairs(found.counts().orderBy(F.desc("n_sites"), "candidate_id").limit(1))):
+        assert "Broadcast" not in df._jdf.queryExecution().executedPlan().toString() and df.count() > 0
