@@ -104,10 +104,18 @@ def top_buckets(counts: DataFrame) -> DataFrame:
 # ---------------------------------------------------------------------- sampling
 
 
+def with_flags(observations: DataFrame) -> DataFrame:
+    """What a stratum reads of the long texts, as flags: rows that are to be shuffled need not carry the texts then."""
+    address = tx.string_field(F.col("outlet_address"))
+    flags = {"_fsd": tx.string_field(F.col("outlet_first_sales_date")).isNotNull(), "_differ": names_differ(), "_risk": tx.is_po_box(address) | tx.is_residential_risk(address)}
+    return observations.withColumns(flags)
+
+
 def with_stratum(observations: DataFrame) -> DataFrame:
-    """Add ``stratum``, a seven-part key."""
+    """Add ``stratum``, a seven-part key. The flags are worked out unless the rows have them from ``with_flags``."""
+    if "_risk" not in observations.columns:
+        observations = with_flags(observations)
     taxpayer = tx.string_field(F.col("taxpayer_number"))
-    address = tx.string_field(F.col("outlet_address"))
     naics = tx.naics_bucket(F.col("outlet_naics_code"), 2)
     # A count per taxpayer, combined map-side and joined back: a taxpayer with very many
     # outlets is one row here, not one window partition.
@@ -121,13 +129,13 @@ def with_stratum(observations: DataFrame) -> DataFrame:
         "org": F.coalesce(tx.string_field(F.col("taxpayer_organization_type")), F.lit("unknown_org_type")),
         "naics": F.when(naics.isin("(missing)", "(short)"), "unknown_naics").otherwise(naics),
         "multi": flag(F.col("_multi")),
-        "fsd": flag(tx.string_field(F.col("outlet_first_sales_date")).isNotNull()),
-        "namediff": flag(names_differ()),
-        "risk": flag(tx.is_po_box(address) | tx.is_residential_risk(address)),
+        "fsd": flag(F.col("_fsd")),
+        "namediff": flag(F.col("_differ")),
+        "risk": flag(F.col("_risk")),
         "county": F.coalesce(tx.string_field(F.col("outlet_county_code")), F.lit("unknown_county")),
     }
     key = F.concat_ws("|", *[F.concat(F.lit(f"{n}:"), c) for n, c in parts.items()])
-    return rows.withColumn("stratum", key).drop("_taxpayer", "_multi")
+    return rows.withColumn("stratum", key).drop("_taxpayer", "_multi", "_fsd", "_differ", "_risk")
 
 
 def quotas(total: int, size: int = SAMPLE_SIZE) -> tuple[int, int]:

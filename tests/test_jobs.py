@@ -524,3 +524,10 @@ def test_larger_tables_are_more_csv_files(spark):
     path = queries._as_csv(spark.range(600_000).selectExpr("cast(id as string) as id"), "range")
     files = spark.read.option("header", True).csv(path).groupBy(F.input_file_name()).count().collect()
     assert sum(r["count"] for r in files) == 600_000 and max(r["count"] for r in files) <= 100_000
+
+
+def test_artifacts_are_compressed(spark, tmp_path):
+    rows = spark.createDataFrame([(f"id-{i}", "a|b") for i in range(50)], "source_record_id string, stratum string")
+    line = tables.write_artifacts({"strata": rows}, str(tmp_path), "2024-02-01", {"seed": "1"}).first()
+    files = list((tmp_path / "pull_date=2024-02-01" / "strata").glob("part-*"))
+    assert line.row_count == 50 and files and all(f.name.endswith(".json.gz") for f in files)
