@@ -256,3 +256,20 @@ def test_company_chains_broadcast_nothing(spark):
     assert found.links.count() > 0
     for df in (found.counts(), found.pairs(c.select(F.col("id").alias("candidate_id"))), found.pairs(found.counts().orderBy(F.desc("n_sites"), "candidate_id").limit(1))):
         assert "Broadcast" not in df._jdf.queryExecution().executedPlan().toString() and df.count() > 0
+
+
+def test_rank_all_meets_no_address_where_equal_phones_settle_the_rank(spark, monkeypatch):
+    masters = [{"id": f"mst-{i:04d}", "name": f"alder {i % 5} optics", "street": f"{i} elm st", "phone": f"214555{i // 5:04d}", "web": ""} for i in range(200)]
+    cands = [{**masters[i * 7], "id": f"loc-{i:02d}"} for i in range(20)]
+    met, all_pairs = [], matching._all_pairs
+
+    def counted(left, right, left_key, right_key, cell):
+        met.append((left_key, left.count()))
+        return all_pairs(left, right, left_key, right_key, cell)
+
+    monkeypatch.setattr(matching, "_all_pairs", counted)
+    got = {}
+    for r in matching.rank_all(*frames(spark, cands, masters), 3).orderBy("candidate_id", "rank").collect():
+        got.setdefault(r.candidate_id, []).append(r.master_id)
+    assert got == brute_rank(cands, masters, 3)
+    assert met and all(n == 0 for key, n in met if key == "profile_no")
